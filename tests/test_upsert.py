@@ -1,0 +1,164 @@
+import pytest
+from pyspark.sql import functions as F
+
+from weirgate.operators.dedup import dedup_keys
+from weirgate.operators.upsert import KeyedTable, insert_new, merge_batches, read_table, snapshot, stage_new
+
+TYPES = "day string, id int, amount int"
+KEYS = ("day", "id")
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame(list(rows), TYPES)
+
+
+def content(spark, table):
+    rows = read_table(spark, table, spark.createDataFrame([], TYPES).schema).collect()
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+@pytest.fixture(params=["parquet", "orc"])
+def table(request, tmp_path):
+    return KeyedTable(str(tmp_path / "table"), KEYS, "day", request.param)
+
+
+@pytest.fixture
+def staging(tmp_path):
+    return str(tmp_path / "staging")
+
+
+JAN, FEB = ("2024-01-05", 1, 10), ("2024-02-05", 1, 20)
+
+
+def test_insert_only(spark, table, staging):
+    first = insert_new(spark, batch(spark, JAN, FEB), table, staging, "b1")
+    assert first.n_new == 2
+    changed, new = ("2024-01-05", 1, 99), ("2024-01-05", 2, 30)
+    second = insert_new(spark, batch(spark, changed, new), table, staging, "b2")
+    assert second.n_new == 1
+    assert [tuple(r) for r in second.staged.collect()] == [new]
+    assert content(spark, table) == sorted([JAN, FEB, new], key=repr)
+    third = insert_new(spark, batch(spark, changed, new), table, staging, "b3")
+    assert (third.n_new, third.staged.count()) == (0, 0)
+    assert len(content(spark, table)) == 3
+
+
+def test_rows_that_share_a_new_key(spark, table, staging):
+    rows = batch(spark, JAN, ("2024-01-05", 1, 11))
+    assert insert_new(spark, rows, table, staging, "b1").n_new == 2
+
+
+def test_one_row_per_key_on_request(spark, table, staging):
+    rows = batch(spark, JAN, ("2024-01-05", 1, 11), ("2024-01-05", 1, 5), FEB)
+    new = insert_new(spark, rows, table, staging, "b1", key_order=[F.col("amount")])
+    assert new.n_new == 2
+    assert content(spark, table) == [("2024-01-05", 1, 5), FEB]
+
+
+def test_null_keys(spark, table, staging, tmp_path):
+    rows = batch(spark, ("2024-01-05", None, 1), (None, 1, 2), JAN)
+    for batch_id in ("b1", "b2"):
+        insert_new(spark, rows, table, staging, batch_id)
+    assert len(content(spark, table)) == 5
+    safe = KeyedTable(str(tmp_path / "safe"), KEYS, "day")
+    for batch_id in ("b1", "b2"):
+        insert_new(spark, rows, safe, str(tmp_path / "safe_staging"), batch_id, null_safe_keys=True)
+    assert len(content(spark, safe)) == 3
+
+
+def test_same_batch_again_replaces_itself(spark, table, staging):
+    rows = batch(spark, ("2024-01-05", None, 1), JAN, FEB)
+    for _ in range(2):
+        assert insert_new(spark, rows, table, staging, "b1").n_new == 3
+    assert len(content(spark, table)) == 3
+
+
+def test_batch_cut_off_after_staging(spark, table, staging):
+    rows = batch(spark, JAN, FEB)
+    stage_new(spark, rows, table, staging, "b1")
+    assert content(spark, table) == []
+    assert insert_new(spark, rows, table, staging, "b1").n_new == 2
+    assert content(spark, table) == [JAN, FEB]
+
+
+def test_batch_cut_off_half_way_into_the_table(spark, table, staging):
+    rows = batch(spark, JAN, FEB)
+    from weirgate.operators.upsert import append_staged
+
+    staged = stage_new(spark, rows, table, staging, "b1").staged
+    append_staged(staged.where("day < '2024-02-01'"), table, "b1")
+    assert insert_new(spark, rows, table, staging, "b1").n_new == 2
+    assert content(spark, table) == [JAN, FEB]
+
+
+def test_only_the_months_of_the_batch_are_read(spark, tmp_path, staging):
+    table = KeyedTable(str(tmp_path / "table"), KEYS, "day")
+    insert_new(spark, batch(spark, JAN, FEB), table, staging, "b1")
+    from weirgate.operators.upsert import known_keys, with_month
+
+    rows = batch(spark, ("2024-02-07", 5, 5))
+    known = known_keys(spark, with_month(rows, table), table, rows.schema, ["b2"])
+    assert len(known.inputFiles()) >= 2
+    plan = known.select(*KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "part_month" in plan.split("PartitionFilters")[1]
+    assert [tuple(r) for r in known.select("day", "id").collect()] == [("2024-02-05", 1)]
+
+
+def test_unparsable_times_meet_in_the_month_less_partition(spark, table, staging):
+    rows = batch(spark, ("2020-99-99", 1, 1), ("2020-99-99", 2, 1))
+    insert_new(spark, rows, table, staging, "b1")
+    assert insert_new(spark, rows, table, staging, "b2").n_new == 0
+
+
+def test_other_data_at_the_path_is_refused(spark, tmp_path, staging):
+    path = str(tmp_path / "foreign")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError, match="holds other data"):
+        insert_new(spark, batch(spark, JAN), KeyedTable(path, KEYS), staging, "b1")
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_empty_batch(spark, table, staging):
+    assert insert_new(spark, batch(spark), table, staging, "b1").n_new == 0
+    assert content(spark, table) == []
+    assert insert_new(spark, batch(spark, JAN), table, staging, "b2").n_new == 1
+
+
+def test_table_without_months(spark, tmp_path, staging):
+    table = KeyedTable(str(tmp_path / "table"), ("id",))
+    insert_new(spark, batch(spark, JAN), table, staging, "b1")
+    assert insert_new(spark, batch(spark, FEB, ("2024-03-01", 2, 1)), table, staging, "b2").n_new == 1
+    assert "part_month" not in snapshot(spark, table, spark.createDataFrame([], TYPES).schema).columns
+
+
+def test_bad_arguments(spark, tmp_path, staging):
+    with pytest.raises(ValueError, match="key column"):
+        KeyedTable("x", ("id",), "day")
+    with pytest.raises(ValueError, match="batch id"):
+        insert_new(spark, batch(spark, JAN), KeyedTable(str(tmp_path / "t"), KEYS), staging, "2024-01")
+
+
+def test_merge_of_several_batches(spark, table):
+    staged = [(*JAN, "b1"), (*FEB, "b2"), ("2024-02-05", 2, 5, "b2")]
+    rows = spark.createDataFrame(staged, TYPES + ", batch_id string")
+    assert merge_batches(spark, rows, table, ["b1", "b2"]) == 3
+    assert merge_batches(spark, rows, table, ["b1", "b2"]) == 3
+    assert len(content(spark, table)) == 3
+    later = spark.createDataFrame([(*JAN, "b3"), ("2024-01-05", 9, 9, "b3")], TYPES + ", batch_id string")
+    assert merge_batches(spark, later, table, ["b3"]) == 1
+    assert len(content(spark, table)) == 4
+
+
+def test_hot_key_without_broadcast(spark, tmp_path, staging, shuffled_joins):
+    """One key holds a third of the batch and of the table."""
+    n = 3000
+    rows = spark.range(n).selectExpr(
+        "'2024-01-05' AS day", f"CAST(if(id < {n // 3}, -1, id) AS INT) AS id", "CAST(id AS INT) AS amount"
+    )
+    table = KeyedTable(str(tmp_path / "table"), KEYS, "day")
+    assert insert_new(spark, rows, table, staging, "b1").n_new == n
+    more = rows.unionAll(rows.selectExpr("day", "id + 5000 AS id", "amount"))
+    assert insert_new(spark, more, table, staging, "b2").n_new == n
+    one_each = dedup_keys(rows, KEYS, [F.col("amount")])
+    assert one_each.count() == n - n // 3 + 1
+    assert one_each._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2

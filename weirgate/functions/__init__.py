@@ -5,6 +5,7 @@ from weirgate.functions.months import (
     file_name_pattern,
     file_name_to_iso,
     iso_text,
+    moment,
     month_date,
     month_start,
     parse_iso,
@@ -18,6 +19,7 @@ __all__ = [
     "file_name_to_iso",
     "iso_text",
     "lenient_cast",
+    "moment",
     "month_date",
     "month_start",
     "parse_iso",

@@ -7,6 +7,8 @@ the session zone and shift them inside a daylight-saving gap, so everything here
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}$"
 SAFE_TIME_PATTERN = r"(\d{4}-\d{2}-\d{2})T(\d{2})-(\d{2})-(\d{2})-(\d{3})"
 
 
+def moment(value: datetime) -> Column:
+    """A zone-less literal. ``F.lit`` of a datetime would go through the machine's zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_date(ts: Column) -> Column:
     """First day of the month as a date; NULL for text that is no timestamp."""
     return F.trunc(ts.try_cast("timestamp_ntz").cast("date"), "MM")

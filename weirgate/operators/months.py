@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.functions import add_month, month_start
+from weirgate.functions import add_month, moment, month_start
 
 
 def month_delta(source: DataFrame, landed: DataFrame, reopen_last: int = 0) -> DataFrame:
@@ -28,11 +28,9 @@ def month_windows(months: DataFrame, month: str = "month") -> DataFrame:
     return months.select(F.col(month).alias("start_month"), add_month(F.col(month)).alias("end_month"))
 
 
-def in_window(ts: Column, start: Column | datetime, end: Column | datetime) -> Column:
-    """Half-open range; with literal bounds it is pushed into the Parquet scan."""
-    low = start if isinstance(start, Column) else F.lit(start).cast("timestamp_ntz")
-    high = end if isinstance(end, Column) else F.lit(end).cast("timestamp_ntz")
-    return (ts >= low) & (ts < high)
+def in_window(ts: Column, start: datetime, end: datetime) -> Column:
+    """Half-open range with literal bounds, which Spark pushes into a Parquet scan."""
+    return (ts >= moment(start)) & (ts < moment(end))
 
 
 def collect_months(months: DataFrame, month: str = "month") -> list[datetime]:

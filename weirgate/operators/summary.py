@@ -8,31 +8,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from weirgate.operators.rules import Rule, any_violation, check
+from weirgate.operators.rules import CHECKS, Rule, any_violation, check, check_name
 
 SAMPLE_SIZE = 20
 
 
 def violation_counts(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule with its count and percentage over known values; a single aggregate for all rules."""
+    numbers = range(len(rules))
     totals = flagged.agg(
-        *[F.count_if(check(i)).alias(f"bad_{i}") for i in range(len(rules))],
-        *[F.count(check(i)).alias(f"known_{i}") for i in range(len(rules))],
+        *[F.expr(f"count_if({CHECKS}.{check_name(i)}) AS bad_{i}") for i in numbers],
+        *[F.expr(f"count({CHECKS}.{check_name(i)}) AS known_{i}") for i in numbers],
+    )
+    per_rule = ", ".join(f"struct(bad_{i} AS bad, known_{i} AS known)" for i in numbers)
+    return totals.selectExpr(f"posexplode(array({per_rule})) AS (rule_no, n)").select(
+        "rule_no",
+        F.get(F.lit([r.expectation_type for r in rules]), "rule_no").alias("expectation_type"),
+        F.get(F.lit([r.column for r in rules]), "rule_no").alias("column"),
+        F.expr("n.bad = 0 AS success"),
+        F.expr("n.bad AS unexpected_count"),
+        F.expr("CASE WHEN n.known = 0 THEN 0D ELSE 100D * n.bad / n.known END AS unexpected_percent"),
     )
-    rows = [
-        F.struct(
-            F.lit(i).alias("rule_no"),
-            F.lit(rule.expectation_type).alias("expectation_type"),
-            F.lit(rule.column).alias("column"),
-            (F.col(f"bad_{i}") == 0).alias("success"),
-            F.col(f"bad_{i}").alias("unexpected_count"),
-            F.when(F.col(f"known_{i}") == 0, 0.0)
-            .otherwise(100.0 * F.col(f"bad_{i}") / F.greatest(F.col(f"known_{i}"), F.lit(1)))
-            .alias("unexpected_percent"),
-        )
-        for i, rule in enumerate(rules)
-    ]
-    return totals.select(F.inline(F.array(*rows)))
 
 
 def _offender(flagged: DataFrame, position: int, rule: Rule) -> Column:
@@ -53,10 +49,11 @@ def unexpected_samples(flagged: DataFrame, rules: Sequence[Rule], k: int = SAMPL
     Equal values are counted before any ordering, map side first, so a value that fills a third of the
     table is one row. The window then keeps k values per rule and partition before its own shuffle.
     """
-    offenders = F.filter(F.array(*[_offender(flagged, i, r) for i, r in enumerate(rules)]), lambda e: e.isNotNull())
+    offenders = F.array(*[_offender(flagged, i, r) for i, r in enumerate(rules)])
     values = (
         flagged.where(any_violation(rules))
         .select(F.inline(offenders))
+        .where("rule_no IS NOT NULL")
         .groupBy("rule_no", "number", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
     )

@@ -77,6 +77,9 @@ def snapshot(spark: SparkSession, table: KeyedTable, schema: StructType) -> Data
         raise
     if set(found.columns) != set(full.names):
         raise ValueError(f"{table.path} holds other data: {found.columns} instead of {full.names}")
+    if (PART_MONTH, "void") in found.dtypes:
+        # Only month-less rows so far: Spark cannot tell the column's type from such folders.
+        found = spark.read.format(table.fmt).schema(full).load(table.path)
     return found.select(*[F.col(f.name).cast(f.dataType) for f in full.fields])
 
 

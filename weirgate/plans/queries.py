@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.functions import add_month, file_name_to_iso, iso_text, month_start, parse_iso, safe_file_name
+from weirgate.functions import add_month, file_name_to_iso, iso_text, moment, month_start, parse_iso, safe_file_name
 from weirgate.operators.dedup import append_union, dedup_keys, dedup_rows
 from weirgate.operators.membership import anti_join_dimension, semi_join_dimension
 from weirgate.operators.months import in_window, month_delta, month_windows, scan_months
@@ -397,7 +397,7 @@ def anti_join_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def earlier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < F.lit(SPLIT_DAY).cast("timestamp_ntz"))
+    return table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < moment(SPLIT_DAY))
 
 
 @query("anti_join_new")
@@ -472,7 +472,7 @@ def warehouse_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"ts": "timestamp_ntz", "event_id": "bigint", "event_type": "string", "value": "double"},
     )
     target = KeyedTable(scratch_path(spark, "table"), ("event_id", "ts"), "ts")
-    day = F.lit(datetime(2024, 1, 20)).cast("timestamp_ntz")
+    day = moment(datetime(2024, 1, 20))
     for batch_id, part in (("early", events.where(F.col("ts") < day)), ("all", events)):
         merge_batches(spark, part.withColumn("batch_id", F.lit(batch_id)), target, [batch_id])
     return read_table(spark, target, events.schema)
@@ -505,7 +505,7 @@ def ridership_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_feed_twice(spark: SparkSession, sf_dir: str) -> Places:
     """Months before the split day in a first run, all others in a second."""
     places, raw, known = Places.below(scratch_path(spark, "feed")), raw_orders(spark, sf_dir), stations(spark, sf_dir)
-    earlier = raw.where(RIDERSHIP.time() < F.lit(SPLIT_DAY).cast("timestamp_ntz"))
+    earlier = raw.where(RIDERSHIP.time() < moment(SPLIT_DAY))
     for batch_id, source in (("first", earlier), ("second", raw)):
         land_missing_months(spark, source, RIDERSHIP, places)
         load_worklist(spark, known, RIDERSHIP, places, batch_id)
@@ -532,6 +532,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = store(good_rows(evaluate(dedup_rows(typed), rules), rules), "good")
     target = KeyedTable(scratch_path(spark, "table"), ("event_id", "ts"), "ts")
     staging = scratch_path(spark, "staging")
-    earlier = good.where(F.col("ts") < F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz"))
+    earlier = good.where(F.col("ts") < moment(datetime(2024, 1, 16)))
     insert_new(spark, earlier, target, staging, "earlier")
     return insert_new(spark, good, target, staging, "all").staged

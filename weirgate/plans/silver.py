@@ -23,16 +23,21 @@ from weirgate.sources import landed_months, read_landed_months, read_worklist
 
 @dataclass(frozen=True)
 class BatchOutcome:
-    """``summary`` has one row per rule; ``new_rows`` reads the staged rows of a loaded batch."""
+    """``flagged`` is the stored batch with its checks; ``new_rows`` reads the staged rows of a loaded one."""
 
     batch_id: str
     state: Literal["loaded", "rejected", "empty"]
-    summary: DataFrame | None = None
+    rules: Sequence[Rule] = ()
+    flagged: DataFrame | None = None
     new_rows: DataFrame | None = None
     n_new: int = 0
     n_good: int = 0
     n_bad: int = 0
 
+    def summary(self) -> DataFrame:
+        """One row per rule: counts, percentage and samples."""
+        return validation_summary(self.flagged, self.rules)
+
 
 class BatchRejected(Exception):
     """A rule failed; the batch went to quarantine."""
@@ -72,12 +77,11 @@ def load_batch(
     rules = feed.rules(dimension)
     batch = store(prepare_batch(raw, feed, rules), "batch")
     months = collect_months(batch.select(feed.time().alias("month")))
-    summary = validation_summary(batch, rules)
     passed = validation_gate(batch, rules).first()["success"]
     if not passed:
         kept = quarantine(batch, rules, places.quarantine_good, places.quarantine_bad, batch_id, null_policy)
         record(spark, places.status, "silver", "rejected", {batch_id: 0}, months)
-        outcome = BatchOutcome(batch_id, "rejected", summary, n_good=kept.n_good, n_bad=kept.n_bad)
+        outcome = BatchOutcome(batch_id, "rejected", rules, batch, n_good=kept.n_good, n_bad=kept.n_bad)
         if on_reject == "raise":
             raise BatchRejected(outcome)
         return outcome
@@ -91,7 +95,7 @@ def load_batch(
         key_order=key_order,
     )
     record(spark, places.status, "silver", "loaded", {batch_id: new.n_new}, months)
-    return BatchOutcome(batch_id, "loaded", summary, new.staged, n_new=new.n_new)
+    return BatchOutcome(batch_id, "loaded", rules, batch, new.staged, n_new=new.n_new)
 
 
 def load_worklist(
