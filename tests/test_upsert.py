@@ -2,7 +2,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirgate.operators.dedup import dedup_keys
-from weirgate.operators.upsert import KeyedTable, insert_new, merge_batches, read_table, snapshot, stage_new
+from weirgate.operators.upsert import (
+    KeyedTable,
+    append_staged,
+    batch_months,
+    insert_new,
+    known_rows,
+    merge_batches,
+    new_rows,
+    read_table,
+    snapshot,
+    stage_new,
+    with_month,
+)
 
 TYPES = "day string, id int, amount int"
 KEYS = ("day", "id")
@@ -83,8 +95,6 @@ def test_batch_cut_off_after_staging(spark, table, staging):
 
 def test_batch_cut_off_half_way_into_the_table(spark, table, staging):
     rows = batch(spark, JAN, FEB)
-    from weirgate.operators.upsert import append_staged
-
     staged = stage_new(spark, rows, table, staging, "b1").staged
     append_staged(staged.where("day < '2024-02-01'"), table, "b1")
     assert insert_new(spark, rows, table, staging, "b1").n_new == 2
@@ -94,10 +104,9 @@ def test_batch_cut_off_half_way_into_the_table(spark, table, staging):
 def test_only_the_months_of_the_batch_are_read(spark, tmp_path, staging):
     table = KeyedTable(str(tmp_path / "table"), KEYS, "day")
     insert_new(spark, batch(spark, JAN, FEB), table, staging, "b1")
-    from weirgate.operators.upsert import known_keys, with_month
-
     rows = batch(spark, ("2024-02-07", 5, 5))
-    known = known_keys(spark, with_month(rows, table), table, rows.schema, ["b2"])
+    months = batch_months(with_month(rows, table), table)
+    known = known_rows(spark, table, rows.schema, months, ["b2"])
     assert len(known.inputFiles()) >= 2
     plan = known.select(*KEYS)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "part_month" in plan.split("PartitionFilters")[1]
@@ -162,3 +171,24 @@ def test_hot_key_without_broadcast(spark, tmp_path, staging, shuffled_joins):
     one_each = dedup_keys(rows, KEYS, [F.col("amount")])
     assert one_each.count() == n - n // 3 + 1
     assert one_each._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+
+
+def test_hot_key_is_split(spark, shuffled_joins, with_conf, tmp_path):
+    """The anti-join cuts the partition of a key that holds a third of the rows into several tasks."""
+    with_conf(
+        {
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "8",
+        }
+    )
+    path = str(tmp_path / "rows")
+    made = spark.range(60_000, numPartitions=8).selectExpr("if(id % 3 = 0, -1, id) AS k", "uuid() AS v")
+    made.write.parquet(path)
+    rows = spark.read.parquet(path)
+    fresh = new_rows(rows, spark.range(1000, 2000).withColumnRenamed("id", "k"), ["k"])
+    fresh.collect()
+    assert "SortMergeJoin(skew=true)" in fresh._jdf.queryExecution().executedPlan().toString()
+    assert fresh.count() == 60_000 - sum(k % 3 != 0 for k in range(1000, 2000))

@@ -3,7 +3,8 @@
 None of these hints a broadcast. Catalyst broadcasts the dimension when its known or measured size is
 below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise runs a sort-merge join, where adaptive
 execution splits a hot key on the batch side (left outer, semi and anti joins all allow that). The
-dimension side is made distinct, so a repeated member cannot multiply rows.
+dimension side is made distinct, map side first, so a member that is repeated often neither multiplies
+rows nor fills one partition.
 """
 
 from __future__ import annotations
@@ -21,8 +22,14 @@ def _all_equal(pairs: list[tuple[str, str]], null_safe: bool = False) -> Column:
 
 
 def _members(dimension: DataFrame, columns: Sequence[str], tag: str) -> tuple[DataFrame, list[str]]:
+    """Distinct members under names that clash with nothing.
+
+    A hot key is split only where both join inputs come straight out of a shuffle. Grouping by a hash
+    besides the columns changes no result, but it keeps the join from reusing the aggregate's shuffle.
+    """
     names = [f"__{tag}_{i}" for i in range(len(columns))]
-    return dimension.select(*[F.col(c).alias(n) for c, n in zip(columns, names)]).distinct(), names
+    members = dimension.select(*[F.col(c).alias(n) for c, n in zip(columns, names)])
+    return members.withColumn("__hash", F.xxhash64(*names)).distinct().drop("__hash"), names
 
 
 def flag_members(

@@ -69,13 +69,31 @@ def round_robin_shards(
     return with_ordinal(df, order_by, copy_id=copy_id).withColumn("shard", F.col("ordinal") % n_shards)
 
 
-def capped_scan(df: DataFrame, group: Column, order_by: Sequence[str], cap: int) -> DataFrame:
+def with_copy_id(df: DataFrame, name: str = "copy_id") -> DataFrame:
+    """Add a column that tells exact copies apart: each row's place in a stored table.
+
+    A place in a file stays the same when a task runs again; a running number over shuffled rows would not.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return add_place(df.sparkSession.read.schema(df.schema).parquet(path), name)
+
+
+def add_place(scan: DataFrame, name: str = "copy_id") -> DataFrame:
+    """The same for a table that is a plain Parquet scan already."""
+    return scan.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(name))
+
+
+def capped_scan(
+    df: DataFrame, group: Column, order_by: Sequence[str], cap: int, copy_id: str | None = None
+) -> DataFrame:
     """At most ``cap`` rows per group, the first in order; no task holds a whole group.
 
     ``truncated`` tells for each kept row whether its group had more rows than the cap.
     """
-    numbered = with_ordinal(df.withColumn("__group", group), order_by, within=["__group"])
+    numbered = with_ordinal(df.withColumn("__group", group), order_by, within=["__group"], copy_id=copy_id)
     over = numbered.where(F.col("ordinal") == cap).select(F.col("__group").alias("__cut"))
     kept = numbered.where(F.col("ordinal") < cap)
     cut = kept.join(over, F.col("__group").eqNullSafe(F.col("__cut")), "left")
-    return cut.select(*df.columns, "ordinal", F.col("__cut").isNotNull().alias("truncated"))
+    columns = [c for c in df.columns if c != copy_id]
+    return cut.select(*columns, "ordinal", F.col("__cut").isNotNull().alias("truncated"))

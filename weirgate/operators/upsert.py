@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,7 @@ from weirgate.sources.files import absent_path
 
 PART_MONTH = "part_month"
 BATCH_ID = "batch_id"
+FEW_MONTHS = 3
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,7 @@ class Inserted:
 
     staged: DataFrame
     n_new: int
+    months: Sequence[date | None]
 
 
 def new_rows(batch: DataFrame, known: DataFrame, keys: Sequence[str], null_safe_keys: bool = False) -> DataFrame:
@@ -88,28 +91,39 @@ def read_table(spark: SparkSession, table: KeyedTable, schema: StructType) -> Da
     return snapshot(spark, table, schema).select(*schema.names)
 
 
-def _in_batch_months(batch: DataFrame) -> Column:
-    """Partition filter for the months of the batch, NULL included; a calendar bounds their number."""
-    months = [row[PART_MONTH] for row in batch.select(PART_MONTH).distinct().collect()]
-    found = F.col(PART_MONTH).isin([m for m in months if m is not None])
-    return found | F.col(PART_MONTH).isNull() if None in months else found
+def batch_months(placed: DataFrame, table: KeyedTable) -> list[date | None]:
+    """Months of the batch, NULL included; a calendar bounds their number."""
+    if not table.month_key:
+        return []
+    return [row[PART_MONTH] for row in placed.select(PART_MONTH).distinct().collect()]
 
 
 def with_month(batch: DataFrame, table: KeyedTable) -> DataFrame:
     return batch.withColumn(PART_MONTH, month_date(F.col(table.month_key))) if table.month_key else batch
 
 
-def known_keys(
-    spark: SparkSession, placed: DataFrame, table: KeyedTable, schema: StructType, batch_ids: Sequence[str]
+def known_rows(
+    spark: SparkSession,
+    table: KeyedTable,
+    schema: StructType,
+    months: Sequence[date | None],
+    batch_ids: Sequence[str],
 ) -> DataFrame:
-    """What the table holds from other batches, in the months of ``placed`` only."""
+    """What the table holds from other batches, in these months only (a partition filter)."""
     known = snapshot(spark, table, schema).where(~F.col(BATCH_ID).isin(list(batch_ids)))
-    return known.where(_in_batch_months(placed)) if table.month_key else known
+    if not table.month_key:
+        return known
+    found = F.col(PART_MONTH).isin([m for m in months if m is not None])
+    return known.where(found | F.col(PART_MONTH).isNull() if None in months else found)
+
 
+def _clustered(df: DataFrame, months: Sequence[date | None]) -> DataFrame:
+    """Bring the rows of a month together, where many months would mean many small files per task.
 
-def _clustered(df: DataFrame, table: KeyedTable) -> DataFrame:
-    """Bring the rows of a month together; adaptive execution splits large months and joins small ones."""
-    return df.hint("rebalance", PART_MONTH) if table.month_key else df.hint("rebalance")
+    Adaptive execution cuts a large month into several files and joins small ones. The usual batch of
+    one month or two is written as it is, without that shuffle.
+    """
+    return df.hint("rebalance", PART_MONTH) if len(months) > FEW_MONTHS else df
 
 
 def stage_new(
@@ -129,12 +143,13 @@ def stage_new(
     """
     check_batch_id(batch_id)
     placed = with_month(batch, table)
-    known = known_keys(spark, placed, table, batch.schema, [batch_id])
+    months = batch_months(placed, table)
+    known = known_rows(spark, table, batch.schema, months, [batch_id])
     if key_order is not None:
         placed = dedup_keys(placed, table.keys, key_order)
     fresh = new_rows(placed, known, table.keys, null_safe_keys)
-    n_new = write_batch(_clustered(fresh, table), staging_path, batch_id, table.fmt)
-    return Inserted(read_batch(spark, staging_path, batch_id, placed.schema, n_new, table.fmt), n_new)
+    n_new = write_batch(_clustered(fresh, months), staging_path, batch_id, table.fmt)
+    return Inserted(read_batch(spark, staging_path, batch_id, placed.schema, n_new, table.fmt), n_new, months)
 
 
 def append_staged(staged: DataFrame, table: KeyedTable, batch_id: str) -> int:
@@ -162,7 +177,7 @@ def insert_new(
     )
     if new.n_new:
         append_staged(new.staged, table, batch_id)
-    return Inserted(new.staged.select(*batch.columns), new.n_new)
+    return Inserted(new.staged.select(*batch.columns), new.n_new, new.months)
 
 
 def merge_batches(
@@ -174,7 +189,7 @@ def merge_batches(
     that was cut off can run again, also together with further batches.
     """
     placed = with_month(staged, table)
-    schema = staged.drop(BATCH_ID).schema
-    known = known_keys(spark, placed, table, schema, batch_ids)
+    months = batch_months(placed, table)
+    known = known_rows(spark, table, staged.drop(BATCH_ID).schema, months, batch_ids)
     fresh = new_rows(placed, known, table.keys, null_safe_keys)
-    return write_parts(_clustered(fresh, table), table.path, table.partitions, table.fmt)
+    return write_parts(_clustered(fresh, months), table.path, table.partitions, table.fmt)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weirgate.functions import month_date
 from weirgate.operators.months import collect_months, in_months, month_delta
-from weirgate.operators.ordinals import capped_scan
+from weirgate.operators.ordinals import capped_scan, with_copy_id
 from weirgate.plans.feed import Feed, Places
 from weirgate.plans.status import read_status
 from weirgate.sources import land_by_month, landed_months, read_worklist, source_months, write_worklist
@@ -31,7 +31,9 @@ def land_missing_months(
     if months:
         rows = source.where(in_months(feed.time(), months))
         if row_cap is not None:
-            rows = capped_scan(rows, month_date(feed.time()), [feed.time_column], row_cap).select(*source.columns)
+            numbered = with_copy_id(rows)
+            month = month_date(feed.time())
+            rows = capped_scan(numbered, month, [feed.time_column], row_cap, "copy_id").select(*source.columns)
         land_by_month(rows, feed.time(), places.landing)
     publish_worklist(spark, places, spark.createDataFrame([(m,) for m in months], "month timestamp_ntz"))
     return read_worklist(spark, places.worklist)

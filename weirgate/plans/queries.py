@@ -12,7 +12,7 @@ from weirgate.functions import add_month, file_name_to_iso, iso_text, moment, mo
 from weirgate.operators.dedup import append_union, dedup_keys, dedup_rows
 from weirgate.operators.membership import anti_join_dimension, semi_join_dimension
 from weirgate.operators.months import in_window, month_delta, month_windows, scan_months
-from weirgate.operators.ordinals import capped_scan, round_robin_shards
+from weirgate.operators.ordinals import add_place, capped_scan, round_robin_shards
 from weirgate.operators.rules import (
     Rule,
     between,
@@ -110,8 +110,8 @@ def month_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("limited_scan")
 def limited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    return capped_scan(orders, month_start(F.col("o_orderdate")), ["o_orderdate", "o_orderkey"], 100)
+    orders = add_place(table(spark, sf_dir, "orders"))
+    return capped_scan(orders, month_start(F.col("o_orderdate")), ["o_orderdate", "o_orderkey"], 100, "copy_id")
 
 
 @query("worklist_scan")
@@ -311,7 +311,7 @@ def validation_summary_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("validation_summary_ridership")
 def validation_summary_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = ridership_rules(stations(spark, sf_dir))
-    return flat_summary(prepare_batch(raw_events(spark, sf_dir), RIDERSHIP, rules), rules)
+    return flat_summary(store(prepare_batch(raw_events(spark, sf_dir), RIDERSHIP, rules), "batch"), rules)
 
 
 @query("unexpected_samples")
@@ -480,9 +480,8 @@ def warehouse_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("round_robin_shards")
 def round_robin_shards_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    located = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("copy_id")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", located)
-    return round_robin_shards(lines, LINE_KEYS, 3, copy_id="copy_id")
+    lines = add_place(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "copy_id")
+    return round_robin_shards(lines, LINE_KEYS, 3, "copy_id")
 
 
 # --- the feed end to end ----------------------------------------------------------------------------

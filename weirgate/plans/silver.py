@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,10 +77,10 @@ def load_batch(
     check_batch_id(batch_id)
     rules = feed.rules(dimension)
     batch = store(prepare_batch(raw, feed, rules), "batch")
-    months = collect_months(batch.select(feed.time().alias("month")))
     passed = validation_gate(batch, rules).first()["success"]
     if not passed:
         kept = quarantine(batch, rules, places.quarantine_good, places.quarantine_bad, batch_id, null_policy)
+        months = collect_months(batch.select(feed.time().alias("month")))
         record(spark, places.status, "silver", "rejected", {batch_id: 0}, months)
         outcome = BatchOutcome(batch_id, "rejected", rules, batch, n_good=kept.n_good, n_bad=kept.n_bad)
         if on_reject == "raise":
@@ -94,6 +95,7 @@ def load_batch(
         null_safe_keys=null_safe_keys,
         key_order=key_order,
     )
+    months = [datetime(m.year, m.month, 1) if m else None for m in new.months]
     record(spark, places.status, "silver", "loaded", {batch_id: new.n_new}, months)
     return BatchOutcome(batch_id, "loaded", rules, batch, new.staged, n_new=new.n_new)
 
