@@ -108,6 +108,14 @@ def test_rejected_batch(spark, stations, places):
     assert spark.read.parquet(places.quarantine_bad).count() == 2
 
 
+def test_cast_failures_pass_the_rules_but_are_told(spark, stations, places):
+    raw = source(spark, JAN, ("2024-01-07T00:00:00.000", "7", "abc"))
+    outcome = load_batch(spark, raw, stations, RIDERSHIP, places, "b1")
+    assert outcome.n_new == 2
+    failed = {r["column_name"]: r["cast_failures"] for r in outcome.cast_failures().where("cast_failures > 0").collect()}
+    assert failed == {"ridership": 1}
+
+
 def test_missing_column(spark, stations, places):
     with pytest.raises(ValueError, match="missing columns: borough"):
         load_batch(spark, source(spark, JAN).drop("borough"), stations, RIDERSHIP, places, "b1")

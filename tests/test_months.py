@@ -17,6 +17,7 @@ from weirgate.sources import (
     land_by_month,
     landed_months,
     landing_inventory,
+    month_file_names,
     read_dimension,
     read_json_pages,
     read_landed_months,
@@ -127,8 +128,10 @@ def test_landing_and_worklist(spark, tmp_path, zone):
     write_worklist(times(spark, datetime(2024, 1, 1), None), listed)
     assert spark.read.parquet(listed).collect()[0]["new_timestamps"] == "2024-01-01T00:00:00.000"
     months = read_worklist(spark, listed)
-    assert [r["id"] for r in read_landed_months(spark, root, months).collect()] == [2]
+    assert [r["id"] for r in read_landed_months(spark, root, month_file_names(months)).collect()] == [2]
     assert spark.read.parquet(root).count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_landed_months(spark, root, ["ridership_2024-02-01T00-00-00-000.parquet"])
     write_worklist(times(spark), listed)
     assert read_worklist(spark, listed).isEmpty()
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from weirgate.operators.rules import CHECKS, Rule, any_violation
+from weirgate.sources.files import no_rows
 
 NullPolicy = Literal["pass", "fail", "drop"]
 
@@ -111,5 +112,5 @@ def read_batch(
 ) -> DataFrame:
     """The rows a batch wrote below ``path``; a batch without rows has no folder."""
     if not n_rows:
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     return spark.read.format(fmt).schema(schema).load(f"{path}/batch_id={batch_id}")

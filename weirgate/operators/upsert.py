@@ -22,7 +22,7 @@ from weirgate.functions import month_date
 from weirgate.operators.dedup import dedup_keys
 from weirgate.operators.membership import anti_join_dimension
 from weirgate.operators.split import read_batch, write_batch, write_parts
-from weirgate.sources.files import absent_path
+from weirgate.sources.files import absent_path, no_rows
 
 PART_MONTH = "part_month"
 BATCH_ID = "batch_id"
@@ -76,7 +76,7 @@ def snapshot(spark: SparkSession, table: KeyedTable, schema: StructType) -> Data
         found = spark.read.format(table.fmt).load(table.path)
     except AnalysisException as error:
         if absent_path(error):
-            return spark.createDataFrame([], full)
+            return no_rows(spark, full)
         raise
     if set(found.columns) != set(full.names):
         raise ValueError(f"{table.path} holds other data: {found.columns} instead of {full.names}")

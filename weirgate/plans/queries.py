@@ -44,6 +44,7 @@ from weirgate.sources import (
     MONTH_FILE,
     land_by_month,
     landing_inventory,
+    month_file_names,
     read_dimension,
     read_json_pages,
     read_landed_months,
@@ -127,7 +128,7 @@ def multi_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_by_month(orders, F.col("o_orderdate"), root)
     listed = source_months(table(spark, sf_dir, "lineitem"), F.col("l_shipdate"))
     landed = landing_inventory(spark, root).select(parse_iso(F.col("iso_time")).alias("month"))
-    return read_landed_months(spark, root, listed.join(landed, "month", "left_semi"))
+    return read_landed_months(spark, root, month_file_names(listed.join(landed, "month", "left_semi")))
 
 
 @query("json_ingest")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from typing import Literal
@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from weirgate.operators.dedup import dedup_rows
 from weirgate.operators.months import collect_months
 from weirgate.operators.rules import CHECKS, Rule, evaluate
-from weirgate.operators.schema import cast_schema, derive_datetime, project_columns
+from weirgate.operators.schema import cast_failures, cast_schema, derive_datetime, project_columns
 from weirgate.operators.split import NullPolicy, quarantine
 from weirgate.operators.summary import validation_gate, validation_summary
 from weirgate.operators.upsert import check_batch_id, insert_new
 from weirgate.plans.feed import Feed, Places
 from weirgate.plans.status import record
 from weirgate.session import scratch_path
-from weirgate.sources import landed_months, read_landed_months, read_worklist
+from weirgate.sources import landed_months, month_file_names, read_landed_months, read_worklist
 
 
 @dataclass(frozen=True)
@@ -28,6 +28,8 @@ class BatchOutcome:
 
     batch_id: str
     state: Literal["loaded", "rejected", "empty"]
+    raw: DataFrame | None = None
+    types: Mapping[str, str] | None = None
     rules: Sequence[Rule] = ()
     flagged: DataFrame | None = None
     new_rows: DataFrame | None = None
@@ -39,6 +41,10 @@ class BatchOutcome:
         """One row per rule: counts, percentage and samples."""
         return validation_summary(self.flagged, self.rules)
 
+    def cast_failures(self) -> DataFrame:
+        """One row per column: raw values that became NULL. NULL passes the rules, so these are not seen there."""
+        return cast_failures(self.raw, self.types)
+
 
 class BatchRejected(Exception):
     """A rule failed; the batch went to quarantine."""
@@ -82,7 +88,7 @@ def load_batch(
         kept = quarantine(batch, rules, places.quarantine_good, places.quarantine_bad, batch_id, null_policy)
         months = collect_months(batch.select(feed.time().alias("month")))
         record(spark, places.status, "silver", "rejected", {batch_id: 0}, months)
-        outcome = BatchOutcome(batch_id, "rejected", rules, batch, n_good=kept.n_good, n_bad=kept.n_bad)
+        outcome = BatchOutcome(batch_id, "rejected", raw, feed.types, rules, batch, n_good=kept.n_good, n_bad=kept.n_bad)
         if on_reject == "raise":
             raise BatchRejected(outcome)
         return outcome
@@ -97,7 +103,7 @@ def load_batch(
     )
     months = [datetime(m.year, m.month, 1) if m else None for m in new.months]
     record(spark, places.status, "silver", "loaded", {batch_id: new.n_new}, months)
-    return BatchOutcome(batch_id, "loaded", rules, batch, new.staged, n_new=new.n_new)
+    return BatchOutcome(batch_id, "loaded", raw, feed.types, rules, batch, new.staged, new.n_new)
 
 
 def load_worklist(
@@ -105,7 +111,8 @@ def load_worklist(
 ) -> BatchOutcome:
     """Load the months of the work list that are landed; an empty list does nothing."""
     listed = read_worklist(spark, places.worklist).join(landed_months(spark, places.landing), "month", "left_semi")
-    if listed.isEmpty():
+    names = month_file_names(listed)
+    if not names:
         return BatchOutcome(batch_id, "empty")
-    raw = read_landed_months(spark, places.landing, listed)
+    raw = read_landed_months(spark, places.landing, names)
     return load_batch(spark, raw, dimension, feed, places, batch_id, **options)

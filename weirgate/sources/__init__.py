@@ -2,6 +2,8 @@ from weirgate.sources.files import (
     MONTH_FILE,
     absent_path,
     land_by_month,
+    month_file_names,
+    no_rows,
     read_dimension,
     read_if_exists,
     read_json_pages,
@@ -17,6 +19,8 @@ __all__ = [
     "land_by_month",
     "landed_months",
     "landing_inventory",
+    "month_file_names",
+    "no_rows",
     "read_dimension",
     "read_if_exists",
     "read_json_pages",

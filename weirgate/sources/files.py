@@ -20,6 +20,11 @@ def absent_path(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty table that the optimizer knows to be empty, so that joins with it fall away before they run."""
+    return spark.createDataFrame([], schema).where(F.lit(False))
+
+
 def read_if_exists(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options: str
 ) -> DataFrame:
@@ -28,7 +33,7 @@ def read_if_exists(
         return spark.read.format(fmt).schema(schema).options(**options).load(path)
     except AnalysisException as error:
         if absent_path(error):
-            return spark.createDataFrame([], schema)
+            return no_rows(spark, schema)
         raise
 
 
@@ -78,21 +83,18 @@ def month_file_names(months: DataFrame, month: str = "month") -> list[str]:
     return sorted(row["name"] for row in rows)
 
 
-def read_landed_months(spark: SparkSession, root: str, months: DataFrame) -> DataFrame:
+def read_landed_months(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """Only the named months of the landing area: other months are not even listed.
 
     Months are directories as :func:`land_by_month` writes them. A month that is not there is an error.
     """
-    names = month_file_names(months)
-    if not names:
-        raise ValueError("no months to read")
     return spark.read.parquet(*[f"{root}/{MONTH_FILE}={name}" for name in names])
 
 
 def write_worklist(months: DataFrame, path: str, month: str = "month") -> None:
     """Replace the work list: one column of ISO month texts."""
     listed = months.where(F.col(month).isNotNull()).select(iso_text(F.col(month)).alias(WORKLIST_COLUMN))
-    listed.orderBy(WORKLIST_COLUMN).coalesce(1).write.mode("overwrite").parquet(path)
+    listed.coalesce(1).sortWithinPartitions(WORKLIST_COLUMN).write.mode("overwrite").parquet(path)
 
 
 def read_worklist(spark: SparkSession, path: str) -> DataFrame:

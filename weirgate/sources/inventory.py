@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from weirgate.functions import file_name_pattern, file_name_to_iso, month_start, parse_iso
-from weirgate.sources.files import absent_path
+from weirgate.sources.files import absent_path, no_rows
 
 
 def source_months(df: DataFrame, ts: Column) -> DataFrame:
@@ -28,7 +29,7 @@ def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as error:
         if not absent_path(error):
             raise
-        files = spark.createDataFrame([], "path string")
+        files = no_rows(spark, StructType([StructField("path", StringType())]))
     iso = file_name_to_iso(F.col("path"))
     return files.where(F.col("path").rlike(file_name_pattern())).select(iso.alias("iso_time")).distinct()
 
