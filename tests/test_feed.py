@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirgate.plans.bronze import land_missing_months
-from weirgate.plans.feed import RIDERSHIP, Places
+from weirgate.plans.feed import Places
+from weirgate.plans.ridership import RIDERSHIP
 from weirgate.plans.silver import BatchRejected, load_batch, load_worklist
 from weirgate.plans.status import read_status
 from weirgate.plans.warehouse import merge_warehouse, read_warehouse

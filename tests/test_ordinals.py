@@ -37,7 +37,7 @@ def test_copies_spread_over_partitions(spark, tmp_path, with_conf):
     located = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("copy_id")
     frame = spark.read.parquet(path).select("k", located)
     numbered = with_ordinal(frame, ["k"], copy_id="copy_id")
-    assert numbered.columns == ["k", "ordinal"]
+    assert numbered.columns == ["k", "ordinal", "group_rows"]
     rows = sorted((r["ordinal"], r["k"]) for r in numbered.collect())
     assert rows == list(enumerate(sorted([7] * 1000 + list(range(1000, 3000)))))
     written = frame.repartitionByRange("k", "copy_id").groupBy(F.spark_partition_id()).count()

@@ -10,7 +10,8 @@ from weirgate.operators.rules import between, check, evaluate, in_dimension, in_
 from weirgate.operators.schema import cast_failures, cast_schema, project_columns, warehouse_projection
 from weirgate.operators.split import bad_rows, batch_counts, good_rows, limbo_rows, quarantine
 from weirgate.operators.summary import unexpected_samples, validation_gate, validation_summary, violation_counts
-from weirgate.plans.ridership import SCHEMA, TIMESTAMP_PATTERN, ridership_rules
+from weirgate.plans.feed import Feed
+from weirgate.plans.ridership import RIDERSHIP, SCHEMA, TIMESTAMP_PATTERN
 
 VALID = {
     "transit_timestamp": "2024-01-05T10:00:00.000",
@@ -68,7 +69,7 @@ CASES = [
 
 @pytest.mark.parametrize("policy", ["pass", "fail", "drop"])
 def test_feed_rules(spark, stations, policy):
-    rules = ridership_rules(stations)
+    rules = RIDERSHIP.rules(stations)
     changes = [change for change, _ in CASES]
     rows = feed_rows(spark, *changes).withColumn("n", F.monotonically_increasing_id())
     numbered = [r["n"] for r in rows.select("n").collect()]
@@ -101,13 +102,13 @@ def test_strict_rules(spark):
 
 
 def test_repeated_members_do_not_multiply_rows(spark, stations):
-    rules = ridership_rules(stations.unionAll(stations))
+    rules = RIDERSHIP.rules(stations.unionAll(stations))
     rows = feed_rows(spark, {}, {"station_complex_id": "nope"})
     assert evaluate(rows, rules).count() == 2
 
 
 def test_large_dimension_joins_without_broadcast(spark, stations, shuffled_joins):
-    rules = ridership_rules(stations)
+    rules = RIDERSHIP.rules(stations)
     rows = feed_rows(spark, *[change for change, _ in CASES])
     plan = evaluate(rows, rules)._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
@@ -115,7 +116,7 @@ def test_large_dimension_joins_without_broadcast(spark, stations, shuffled_joins
 
 
 def test_summary_agrees_with_the_split(spark, stations):
-    rules = ridership_rules(stations)
+    rules = RIDERSHIP.rules(stations)
     flagged = evaluate(feed_rows(spark, *[change for change, _ in CASES]), rules)
     summary = validation_summary(flagged, rules).collect()
     assert [r["column"] for r in summary] == [r.column for r in rules]
@@ -156,7 +157,7 @@ def test_samples_are_the_smallest_with_repeats(spark, values, k):
 
 
 def test_quarantine_replaces_its_own_batch(spark, stations, tmp_path):
-    rules = ridership_rules(stations)
+    rules = RIDERSHIP.rules(stations)
     good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
     flagged = evaluate(feed_rows(spark, *[change for change, _ in CASES]), rules)
     for _ in range(2):
@@ -195,3 +196,21 @@ def test_warehouse_projection_types(spark):
 def test_whole_row_dedup_treats_nulls_alike(spark):
     rows = spark.createDataFrame([(1, None), (1, None), (1, "a"), (2, "a")], "a int, b string")
     assert dedup_rows(rows).count() == 3
+
+
+def test_feed_from_a_rule_file(spark, stations):
+    config = {
+        "expected_columns": ["day", "kind", "place", "n"],
+        "schema": {"day": "string", "kind": "string", "place": "string", "n": "int"},
+        "key_columns": ["day", "place"],
+        "regex_patterns": {"day": r"^\d{4}-\d{2}-\d{2}$"},
+        "allowed_values": {"kind": ["a", "b"]},
+        "range_constraints": {"n": {"min": 1, "max": 9}},
+    }
+    feed = Feed.from_config(config, "day", "day_text", {"day": "timestamp_ntz"}, ["place"])
+    places = stations.withColumnRenamed("station_complex_id", "place")
+    rows = spark.createDataFrame([("2024-01-01", "a", "7", 5), ("x", "c", "?", 0)], "day string, kind string, place string, n int")
+    counts = violation_counts(evaluate(rows, feed.rules(places)), feed.rules(places)).collect()
+    assert [(r["column"], r["unexpected_count"]) for r in counts] == [("day", 1), ("kind", 1), ("place", 1), ("n", 1)]
+    with pytest.raises(ValueError, match="not expected: extra"):
+        Feed.from_config({**config, "schema": {"extra": "int"}}, "day", "day_text", {})

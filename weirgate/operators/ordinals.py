@@ -18,10 +18,11 @@ def with_ordinal(
     order_by: Sequence[str],
     within: Sequence[str] = (),
     copy_id: str | None = None,
-    ordinal: str = "ordinal",
 ) -> DataFrame:
     """Number the rows from 0 in the given order, separately per ``within`` group, without a global window.
 
+    Adds ``ordinal`` and ``group_rows``, the size of the row's group.
+
     The table is range-partitioned and sorted by all its columns (the order columns first) and written
     once with each row's partition and offset. Only the number of rows per partition and group is then
     summed up in order, and added back. Range bounds come from a sample, so computing them twice could
@@ -51,6 +52,7 @@ def with_ordinal(
             F.col(_PART).alias("__span"),
             *[F.col(c).alias(f"__in_{i}") for i, c in enumerate(within)],
             (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
+            F.sum("__n").over(Window.partitionBy(*within)).alias("group_rows"),
         )
     )
     # Written out, so that its size is known when the join below chooses to broadcast it or not.
@@ -59,14 +61,15 @@ def with_ordinal(
     same += [F.col(c).eqNullSafe(F.col(f"__in_{i}")) for i, c in enumerate(within)]
     located = rows.join(spark.read.parquet(spans_path), reduce(lambda a, b: a & b, same))
     columns = [c for c in df.columns if c != copy_id]
-    return located.select(*columns, (F.col(_POS) + F.col("__shift")).alias(ordinal))
+    return located.select(*columns, (F.col(_POS) + F.col("__shift")).alias("ordinal"), "group_rows")
 
 
 def round_robin_shards(
     df: DataFrame, order_by: Sequence[str], n_shards: int, copy_id: str | None = None
 ) -> DataFrame:
     """Deal the ordered rows to ``n_shards`` workers in turn: ``shard = ordinal % n_shards``."""
-    return with_ordinal(df, order_by, copy_id=copy_id).withColumn("shard", F.col("ordinal") % n_shards)
+    numbered = with_ordinal(df, order_by, copy_id=copy_id).drop("group_rows")
+    return numbered.withColumn("shard", F.col("ordinal") % n_shards)
 
 
 def with_copy_id(df: DataFrame, name: str = "copy_id") -> DataFrame:
@@ -92,8 +95,5 @@ def capped_scan(
     ``truncated`` tells for each kept row whether its group had more rows than the cap.
     """
     numbered = with_ordinal(df.withColumn("__group", group), order_by, within=["__group"], copy_id=copy_id)
-    over = numbered.where(F.col("ordinal") == cap).select(F.col("__group").alias("__cut"))
-    kept = numbered.where(F.col("ordinal") < cap)
-    cut = kept.join(over, F.col("__group").eqNullSafe(F.col("__cut")), "left")
-    columns = [c for c in df.columns if c != copy_id]
-    return cut.select(*columns, "ordinal", F.col("__cut").isNotNull().alias("truncated"))
+    kept = numbered.where(F.col("ordinal") < cap).withColumn("truncated", F.col("group_rows") > cap)
+    return kept.drop("__group", "group_rows")

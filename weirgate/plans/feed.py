@@ -2,40 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.operators.rules import Rule
+from weirgate.operators.rules import Rule, between, in_dimension, in_set, matches_regex
 from weirgate.operators.upsert import KeyedTable
-from weirgate.plans import ridership
 
 
 @dataclass(frozen=True)
 class Feed:
-    """``rules`` takes the dimension table and gives the rules of a batch."""
+    """Columns in order with their types, the business key, and what each column may hold."""
 
     types: Mapping[str, str]
     keys: tuple[str, ...]
     time_column: str
     derived_time: str
     warehouse_types: Mapping[str, str]
-    rules: Callable[[DataFrame], list[Rule]]
+    patterns: Mapping[str, str]
+    accepted: Mapping[str, Sequence[Any]]
+    ranges: Mapping[str, tuple[float, float]]
+    dimension_columns: tuple[str, ...]
+
+    @classmethod
+    def from_config(
+        cls,
+        config: Mapping[str, Any],
+        time_column: str,
+        derived_time: str,
+        warehouse_types: Mapping[str, str],
+        dimension_columns: Sequence[str] = (),
+    ) -> Feed:
+        """A feed from a parsed rule file: column list, casts, key, patterns, accepted values and ranges."""
+        unknown = [c for c in config["schema"] if c not in config["expected_columns"]]
+        if unknown:
+            raise ValueError(f"casts for columns that are not expected: {', '.join(unknown)}")
+        return cls(
+            types=dict(config["schema"]),
+            keys=tuple(config["key_columns"]),
+            time_column=time_column,
+            derived_time=derived_time,
+            warehouse_types=dict(warehouse_types),
+            patterns=dict(config["regex_patterns"]),
+            accepted=dict(config["allowed_values"]),
+            ranges={c: (r["min"], r["max"]) for c, r in config["range_constraints"].items()},
+            dimension_columns=tuple(dimension_columns),
+        )
 
     def time(self) -> Column:
         return F.col(self.time_column).try_cast("timestamp_ntz")
 
-
-RIDERSHIP = Feed(
-    types=ridership.SCHEMA,
-    keys=ridership.KEY,
-    time_column=ridership.TIME_COLUMN,
-    derived_time=ridership.DERIVED_TIME,
-    warehouse_types=ridership.WAREHOUSE_SCHEMA,
-    rules=ridership.ridership_rules,
-)
+    def rules(self, dimension: DataFrame) -> list[Rule]:
+        """All rules in column order; dimension columns must be found in the dimension, each for itself."""
+        rules = []
+        for column in self.types:
+            if column in self.patterns:
+                rules.append(matches_regex(column, self.patterns[column]))
+            if column in self.accepted:
+                rules.append(in_set(column, self.accepted[column]))
+            if column in self.dimension_columns:
+                rules.append(in_dimension(column, dimension))
+            if column in self.ranges:
+                rules.append(between(column, *self.ranges[column]))
+        return rules
 
 
 @dataclass(frozen=True)

@@ -45,9 +45,11 @@ def _typed(expressions: dict[str, str], source: str, time: str) -> str:
         "float": "TRY_CAST({0} AS FLOAT)",
     }
     columns = ", ".join(f"{casts[kind].format(name)} AS {name}" for name, kind in SCHEMA.items())
-    derived = "strftime(TRY_CAST(transit_timestamp AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS transit_datetime"
-    # Text that only this engine would read as a time must stay NULL, as in the other one.
-    derived = f"CASE WHEN transit_timestamp LIKE '____-__-__T%' THEN {derived.replace(' AS transit_datetime', '')} END AS transit_datetime"
+    # The LIKE keeps this engine from reading text as a time that the other one would not.
+    derived = (
+        "CASE WHEN transit_timestamp LIKE '____-__-__T%'"
+        " THEN strftime(TRY_CAST(transit_timestamp AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') END AS transit_datetime"
+    )
     return f"SELECT DISTINCT *, {derived} FROM (SELECT {columns} FROM ({raw}))"
 
 

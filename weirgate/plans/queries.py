@@ -34,8 +34,8 @@ from weirgate.operators.split import NullPolicy, Quarantine, bad_rows, good_rows
 from weirgate.operators.summary import unexpected_samples, validation_gate, validation_summary
 from weirgate.operators.upsert import KeyedTable, insert_new, merge_batches, new_rows, read_table, stage_new
 from weirgate.plans.bronze import land_missing_months
-from weirgate.plans.feed import RIDERSHIP, Places
-from weirgate.plans.ridership import ridership_rules
+from weirgate.plans.feed import Places
+from weirgate.plans.ridership import RIDERSHIP
 from weirgate.plans.silver import load_batch, load_worklist, prepare_batch, store
 from weirgate.plans.views import DIRTY_EVENTS, TEXT_EVENTS, raw_events, raw_orders, stations, table, view
 from weirgate.plans.warehouse import merge_warehouse, read_warehouse
@@ -311,7 +311,7 @@ def validation_summary_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("validation_summary_ridership")
 def validation_summary_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = ridership_rules(stations(spark, sf_dir))
+    rules = RIDERSHIP.rules(stations(spark, sf_dir))
     return flat_summary(store(prepare_batch(raw_events(spark, sf_dir), RIDERSHIP, rules), "batch"), rules)
 
 
@@ -328,7 +328,7 @@ def validation_gate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("validation_gate_passing")
 def validation_gate_passing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = ridership_rules(stations(spark, sf_dir))
+    rules = RIDERSHIP.rules(stations(spark, sf_dir))
     return validation_gate(prepare_batch(raw_orders(spark, sf_dir), RIDERSHIP, rules), rules)
 
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
-from weirgate.operators.rules import Rule, between, in_dimension, in_set, matches_regex
+from weirgate.plans.feed import Feed
 
 # Fixed values of the feed: column order, types, key and accepted domains.
 SCHEMA = {
@@ -63,15 +61,19 @@ TIME_COLUMN = "transit_timestamp"
 DERIVED_TIME = "transit_datetime"
 
 
-def ridership_rules(stations: DataFrame) -> list[Rule]:
-    """The feed's eleven rules; ``stations`` is the station dimension."""
-    return [
-        matches_regex(TIME_COLUMN, TIMESTAMP_PATTERN),
-        in_set("transit_mode", TRANSIT_MODES),
-        in_dimension("station_complex_id", stations),
-        in_dimension("station_complex", stations),
-        in_set("borough", BOROUGHS),
-        in_set("payment_method", PAYMENT_METHODS),
-        in_set("fare_class_category", FARE_CLASSES),
-        *[between(column, low, high) for column, (low, high) in RANGES.items()],
-    ]
+RIDERSHIP = Feed(
+    types=SCHEMA,
+    keys=KEY,
+    time_column=TIME_COLUMN,
+    derived_time=DERIVED_TIME,
+    warehouse_types=WAREHOUSE_SCHEMA,
+    patterns={TIME_COLUMN: TIMESTAMP_PATTERN},
+    accepted={
+        "transit_mode": TRANSIT_MODES,
+        "borough": BOROUGHS,
+        "payment_method": PAYMENT_METHODS,
+        "fare_class_category": FARE_CLASSES,
+    },
+    ranges=RANGES,
+    dimension_columns=("station_complex_id", "station_complex"),
+)
