@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
@@ -22,7 +21,7 @@ from weirgate.functions import month_date
 from weirgate.operators.dedup import dedup_keys
 from weirgate.operators.membership import anti_join_dimension
 from weirgate.operators.split import read_batch, write_batch, write_parts
-from weirgate.sources.files import absent_path, no_rows
+from weirgate.sources.files import open_table
 
 PART_MONTH = "part_month"
 BATCH_ID = "batch_id"
@@ -69,21 +68,13 @@ def check_batch_id(batch_id: str) -> str:
 
 
 def snapshot(spark: SparkSession, table: KeyedTable, schema: StructType) -> DataFrame:
-    """The table with its partition columns; no rows if it does not exist. Other data at the path is an error."""
+    """The table with its partition columns, created if it does not exist. Other data at the path is an error."""
     parts = [StructField(p, DateType() if p == PART_MONTH else StringType()) for p in table.partitions]
-    full = StructType([*schema.fields, *parts])
-    try:
-        found = spark.read.format(table.fmt).load(table.path)
-    except AnalysisException as error:
-        if absent_path(error):
-            return no_rows(spark, full)
-        raise
-    if set(found.columns) != set(full.names):
-        raise ValueError(f"{table.path} holds other data: {found.columns} instead of {full.names}")
-    if (PART_MONTH, "void") in found.dtypes:
-        # Only month-less rows so far: Spark cannot tell the column's type from such folders.
-        found = spark.read.format(table.fmt).schema(full).load(table.path)
-    return found.select(*[F.col(f.name).cast(f.dataType) for f in full.fields])
+    found = open_table(spark, table.path, StructType([*schema.fields, *parts]), table.partitions, table.fmt)
+    # Every row of the table has a batch; the check prunes all its partitions and so reads nothing.
+    if not found.where(F.col(BATCH_ID).isNull()).isEmpty():
+        raise ValueError(f"{table.path} holds other data than this table")
+    return found
 
 
 def read_table(spark: SparkSession, table: KeyedTable, schema: StructType) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from weirgate.functions import month_date
 from weirgate.operators.months import collect_months, in_months, month_delta
 from weirgate.operators.ordinals import capped_scan, with_copy_id
 from weirgate.plans.feed import Feed, Places
 from weirgate.plans.status import read_status
-from weirgate.sources import land_by_month, landed_months, read_worklist, source_months, write_worklist
+from weirgate.sources import land_by_month, landed_months, local_rows, read_worklist, source_months, write_worklist
 
 
 def land_missing_months(
@@ -35,7 +36,8 @@ def land_missing_months(
             month = month_date(feed.time())
             rows = capped_scan(numbered, month, [feed.time_column], row_cap, "copy_id").select(*source.columns)
         land_by_month(rows, feed.time(), places.landing)
-    publish_worklist(spark, places, spark.createDataFrame([(m,) for m in months], "month timestamp_ntz"))
+    just_landed = local_rows(spark, [{"month": m} for m in months], StructType([StructField("month", TimestampNTZType())]))
+    publish_worklist(spark, places, just_landed)
     return read_worklist(spark, places.worklist)
 
 

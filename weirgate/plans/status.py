@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
-from weirgate.sources import read_if_exists
+from weirgate.sources import local_rows, open_table
 
 STATUS_SCHEMA = StructType(
     [
@@ -19,6 +19,7 @@ STATUS_SCHEMA = StructType(
         StructField("batch_id", StringType()),
     ]
 )
+STATUS_PARTS = ("stage", "batch_id")
 
 
 def record(
@@ -30,11 +31,14 @@ def record(
     months: Iterable[datetime | None] = (None,),
 ) -> None:
     """Note the state of batches at a stage; ``n_rows`` maps each batch to its row count."""
-    rows = [(m, state, n, stage, b) for b, n in n_rows.items() for m in (list(months) or [None])]
+    listed = list(months) or [None]
+    rows = [
+        {"month": m, "state": state, "n_rows": n, "stage": stage, "batch_id": b} for b, n in n_rows.items() for m in listed
+    ]
     (
-        spark.createDataFrame(rows, STATUS_SCHEMA)
+        local_rows(spark, rows, STATUS_SCHEMA)
         .coalesce(1)
-        .write.partitionBy("stage", "batch_id")
+        .write.partitionBy(*STATUS_PARTS)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
@@ -42,4 +46,4 @@ def record(
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
-    return read_if_exists(spark, path, STATUS_SCHEMA)
+    return open_table(spark, path, STATUS_SCHEMA, STATUS_PARTS)

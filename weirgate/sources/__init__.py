@@ -1,11 +1,11 @@
 from weirgate.sources.files import (
     MONTH_FILE,
-    absent_path,
     land_by_month,
+    local_rows,
     month_file_names,
     no_rows,
+    open_table,
     read_dimension,
-    read_if_exists,
     read_json_pages,
     read_landed_months,
     read_worklist,
@@ -15,14 +15,14 @@ from weirgate.sources.inventory import landed_months, landing_inventory, source_
 
 __all__ = [
     "MONTH_FILE",
-    "absent_path",
     "land_by_month",
     "landed_months",
     "landing_inventory",
+    "local_rows",
     "month_file_names",
     "no_rows",
+    "open_table",
     "read_dimension",
-    "read_if_exists",
     "read_json_pages",
     "read_landed_months",
     "read_worklist",

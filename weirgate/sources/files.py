@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
 from weirgate.functions import iso_text, month_start, parse_iso, safe_file_name
@@ -15,26 +17,22 @@ MONTH_FILE = "month_file"
 WORKLIST_COLUMN = "new_timestamps"
 
 
-def absent_path(error: AnalysisException) -> bool:
-    """True when a read failed only because nothing has been written there yet."""
-    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
 def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     """An empty table that the optimizer knows to be empty, so that joins with it fall away before they run."""
     return spark.createDataFrame([], schema).where(F.lit(False))
 
 
-def read_if_exists(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options: str
+def local_rows(spark: SparkSession, rows: list[dict[str, Any]], schema: StructType) -> DataFrame:
+    """A handful of rows from the driver; as an Arrow table they need no Python worker on the executors."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)), schema)
+
+
+def open_table(
+    spark: SparkSession, path: str, schema: StructType, parts: Sequence[str], fmt: str = "parquet"
 ) -> DataFrame:
-    """The table at ``path`` under ``schema``, or no rows when there is none."""
-    try:
-        return spark.read.format(fmt).schema(schema).options(**options).load(path)
-    except AnalysisException as error:
-        if absent_path(error):
-            return no_rows(spark, schema)
-        raise
+    """The partitioned table at ``path``, created without rows if there is nothing yet."""
+    no_rows(spark, schema).write.format(fmt).partitionBy(*parts).mode("ignore").save(path)
+    return spark.read.format(fmt).schema(schema).load(path)
 
 
 def read_json_pages(

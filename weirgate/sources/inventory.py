@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from weirgate.functions import file_name_pattern, file_name_to_iso, month_start, parse_iso
-from weirgate.sources.files import absent_path, no_rows
+from weirgate.sources.files import MONTH_FILE, open_table
 
 
 def source_months(df: DataFrame, ts: Column) -> DataFrame:
@@ -18,18 +17,16 @@ def source_months(df: DataFrame, ts: Column) -> DataFrame:
 
 def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
     """ISO time of every landed month below ``root``, told from the paths; no file is read."""
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .load(root)
-            .select("path")
-        )
-    except AnalysisException as error:
-        if not absent_path(error):
-            raise
-        files = no_rows(spark, StructType([StructField("path", StringType())]))
+    # An absent landing area is created empty, so that a first run needs no special case.
+    landed = StructType([StructField("row", StringType()), StructField(MONTH_FILE, StringType())])
+    open_table(spark, root, landed, [MONTH_FILE])
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(root)
+        .select("path")
+    )
     iso = file_name_to_iso(F.col("path"))
     return files.where(F.col("path").rlike(file_name_pattern())).select(iso.alias("iso_time")).distinct()
 
