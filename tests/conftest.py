@@ -14,7 +14,8 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("shared")
-    session = local_session("4", 4, **{"spark.checkpoint.dir": str(folder)})
+    # Four cores, and a task may fail twice before its job does.
+    session = local_session("4,3", 4, **{"spark.checkpoint.dir": str(folder)})
     yield session
     session.stop()
 
