@@ -108,6 +108,11 @@ def known_rows(
     return known.where(found | F.col(PART_MONTH).isNull() if None in months else found)
 
 
+def _unseen(placed: DataFrame, known: DataFrame, keys: Sequence[str], null_safe_keys: bool) -> DataFrame:
+    """No join, and so no shuffle of the batch, where the table has nothing in its months yet."""
+    return placed if known.isEmpty() else new_rows(placed, known, keys, null_safe_keys)
+
+
 def _clustered(df: DataFrame, months: Sequence[date | None]) -> DataFrame:
     """Bring the rows of a month together, where many months would mean many small files per task.
 
@@ -138,7 +143,7 @@ def stage_new(
     known = known_rows(spark, table, batch.schema, months, [batch_id])
     if key_order is not None:
         placed = dedup_keys(placed, table.keys, key_order)
-    fresh = new_rows(placed, known, table.keys, null_safe_keys)
+    fresh = _unseen(placed, known, table.keys, null_safe_keys)
     n_new = write_batch(_clustered(fresh, months), staging_path, batch_id, table.fmt)
     return Inserted(read_batch(spark, staging_path, batch_id, placed.schema, n_new, table.fmt), n_new, months)
 
@@ -182,5 +187,5 @@ def merge_batches(
     placed = with_month(staged, table)
     months = batch_months(placed, table)
     known = known_rows(spark, table, staged.drop(BATCH_ID).schema, months, batch_ids)
-    fresh = new_rows(placed, known, table.keys, null_safe_keys)
+    fresh = _unseen(placed, known, table.keys, null_safe_keys)
     return write_parts(_clustered(fresh, months), table.path, table.partitions, table.fmt)

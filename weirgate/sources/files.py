@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
-from weirgate.functions import iso_text, month_start, parse_iso, safe_file_name
+from weirgate.functions import iso_text, month_date, parse_iso, safe_file_name
 
 MONTH_FILE = "month_file"
 WORKLIST_COLUMN = "new_timestamps"
@@ -63,11 +63,14 @@ def land_by_month(df: DataFrame, ts: Column, root: str) -> None:
     """Write one directory per calendar month, named after the month; a month written again is replaced.
 
     The rebalance shuffle brings a month together and lets adaptive execution cut a heavy month into
-    several files, so neither a hot month nor many small ones hurt.
+    several files, so neither a hot month nor many small ones hurt. It carries the month as a date; the
+    longer name is made after it.
     """
     (
-        df.withColumn(MONTH_FILE, safe_file_name(month_start(ts)))
-        .hint("rebalance", MONTH_FILE)
+        df.withColumn("__month", month_date(ts))
+        .hint("rebalance", "__month")
+        .withColumn(MONTH_FILE, safe_file_name(F.col("__month").cast("timestamp_ntz")))
+        .drop("__month")
         .write.partitionBy(MONTH_FILE)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
