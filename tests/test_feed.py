@@ -117,6 +117,13 @@ def test_cast_failures_pass_the_rules_but_are_told(spark, stations, places):
     assert failed == {"ridership": 1}
 
 
+def test_the_id_of_a_loaded_batch_is_refused(spark, stations, places):
+    load_batch(spark, source(spark, JAN), stations, RIDERSHIP, places, "b1")
+    with pytest.raises(ValueError, match="loaded already"):
+        load_batch(spark, source(spark, FEB), stations, RIDERSHIP, places, "b1")
+    assert merge_warehouse(spark, RIDERSHIP, places) == 1
+
+
 def test_missing_column(spark, stations, places):
     with pytest.raises(ValueError, match="missing columns: borough"):
         load_batch(spark, source(spark, JAN).drop("borough"), stations, RIDERSHIP, places, "b1")
@@ -127,6 +134,10 @@ def test_row_cap(spark, places):
     land_missing_months(spark, source(spark, *rows), RIDERSHIP, places, row_cap=10)
     assert spark.read.parquet(places.landing).groupBy("month_file").count().agg(F.max("count")).first()[0] == 10
     assert spark.read.parquet(places.landing).count() == 11
+    noted = read_status(spark, places.status).where("state = 'truncated'").collect()
+    assert [(r["month"], r["n_rows"]) for r in noted] == [(datetime(2024, 1, 1), 10)]
+    # The note is not a settled batch: both months are still to be loaded.
+    assert len(months(read_worklist(spark, places.worklist))) == 2
 
 
 def test_from_json_pages(spark, stations, places, tmp_path):

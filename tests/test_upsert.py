@@ -145,6 +145,9 @@ def test_bad_arguments(spark, tmp_path, staging):
         KeyedTable("x", ("id",), "day")
     with pytest.raises(ValueError, match="batch id"):
         insert_new(spark, batch(spark, JAN), KeyedTable(str(tmp_path / "t"), KEYS), staging, "2024-01")
+    with pytest.raises(ValueError, match="columns named"):
+        rows = batch(spark, JAN).withColumn("batch_id", F.lit("x"))
+        insert_new(spark, rows, KeyedTable(str(tmp_path / "t"), KEYS), staging, "b1")
 
 
 def test_merge_of_several_batches(spark, table):

@@ -87,6 +87,8 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add the struct of all rule violations. Dimension rules add one join each, the rest none."""
     if not rules:
         raise ValueError("at least one rule is needed")
+    if CHECKS in df.columns:
+        raise ValueError(f"the batch must not have a column named {CHECKS}")
     columns, violations = df.columns, []
     for position, rule in enumerate(rules):
         if rule.members is None:

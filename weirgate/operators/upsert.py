@@ -3,7 +3,8 @@
 A table is a folder of Parquet files partitioned by month (where a key column fixes one) and by the
 batch that brought the rows. A batch owns its partitions: writing it again replaces them, and its own
 rows are not part of the snapshot it is compared with. So a batch that stopped anywhere can simply be
-run again under the same id, and NULL keys are not inserted twice by that.
+run again under the same id, and NULL keys are not inserted twice by that. The same id must mean the
+same rows, and a table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -138,6 +139,9 @@ def stage_new(
     per key within the batch; without it, rows that share a new key are all new.
     """
     check_batch_id(batch_id)
+    taken = {PART_MONTH, BATCH_ID} & set(batch.columns)
+    if taken:
+        raise ValueError(f"the batch must not have columns named {sorted(taken)}")
     placed = with_month(batch, table)
     months = batch_months(placed, table)
     known = known_rows(spark, table, batch.schema, months, [batch_id])

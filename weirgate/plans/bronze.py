@@ -10,7 +10,7 @@ from weirgate.functions import month_date
 from weirgate.operators.months import collect_months, in_months, month_delta
 from weirgate.operators.ordinals import capped_scan, with_copy_id
 from weirgate.plans.feed import Feed, Places
-from weirgate.plans.status import read_status
+from weirgate.plans.status import read_status, record
 from weirgate.sources import land_by_month, landed_months, local_rows, read_worklist, source_months, write_worklist
 
 
@@ -25,22 +25,31 @@ def land_missing_months(
     """Land every missing month in one pass; gives the work list of landed months silver has not settled.
 
     The list is published after the landing, from what really is there. Months of an earlier run that
-    was cut off before silver therefore stay on it. ``row_cap`` limits the rows of each month.
+    was cut off before silver therefore stay on it. ``row_cap`` limits the rows of each month; months
+    that lost rows to it are noted in the status table.
     """
     missing = month_delta(source_months(source, feed.time()), landed_months(spark, places.landing), reopen_last)
     months = collect_months(missing)
     if months:
         rows = source.where(in_months(feed.time(), months))
         if row_cap is not None:
-            numbered = with_copy_id(rows)
-            month = month_date(feed.time())
-            rows = capped_scan(numbered, month, [feed.time_column], row_cap, "copy_id").select(*source.columns)
+            rows = capped_months(spark, rows, feed, places, row_cap)
         land_by_month(rows, feed.time(), places.landing)
     just_landed = local_rows(spark, [{"month": m} for m in months], StructType([StructField("month", TimestampNTZType())]))
     publish_worklist(spark, places, just_landed)
     return read_worklist(spark, places.worklist)
 
 
+def capped_months(spark: SparkSession, rows: DataFrame, feed: Feed, places: Places, row_cap: int) -> DataFrame:
+    """The first rows of each month in time order; notes which months had more."""
+    capped = capped_scan(with_copy_id(rows), month_date(feed.time()), [feed.time_column], row_cap, "copy_id")
+    cut = collect_months(capped.where("truncated").select(feed.time().alias("month")))
+    if cut:
+        run = f"landing-{cut[0]:%Y-%m}-{cut[-1]:%Y-%m}"
+        record(spark, places.status, "landing", "truncated", {run: row_cap}, cut)
+    return capped.select(*rows.columns)
+
+
 def publish_worklist(spark: SparkSession, places: Places, just_landed: DataFrame) -> None:
     """Landed months that silver has neither loaded nor rejected, and the ones landed just now."""
     settled = read_status(spark, places.status).where(F.col("stage") == "silver").select("month")

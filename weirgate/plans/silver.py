@@ -17,7 +17,7 @@ from weirgate.operators.split import NullPolicy, quarantine
 from weirgate.operators.summary import validation_gate, validation_summary
 from weirgate.operators.upsert import check_batch_id, insert_new
 from weirgate.plans.feed import Feed, Places
-from weirgate.plans.status import record
+from weirgate.plans.status import is_loaded, record
 from weirgate.session import scratch_path
 from weirgate.sources import landed_months, month_file_names, read_landed_months, read_worklist
 
@@ -79,8 +79,14 @@ def load_batch(
     null_safe_keys: bool = False,
     key_order: Sequence[Column] | None = None,
 ) -> BatchOutcome:
-    """One batch through gate, then quarantine or insert. Safe to run again under the same batch id."""
+    """One batch through gate, then quarantine or insert.
+
+    A batch that was cut off or rejected may run again under its id and replaces what it left. The id of
+    a loaded batch is refused: other rows under it would replace the first ones.
+    """
     check_batch_id(batch_id)
+    if is_loaded(spark, places.status, batch_id):
+        raise ValueError(f"batch {batch_id} is loaded already; new rows need a new id")
     rules = feed.rules(dimension)
     batch = store(prepare_batch(raw, feed, rules), "batch")
     passed = validation_gate(batch, rules).first()["success"]

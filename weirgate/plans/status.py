@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from weirgate.sources import local_rows, open_table
@@ -47,3 +48,9 @@ def record(
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
     return open_table(spark, path, STATUS_SCHEMA, STATUS_PARTS)
+
+
+def is_loaded(spark: SparkSession, path: str, batch_id: str) -> bool:
+    """Has the silver stage finished this batch?"""
+    done = read_status(spark, path).where("stage = 'silver' AND state = 'loaded'")
+    return not done.where(F.col("batch_id") == batch_id).isEmpty()

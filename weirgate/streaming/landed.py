@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from weirgate.plans.feed import Feed, Places
 from weirgate.plans.silver import load_batch
+from weirgate.plans.status import is_loaded
 
 
 def load_landed_files(
@@ -15,14 +16,17 @@ def load_landed_files(
 ) -> StreamingQuery:
     """Take every landed file not taken before through :func:`load_batch`, then stop.
 
-    A micro-batch that is replayed after a failure has the same id, and so replaces its own rows. A
-    batch that fails its rules is quarantined and recorded; it does not stop the batches after it.
+    A micro-batch that is replayed after a failure has the same id: it replaces its own rows, or is passed
+    over if it was loaded. A batch that fails its rules is quarantined and recorded; it does not stop the
+    batches after it.
     """
     schema = StructType([StructField(name, StringType()) for name in feed.types])
     options.setdefault("on_reject", "record")
 
     def load(batch: DataFrame, epoch: int) -> None:
-        load_batch(batch.sparkSession, batch, dimension, feed, places, f"stream-{epoch:09d}", **options)
+        session, batch_id = batch.sparkSession, f"stream-{epoch:09d}"
+        if not is_loaded(session, places.status, batch_id):
+            load_batch(session, batch, dimension, feed, places, batch_id, **options)
 
     return (
         spark.readStream.schema(schema)
