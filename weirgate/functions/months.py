@@ -2,7 +2,8 @@
 
 Times are zone-less (``timestamp_ntz``). ``date_trunc`` and ``date_format`` route such values through
 the session zone and shift them inside a daylight-saving gap, so everything here goes through
-``date`` or through the text form, which no session zone touches.
+``date`` or through the text form, which no session zone touches. The parsers use their input once and
+have no branches, since Spark evaluates a nested input again for each use inside a branch.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 # The text forms that landed files and work lists use.
 FILE_PREFIX = "ridership"
 ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}$"
-SAFE_TIME_PATTERN = r"(\d{4}-\d{2}-\d{2})T(\d{2})-(\d{2})-(\d{2})-(\d{3})"
+SAFE_TIME_PATTERN = r"(\d{4}-\d{2}-\d{2}T\d{2}-\d{2}-\d{2}-\d{3})"
 
 
 def moment(value: datetime) -> Column:
@@ -40,7 +41,8 @@ def add_month(ts: Column) -> Column:
 
 def parse_iso(text: Column) -> Column:
     """``YYYY-MM-DDTHH:MM:SS.fff`` to a timestamp, NULL for any other text."""
-    return F.when(text.rlike(ISO_PATTERN), text.try_cast("timestamp_ntz"))
+    # Text that does not match becomes empty, and empty text is no timestamp.
+    return F.regexp_extract(text, ISO_PATTERN, 0).try_cast("timestamp_ntz")
 
 
 def _millis(text: Column) -> Column:
@@ -75,5 +77,5 @@ def file_name_pattern(prefix: str = FILE_PREFIX) -> str:
 
 def file_name_to_iso(path: Column, prefix: str = FILE_PREFIX) -> Column:
     """The ISO text a landed path encodes, NULL for other paths."""
-    pattern = "^.*" + file_name_pattern(prefix)
-    return F.when(path.rlike(pattern), F.regexp_replace(path, pattern, "$1T$2:$3:$4.$5"))
+    safe = F.regexp_extract(path, file_name_pattern(prefix), 1)
+    return F.nullif(F.regexp_replace(safe, r"T(\d+)-(\d+)-(\d+)-(\d+)$", "T$1:$2:$3.$4"), F.lit(""))

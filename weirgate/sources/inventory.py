@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from weirgate.functions import file_name_pattern, file_name_to_iso, month_start, parse_iso
+from weirgate.functions import file_name_to_iso, month_start, parse_iso
 from weirgate.sources.files import MONTH_FILE, open_table
 
 
@@ -27,8 +27,7 @@ def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path")
     )
-    iso = file_name_to_iso(F.col("path"))
-    return files.where(F.col("path").rlike(file_name_pattern())).select(iso.alias("iso_time")).distinct()
+    return files.select(file_name_to_iso(F.col("path")).alias("iso_time")).where("iso_time IS NOT NULL").distinct()
 
 
 def landed_months(spark: SparkSession, root: str) -> DataFrame:
