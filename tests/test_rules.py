@@ -209,8 +209,35 @@ def test_feed_from_a_rule_file(spark, stations):
     }
     feed = Feed.from_config(config, "day", "day_text", {"day": "timestamp_ntz"}, ["place"])
     places = stations.withColumnRenamed("station_complex_id", "place")
-    rows = spark.createDataFrame([("2024-01-01", "a", "7", 5), ("x", "c", "?", 0)], "day string, kind string, place string, n int")
+    rows = spark.createDataFrame(
+        [("2024-01-01", "a", "7", 5), ("x", "c", "?", 0)], "day string, kind string, place string, n int"
+    )
     counts = violation_counts(evaluate(rows, feed.rules(places)), feed.rules(places)).collect()
     assert [(r["column"], r["unexpected_count"]) for r in counts] == [("day", 1), ("kind", 1), ("place", 1), ("n", 1)]
     with pytest.raises(ValueError, match="not expected: extra"):
         Feed.from_config({**config, "schema": {"extra": "int"}}, "day", "day_text", {})
+
+
+def test_hot_values_and_nulls_are_split(spark, shuffled_joins, with_conf, tmp_path):
+    """A third of the batch holds one member and a third holds NULL; the dimension may not be broadcast."""
+    with_conf(
+        {
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16",
+        }
+    )
+    path, n = str(tmp_path / "rows"), 60_000
+    value = "CASE id % 3 WHEN 0 THEN -1 WHEN 1 THEN NULL ELSE id END AS v"
+    spark.range(n, numPartitions=8).selectExpr(value, "uuid() AS note").write.parquet(path)
+    members = spark.range(-1, n // 2).withColumnRenamed("id", "v")
+    rules = [in_dimension("v", members)]
+    flagged = evaluate(spark.read.parquet(path), rules)
+    found = flagged.withColumn("bad", check(0))
+    rows = found.collect()
+    assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
+    assert sum(r["bad"] is None for r in rows) == n // 3
+    assert sum(r["bad"] is True for r in rows) == sum(v >= n // 2 for v in range(2, n, 3))
+    assert len(rows) == n
