@@ -156,6 +156,13 @@ def test_samples_are_the_smallest_with_repeats(spark, values, k):
     assert found.get(1, []) == texts
 
 
+def test_samples_of_missing_and_combined_values(spark, stations):
+    rules = [not_null("borough"), in_dimension(["station_complex_id", "station_complex"], stations)]
+    rows = feed_rows(spark, {"borough": None}, {"borough": None}, {"station_complex_id": "8"})
+    found = {r["rule_no"]: r["samples"] for r in unexpected_samples(evaluate(rows, rules), rules).collect()}
+    assert found == {0: [None, None], 1: ["8,First St (2,5)"]}
+
+
 def test_quarantine_replaces_its_own_batch(spark, stations, tmp_path):
     rules = RIDERSHIP.rules(stations)
     good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
