@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,9 +28,12 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4
 
 
-def with_columns_renamed_apart(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Drop columns of a table that an operator is about to add under the same name."""
-    return df.drop(*[c for c in df.columns if c in set(names)])
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that the table does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
 
 
 def texts(batch: pa.RecordBatch, name: str) -> list[str]:

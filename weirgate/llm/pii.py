@@ -22,11 +22,12 @@ import hmac
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import stage, with_columns_renamed_apart
+from weirgate.llm.common import free_name, stage
 
 MOST_ATTEMPTS = 40
 
@@ -278,22 +279,22 @@ def assign(entities: DataFrame, secret: bytes) -> DataFrame:
 def replace(docs: DataFrame, secret: bytes, count_column: str | None = None) -> DataFrame:
     """``docs`` with the entities of column ``text`` replaced; ``count_column`` adds their number (0 if none).
 
-    A column n_chars is kept true to the new text. Other columns stay.
+    A column n_chars is kept true to the new text. Other columns stay; one named as ``count_column`` is replaced.
     """
     if count_column:
-        docs = with_columns_renamed_apart(docs, [count_column])
+        docs = docs.drop(count_column)
     mentions = stage(docs.select(F.col("text").cast("string")).mapInArrow(_mentions, "text_hash bigint, kind string, entity string"), "mentions")
     surrogates = assign(mentions.select("kind", "entity").distinct(), secret)
     later = surrogates.where("attempt > 0")
-    apart = "_later"
+    apart = free_name(docs, "later")
     if later.isEmpty():
         joined = docs.withColumn(apart, F.lit(None).cast("array<struct<kind:string,entity:string,made:string>>"))
     else:
-        by_text = mentions.join(later, ["kind", "entity"]).groupBy("text_hash").agg(
+        hashed = free_name(docs, "text_hash")
+        by_text = mentions.join(later, ["kind", "entity"]).groupBy(F.col("text_hash").alias(hashed)).agg(
             F.collect_set(F.struct("kind", "entity", "made")).alias(apart)
         )
-        hashed = docs.withColumn("_hash", _hash_column("text"))
-        joined = hashed.join(by_text, hashed["_hash"] == by_text["text_hash"], "left").drop("_hash", "text_hash")
+        joined = docs.withColumn(hashed, _hash_column("text")).join(by_text, hashed, "left").select(*docs.columns, apart)
     place = docs.columns.index("text")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,8 +329,6 @@ def replace(docs: DataFrame, secret: bytes, count_column: str | None = None) ->
 
 
 def _hash_column(name: str):
-    import pandas as pd
-
     @F.pandas_udf("bigint")
     def hashed(text: pd.Series) -> pd.Series:
         return text.map(lambda t: _text_hash(t) if t else 0)
