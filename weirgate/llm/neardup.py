@@ -165,17 +165,23 @@ def _by_rare_shingles(unsettled: DataFrame, sets: DataFrame) -> DataFrame:
         "rank", F.row_number().over(Window.partitionBy("id").orderBy("uses", "item"))
     )
     prefix = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1
-    rare = stage(ranked.where((F.col("rank") <= prefix) & (F.col("uses") > 1)).select("item", "id", "n", "component"), "rare")
+    rare = ranked.where((F.col("rank") <= prefix) & (F.col("uses") > 1)).select("item", "id", "n", "rank", "component")
+    rare = stage(rare, "rare")
     parts = rare.groupBy("item", "component").agg(F.count("*").alias("part"))
     groups = parts.groupBy("item").agg(
         F.count("*").alias("n_parts"), F.max_by("component", F.struct("part", "component")).alias("major")
     )
     spread = rare.join(groups.where("n_parts > 1"), "item")
     minor = spread.where("component <> major").select(
-        "item", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a")
+        "item", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("rank").alias("r_a"), F.col("component").alias("c_a")
+    )
+    any_ = spread.select(
+        "item", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("rank").alias("r_b"), F.col("component").alias("c_b"), "major"
     )
-    any_ = spread.select("item", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "major")
     meet = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("major")) | (F.col("a") < F.col("b")))
+    # At the first shingle a pair shares, what either set has from there on must hold all that they need to share.
+    for n, rank in (("n_a", "r_a"), ("n_b", "r_b")):
+        meet &= (100 + SIMILAR) * (F.col(n) - F.col(rank) + 1) >= SIMILAR * (F.col("n_a") + F.col("n_b"))
     return minor.join(any_, "item").where(meet & _sizes_fit(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
 
 
