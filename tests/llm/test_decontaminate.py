@@ -1,0 +1,91 @@
+import random
+
+import pytest
+from corpora import docs_frame, no_docs, odd_docs, prose
+
+from weirgate.llm import decontaminate as dc
+from weirgate.llm.queries import op8_template_decontamination
+
+ITEMS = "item_id bigint, text string"
+QUESTION = "The farmer Jonas has 12 apples and gives 5 kg to his sister Clara before the market opens at 9 hours."
+
+
+@pytest.fixture
+def benchmark(spark):
+    rng = random.Random(1)
+    rows = [(1, QUESTION), (2, prose(rng, 40)), (3, "short question of six words here"), (4, None), (5, ""), (None, prose(rng, 20)), (6, "a b")]
+    return spark.createDataFrame(rows, ITEMS)
+
+
+def verdicts(spark, texts, benchmark):
+    return {r.doc_id: (r.item_id, r.kind) for r in dc.contamination(docs_frame(spark, texts), benchmark).collect()}
+
+
+def test_exact_and_asked_again(spark, benchmark):
+    rng = random.Random(2)
+    item = benchmark.where("item_id = 2").first().text
+    other = QUESTION.replace("Jonas", "Pavel").replace("12", "31").replace("Clara", "Irma").replace("kg", "lbs").replace(" 9 ", " 7 ")
+    texts = [
+        f"{prose(rng, 50)}. {QUESTION} {prose(rng, 30)}",
+        f"{prose(rng, 50)}. {other} {prose(rng, 30)}",
+        f"{prose(rng, 30)} {item} {prose(rng, 30)}",
+        prose(rng, 200),
+        "x. Short question of six words here.",
+    ]
+    assert verdicts(spark, texts, benchmark) == {0: (1, "exact"), 1: (1, "reparameterised"), 2: (2, "exact"), 4: (3, "exact")}
+
+
+def test_slots_must_agree(spark):
+    text = "Then Anna meets Berta near the old mill and Anna walks with Berta along 3 fields until Anna waves and Berta sings of 3 birds."
+    benchmark = spark.createDataFrame([(1, text)], ITEMS)
+    same = text.replace("Anna", "Kim").replace("Berta", "Lou").replace("3", "8")
+    mixed = text.replace("Anna walks", "Zoe walks").replace("Berta sings", "Yan sings").replace("3 birds", "4 birds")
+    merged = text.replace("Berta", "Anna")
+    assert verdicts(spark, [same, mixed, merged], benchmark) == {0: (1, "reparameterised")}
+
+
+def test_against_whole_passages(spark):
+    """Every document that holds an item word for word is found, and none that shares no eight words with one."""
+    sf = "/root/testdata/sf0.01"
+    words = lambda t: " ".join(w for w in (x.strip('.,!?:;"()') for x in t.lower().split()) if w)
+    items = {r.item_id: words(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    eights = {i: {" ".join(t.split()[k : k + 8]) for k in range(len(t.split()) - 7)} for i, t in items.items()}
+    known = set().union(*eights.values())
+    whole, near = {}, set()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        text = words(r.text)
+        whole[r.doc_id] = {i for i, t in items.items() if t in text}
+        parts = text.split()
+        if any(" ".join(parts[k : k + 8]) in known for k in range(len(parts) - 7)):
+            near.add(r.doc_id)
+    rows = op8_template_decontamination(spark, sf).collect()
+    assert len(rows) == len(whole) and sum(map(bool, whole.values())) > 5
+    for r in rows:
+        assert whole[r.doc_id] <= set(r.item_ids) and r.contaminated == bool(r.item_ids)
+        assert not r.contaminated or r.doc_id in near
+
+
+def test_repeats_and_split_occurrences(spark, benchmark):
+    item = benchmark.where("item_id = 2").first().text
+    words = item.split()
+    halves = " ".join(words[:20]) + " some words put in between " + " ".join(words[20:])
+    rng = random.Random(3)
+    texts = [item + " " + item, halves, " ".join(words[:12]) + " " + prose(rng, 40)]
+    assert set(verdicts(spark, texts, benchmark)) == {0, 1}
+
+
+def test_bit_table_knows_every_window(spark, benchmark):
+    windows = dc.benchmark_windows(benchmark)
+    table = dc.bit_table(windows)
+    cells = [r.window & (len(table) * 8 - 1) for r in windows.collect()]
+    assert cells and all(table[c >> 3] >> (c & 7) & 1 for c in cells)
+
+
+def test_odd_rows(spark, benchmark):
+    docs = odd_docs(spark)
+    left = dc.decontaminate(docs, benchmark)
+    assert left.columns == docs.columns and left.count() == docs.count()
+    assert dc.decontaminate(no_docs(spark), benchmark).count() == 0
+    assert dc.decontaminate(docs, spark.createDataFrame([], ITEMS)).count() == docs.count()
+    hit = docs.where("doc_id = 6").first().text.split()
+    assert 6 not in {r.doc_id for r in dc.decontaminate(docs, spark.createDataFrame([(1, " ".join(hit[50:90]))], ITEMS)).collect()}

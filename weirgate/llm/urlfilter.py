@@ -35,7 +35,7 @@ def host_of(url: Column) -> Column:
 def patterns_of(url: Column) -> Column:
     """All patterns that match an address: domains as ``example.org``, directories as ``host/a/``, the address
     as ``host/a/b?c``."""
-    host = host_of(url)
+    host = F.coalesce(host_of(url), F.lit(""))
     labels = F.split(host, "\\.")
     domains = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
