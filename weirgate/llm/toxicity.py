@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import texts
+from weirgate.llm.common import slices, texts
 
 #: Documents and characters at most, by label: clean and toxic.
 TRAIN_DOCS = (4000, 1500)
@@ -89,12 +89,12 @@ class Pieces:
         sizes = np.fromiter(map(len, plain), np.int64, len(plain)) + 2
         points = np.frombuffer(("\0" + "\0\0".join(plain) + "\0").encode("utf-32-le"), np.uint32) if plain else np.zeros(0, np.uint32)
         latin = (points >= 97) & (points <= 122)
-        codes = np.where(points == 0, 0, np.where(latin, points - 96, 27 + points % 37)).astype(np.int64)
-        return Pieces(codes, np.repeat(np.array(owner, np.int64), sizes), np.repeat(np.cumsum(sizes), sizes), len(words))
+        codes = np.where(points == 0, 0, np.where(latin, points - 96, 27 + points % 37)).astype(np.int32)
+        return Pieces(codes, np.repeat(np.array(owner, np.int32), sizes), np.repeat(np.cumsum(sizes, dtype=np.int32), sizes), len(words))
 
     def triples(self) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
         """For every pair of gaps: the owners of its triples, the triples, and their weight."""
-        at = np.arange(len(self.codes))
+        at = np.arange(len(self.codes), dtype=np.int32)
         for i, j in _GAPS:
             start = at[: max(0, len(at) - j)]
             start = start[start + j < self.ends[start]]
@@ -113,7 +113,7 @@ class Pieces:
         """The kernel of each word with itself."""
         keys, weights, norm = [], [], np.zeros(self.count)
         for owner, triple, weight in self.triples():
-            keys.append(owner * CLASSES**3 + triple)
+            keys.append(owner.astype(np.int64) * CLASSES**3 + triple)
             weights.append(np.full(len(owner), weight))
             norm += weight**2 * np.bincount(owner, minlength=self.count)
         cells, place = np.unique(np.concatenate(keys), return_inverse=True)
@@ -214,59 +214,69 @@ class ToxicityModel:
         return Pieces.of(words).scores(self.table) + self.bias if words else np.zeros(0)
 
     def probability(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(np.c_[np.clip(worst, -3, 3), np.ones(len(worst))] @ self.scale, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(np.c_[np.clip(worst, NO_WORDS, -NO_WORDS), np.ones(len(worst))] @ self.scale, -30, 30)))
 
 
 def train(labelled: Iterable[tuple[str, int]]) -> ToxicityModel:
     """Fit to (text, 0 or 1) pairs. With only one class every text gets the share of that class."""
-    docs = [(t, y) for t, y in labelled]
-    memo: dict[str, str] = {}
-    kept = lambda words: {memo.setdefault(w, w) for w in words}  # noqa: E731  one copy of each word
-    sentences = [[kept(words_of(s)) for s in _SENTENCE.split(t)] + [kept(words_of(t))] for t, _ in docs]
-    labels = np.array([y for _, y in docs], np.int64)
-    n_bad, n_good = int((labels == 1).sum()), int((labels == 0).sum())
+    known: dict[str, int] = {}
+    docs: list[np.ndarray] = []  # the words of each document, by number
+    labels: list[int] = []
+    bad_sentences: list[np.ndarray] = []
+    # In how many different sentences of either class a word stands; copies of a sentence count once.
+    uses: list[Counter] = [Counter(), Counter()]
+    met: list[set[int]] = [set(), set()]
+
+    def numbered(words: set[str]) -> np.ndarray:
+        return np.fromiter((known.setdefault(w, len(known)) for w in sorted(words)), np.int32, len(words))
+
+    for text, y in labelled:
+        docs.append(numbered(words_of(text)))
+        labels.append(y)
+        for words in map(words_of, _SENTENCE.split(text)):
+            ids = numbered(words)
+            if len(ids) and (key := hash(ids.tobytes())) not in met[y]:
+                met[y].add(key)
+                uses[y].update(ids.tolist())
+                if y:
+                    bad_sentences.append(ids)
+    names, y = list(known), np.array(labels, np.int64)
+    n_bad, n_good = int((y == 1).sum()), int((y == 0).sum())
     if not n_bad or not n_good:
         share = (n_bad + 0.5) / (n_bad + n_good + 1)
         return ToxicityModel(np.zeros(CLASSES**3), 0.0, np.array([0.0, np.log(share / (1 - share))]))
-    # In how many different sentences of either class a word stands; copies of a sentence count once.
-    uses, met = [Counter(), Counter()], [set(), set()]
-    for parts, y in zip(sentences, labels):
-        for words in parts[:-1]:
-            if words and (key := frozenset(words)) not in met[y]:
-                met[y].add(key)
-                uses[y].update(words)
-    n_good_sentences, n_bad_sentences = len(met[0]) or 1, len(met[1]) or 1
-    odds = {w: (c / n_bad_sentences) / ((uses[0][w] + 0.5) / n_good_sentences) for w, c in uses[1].items()}
-    clean = sorted(uses[0])
-    clean_pieces = Pieces.of(clean)
-    common = sorted(clean, key=lambda w: (-uses[0][w], w))[:COMMON]
-    hard: set[str] = set()
+    in_good, in_bad = (np.array([c[k] for k in range(len(names))]) for c in uses)
+    del uses
+    odds = (in_bad / (len(met[1]) or 1)) / ((in_good + 0.5) / (len(met[0]) or 1))
+    clean = np.flatnonzero(in_good)
+    by_name = clean[np.argsort(np.array(names, object)[clean], kind="stable")]
+    fixed = {*clean[np.argsort(-in_good[clean], kind="stable")][:COMMON].tolist(), *by_name[:: max(1, len(clean) // COMMON)].tolist()}
+    every = Pieces.of(names)
+    has_letters = np.array([bool(_NOT_LETTERS.sub("", w)) for w in names], bool)
+    hard: set[int] = set()
     model = None
     least = max(3, FREQUENT * n_bad)
-    suspects = {w for w, c in uses[1].items() if c >= least and odds[w] >= TELLING}
+    suspects = set(np.flatnonzero((in_bad >= least) & (odds >= TELLING) & has_letters).tolist())
     for _ in range(ROUNDS):
-        bad = sorted((w for w in suspects if _NOT_LETTERS.sub("", w)), key=lambda w: (-uses[1][w], w))[:MOST_BAD]
-        if not bad:
+        chosen = sorted(suspects, key=lambda k: (-in_bad[k], names[k]))[:MOST_BAD]
+        if not chosen:
             break
-        bad += [w for w in stretched(bad[:STRETCHED]) if w not in uses[0]]
-        good = sorted((set(common) | hard | set(clean[:: max(1, len(clean) // COMMON)])) - set(bad))
+        bad = [names[k] for k in chosen]
+        bad += [w for w in stretched(bad[:STRETCHED]) if w not in known or not in_good[known[w]]]
+        good = sorted({names[k] for k in fixed | hard} - set(bad))
         weight = np.r_[np.full(len(bad), max(1.0, len(good) / len(bad) / 3)), np.ones(len(good))]
         model = ToxicityModel(*train_words(bad, good, weight), np.zeros(2))
-        scored = clean_pieces.scores(model.table) + model.bias
-        hard.update(clean[i] for i in np.argsort(-scored, kind="stable")[:HARD])
+        scores = every.scores(model.table) + model.bias
+        hard.update(clean[np.argsort(-scores[clean], kind="stable")[:HARD]].tolist())
         # The worst word of each toxic sentence joins, where the machine holds it for one.
-        seen = sorted(uses[1])
-        now = dict(zip(seen, model.word_scores(seen)))
-        for words in met[1]:
-            score, word = max((now[w], w) for w in words)
-            if score > 0.5 and not uses[0][word]:
-                suspects.add(word)
+        for ids in bad_sentences:
+            worst = int(ids[scores[ids].argmax()])
+            if scores[worst] > 0.5 and not in_good[worst] and has_letters[worst]:
+                suspects.add(worst)
     if model is None:
         return ToxicityModel(np.zeros(CLASSES**3), 0.0, np.array([0.0, np.log(n_bad / n_good)]))
-    every = sorted(set().union(*(parts[-1] for parts in sentences)))
-    of = dict(zip(every, model.word_scores(every)))
-    worst = np.array([max((of[w] for w in parts[-1]), default=NO_WORDS) for parts in sentences])
-    model.scale = logistic(np.clip(worst, -3, 3)[:, None], labels, ridge=0.01)
+    worst = np.array([scores[ids].max() if len(ids) else NO_WORDS for ids in docs])
+    model.scale = logistic(np.clip(worst, NO_WORDS, -NO_WORDS)[:, None], y, ridge=0.01)
     return model
 
 
@@ -299,14 +309,17 @@ def _worst_words(model: ToxicityModel):
     """A function that gives the worst word score of each text, and keeps the scores of words seen before."""
     known: dict[str, float] = {}
 
-    def worst(batch: list[str]) -> np.ndarray:
-        found = [words_of(t) for t in batch]
+    def worst_of(part: list[str]) -> list[float]:
+        found = [words_of(t) for t in part]
         if len(known) > 300_000:
             known.clear()
         new = list({w for words in found for w in words if w not in known})
         for i in range(0, len(new), 50_000):
             known.update(zip(new[i : i + 50_000], model.word_scores(new[i : i + 50_000]).tolist()))
-        return np.array([max(map(known.__getitem__, words), default=NO_WORDS) for words in found])
+        return [max(map(known.__getitem__, words), default=NO_WORDS) for words in found]
+
+    def worst(batch: list[str]) -> np.ndarray:
+        return np.array([score for part in slices(batch) for score in worst_of(part)])
 
     return worst
 
