@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +49,19 @@ def encoded(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [b"" if t is None else t for t in column.to_pylist()]
 
 
+def slices(batch: list[str], most_chars: int = 2_000_000) -> Iterator[list[str]]:
+    """A batch in parts of about that many characters, so that the words of a part are few; texts stay whole."""
+    part, size = [], 0
+    for text in batch:
+        part.append(text)
+        size += len(text)
+        if size >= most_chars:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection on unsigned 64-bit integers that spreads near values apart."""
     v = values.astype(np.uint64)
