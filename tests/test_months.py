@@ -12,12 +12,13 @@ from weirgate.functions import (
     parse_iso,
     safe_file_name,
 )
-from weirgate.operators.months import collect_months, in_months, month_delta
+from weirgate.operators.months import collect_listed, collect_months, in_months, month_delta
 from weirgate.sources import (
+    create_landing,
     land_by_month,
+    landed_files,
     landed_months,
     landing_inventory,
-    month_file_names,
     read_dimension,
     read_json_pages,
     read_landed_months,
@@ -112,6 +113,9 @@ def test_in_months_merges_neighbours(spark):
 
 def test_landing_and_worklist(spark, tmp_path, zone):
     root, listed = str(tmp_path / "landing"), str(tmp_path / "list.parquet")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):  # reading makes no folder
+        landed_months(spark, root).isEmpty()
+    create_landing(spark, root)
     assert landed_months(spark, root).isEmpty()
     rows = spark.createDataFrame(
         [(1, datetime(2024, 1, 5)), (2, datetime(2024, 1, 6)), (3, datetime(2024, 3, 31, 23, 59))],
@@ -125,21 +129,50 @@ def test_landing_and_worklist(spark, tmp_path, zone):
     ]
     # A month landed again is replaced; others stay.
     land_by_month(rows.where("id = 2"), F.col("ts"), root)
-    write_worklist(times(spark, datetime(2024, 1, 1), None), listed)
+    write_worklist(times(spark, datetime(2024, 1, 1)), listed)
     assert spark.read.parquet(listed).collect()[0]["new_timestamps"] == "2024-01-01T00:00:00.000"
-    months = read_worklist(spark, listed)
-    assert [r["id"] for r in read_landed_months(spark, root, month_file_names(months)).collect()] == [2]
+    months = collect_listed(read_worklist(spark, listed))
+    assert [r["id"] for r in read_landed_months(spark, root, months).collect()] == [2]
     assert spark.read.parquet(root).count() == 2
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        read_landed_months(spark, root, ["ridership_2024-02-01T00-00-00-000.parquet"])
+        read_landed_months(spark, root, [datetime(2024, 2, 1)])
     write_worklist(times(spark), listed)
     assert read_worklist(spark, listed).isEmpty()
 
 
 def test_flat_landed_files_are_found(spark, tmp_path):
-    spark.range(1).write.parquet(str(tmp_path / "ridership_2020-07-01T00-00-00-000.parquet"))
-    spark.range(1).write.parquet(str(tmp_path / "other.parquet"))
-    assert collect_months(landed_months(spark, str(tmp_path))) == [datetime(2020, 7, 1)]
+    spark.range(1).coalesce(1).write.parquet(str(tmp_path / "made"))
+    part = next((tmp_path / "made").glob("part-*"))
+    root = tmp_path / "landing"
+    root.mkdir()
+    (root / "ridership_2020-07-01T00-00-00-000.parquet").write_bytes(part.read_bytes())
+    spark.range(1).write.parquet(str(root / "other.parquet"))
+    found = landed_files(spark, str(root)).collect()
+    assert [(r["iso_time"], r["flat"]) for r in found] == [("2020-07-01T00:00:00.000", True)]
+    assert collect_months(landed_months(spark, str(root))) == [datetime(2020, 7, 1)]
+    assert read_landed_months(spark, str(root), [datetime(2020, 7, 1)], flat=[datetime(2020, 7, 1)]).count() == 1
+
+
+def test_rows_without_a_month_land_and_are_listed(spark, tmp_path):
+    root, listed = str(tmp_path / "landing"), str(tmp_path / "list")
+    rows = spark.createDataFrame([(1, "2024-01-05"), (2, "someday"), (3, None)], "id int, day string")
+    done = land_by_month(rows, F.col("day"), root)
+    assert (done.n_rows, done.n_undated, list(done.months)) == (3, 2, [datetime(2024, 1, 1)])
+    assert collect_listed(landed_months(spark, root, undated=True)) == [None, datetime(2024, 1, 1)]
+    assert collect_listed(landed_months(spark, root)) == [datetime(2024, 1, 1)]
+    write_worklist(landed_months(spark, root, undated=True), listed)
+    months = collect_listed(read_worklist(spark, listed))
+    assert months == [None, datetime(2024, 1, 1)]
+    assert sorted(r["id"] for r in read_landed_months(spark, root, months).collect()) == [1, 2, 3]
+    assert [r["id"] for r in read_landed_months(spark, root, months[1:]).collect()] == [1]
+
+
+def test_another_feed_names_its_files(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    land_by_month(spark.createDataFrame([(1, "2024-01-05")], "id int, day string"), F.col("day"), root, "a.b")
+    assert collect_months(landed_months(spark, root, "a.b")) == [datetime(2024, 1, 1)]
+    assert landed_months(spark, root, "axb").isEmpty() and landed_months(spark, root).isEmpty()
+    assert read_landed_months(spark, root, [datetime(2024, 1, 1)], "a.b").count() == 1
 
 
 def test_json_pages(spark, tmp_path):

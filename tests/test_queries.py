@@ -6,7 +6,9 @@ from conftest import SMALL
 
 import __spark_entry__ as entry_module
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+from weirgate.plans.oracles import ORACLES
+from weirgate.plans.queries import QUERIES
+
 TIMED = [
     "source_month_inventory",
     "landing_inventory",
@@ -35,6 +37,8 @@ JOINED = [
     "insert_new_null_safe",
     "round_robin_shards",
     "ridership_rejected",
+    "ridership_overlap",
+    "insert_new_one_per_key_nulls",
 ]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weirgate.operators.dedup import dedup_rows
 from weirgate.operators.rules import between, check, evaluate, in_dimension, in_set, matches_regex, not_null, parses_as
 from weirgate.operators.schema import cast_failures, cast_schema, project_columns, warehouse_projection
-from weirgate.operators.split import bad_rows, batch_counts, good_rows, limbo_rows, quarantine
+from weirgate.operators.split import bad_rows, batch_counts, good_rows, limbo_rows, quarantine, read_quarantine
 from weirgate.operators.summary import unexpected_samples, validation_gate, validation_summary, violation_counts
 from weirgate.plans.feed import Feed
 from weirgate.plans.ridership import RIDERSHIP, SCHEMA, TIMESTAMP_PATTERN
@@ -165,17 +165,33 @@ def test_samples_of_missing_and_combined_values(spark, stations):
 
 def test_quarantine_replaces_its_own_batch(spark, stations, tmp_path):
     rules = RIDERSHIP.rules(stations)
-    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    path = str(tmp_path / "quarantine")
     flagged = evaluate(feed_rows(spark, *[change for change, _ in CASES]), rules)
     for _ in range(2):
-        kept = quarantine(flagged, rules, good, bad, "b1")
-    quarantine(flagged, rules, good, bad, "b2")
+        kept = quarantine(flagged, rules, path, "b1")
+    quarantine(flagged, rules, path, "b2")
     assert kept.n_good == kept.good.count() and kept.n_bad == kept.bad.count()
-    assert kept.n_good + kept.n_bad == len(CASES)
-    assert spark.read.parquet(good).count() == 2 * kept.n_good
-    assert spark.read.parquet(bad).count() == 2 * kept.n_bad
-    clean = quarantine(evaluate(feed_rows(spark, {}), rules), rules, good, bad, "b3")
+    assert (kept.n_good + kept.n_bad, kept.n_limbo) == (len(CASES), 0)
+    schema = flagged.drop("checks").schema
+    counts = {r["verdict"]: r["count"] for r in read_quarantine(spark, path, schema).groupBy("verdict").count().collect()}
+    assert counts == {"good": 2 * kept.n_good, "bad": 2 * kept.n_bad}
+    clean = quarantine(evaluate(feed_rows(spark, {}), rules), rules, path, "b1")
     assert (clean.n_good, clean.n_bad, clean.bad.count()) == (1, 0, 0)
+    assert read_quarantine(spark, path, schema).where("batch_id = 'b1'").count() == 1
+    dropped = quarantine(flagged, rules, path, "b3", "drop")
+    assert dropped.n_limbo == dropped.limbo.count() > 0
+    assert dropped.n_good + dropped.n_bad + dropped.n_limbo == len(CASES)
+
+
+def test_samples_are_cut_before_the_shuffle(spark, with_conf):
+    """Every row offends with a value of its own; only the first few of each task are shuffled."""
+    rules = [between("v", 0, 5), in_set("t", ["x"])]
+    rows = spark.range(10, 50_010, 1, 4).selectExpr("CAST(id AS INT) AS v", "CAST(id AS STRING) AS t")
+    samples = unexpected_samples(evaluate(rows, rules), rules, 20)
+    text = samples._jdf.queryExecution().executedPlan().toString()
+    below = text[text.index("Exchange") :]
+    assert "WindowGroupLimit" in below and "Partial" in below
+    assert {r["rule_no"]: len(r["samples"]) for r in samples.collect()} == {0: 20, 1: 20}
 
 
 def test_casts(spark):
@@ -183,7 +199,10 @@ def test_casts(spark):
     assert [r["v"] for r in cast_schema(rows, {"v": "int"}).collect()] == [None, None, 1, None, 12, None, None, 5]
     assert cast_failures(rows, {"v": "int"}).first()["cast_failures"] == 4
     big = spark.createDataFrame([("9007199254740993",), ("7.9",)], "v string")
-    assert [r["v"] for r in cast_schema(big, {"v": "bigint"}).collect()] == [9007199254740993, 7]
+    for spelling in ("bigint", "BIGINT", "long", "Long"):
+        assert [r["v"] for r in cast_schema(big, {"v": spelling}).collect()] == [9007199254740993, 7]
+    for spelling in ("INT", "integer", "short", "SMALLINT", "byte"):
+        assert cast_schema(big, {"v": spelling}).collect()[1]["v"] == 7
 
 
 def test_projection(spark):

@@ -10,6 +10,7 @@ from weirgate.operators.upsert import (
     known_rows,
     merge_batches,
     new_rows,
+    one_per_key,
     read_table,
     snapshot,
     stage_new,
@@ -67,6 +68,26 @@ def test_one_row_per_key_on_request(spark, table, staging):
     assert content(spark, table) == [("2024-01-05", 1, 5), FEB]
 
 
+def test_one_row_per_key_keeps_rows_with_null_keys(spark, table, staging):
+    rows = batch(spark, (None, 1, 1), (None, 1, 2), ("2024-01-05", 1, 3), ("2024-01-05", 1, 4))
+    assert insert_new(spark, rows, table, staging, "b1", key_order=[F.col("amount")]).n_new == 3
+    assert content(spark, table) == sorted([(None, 1, 1), (None, 1, 2), ("2024-01-05", 1, 3)], key=repr)
+    safe = one_per_key(rows, KEYS, [F.col("amount")], null_safe_keys=True)
+    assert sorted(r["amount"] for r in safe.collect()) == [1, 3]
+
+
+def test_reading_an_absent_table_fails(spark, table):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        content(spark, table)
+
+
+def test_insert_shuffles_the_table_keys_once(spark, shuffled_joins, with_conf):
+    with_conf({"spark.sql.adaptive.enabled": "false"})
+    rows = spark.range(100).selectExpr("id AS k", "id AS v")
+    plan = new_rows(rows, spark.range(50).withColumnRenamed("id", "k"), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_null_keys(spark, table, staging, tmp_path):
     rows = batch(spark, ("2024-01-05", None, 1), (None, 1, 2), JAN)
     for batch_id in ("b1", "b2"):
@@ -106,6 +127,7 @@ def test_only_the_months_of_the_batch_are_read(spark, tmp_path, staging):
     insert_new(spark, batch(spark, JAN, FEB), table, staging, "b1")
     rows = batch(spark, ("2024-02-07", 5, 5))
     months = batch_months(with_month(rows, table), table)
+    assert known_rows(spark, table, rows.schema, months, spark.createDataFrame([("b1",)], "batch_id string")).isEmpty()
     known = known_rows(spark, table, rows.schema, months, ["b2"])
     assert len(known.inputFiles()) >= 2
     plan = known.select(*KEYS)._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,6 @@
 from weirgate.functions.casts import lenient_cast
 from weirgate.functions.months import (
+    FILE_PREFIX,
     add_month,
     datetime_text,
     file_name_pattern,
@@ -13,6 +14,7 @@ from weirgate.functions.months import (
 )
 
 __all__ = [
+    "FILE_PREFIX",
     "add_month",
     "datetime_text",
     "file_name_pattern",

@@ -8,6 +8,7 @@ have no branches, since Spark evaluates a nested input again for each use inside
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -72,7 +73,7 @@ def safe_file_name(ts: Column, prefix: str = FILE_PREFIX) -> Column:
 
 def file_name_pattern(prefix: str = FILE_PREFIX) -> str:
     """Matches a landed file, or a part file below a landed directory, at the end of a path."""
-    return rf"(?:^|[/=]){prefix}_{SAFE_TIME_PATTERN}\.parquet(?:/part-[^/]*)?$"
+    return rf"(?:^|[/=]){re.escape(prefix)}_{SAFE_TIME_PATTERN}\.parquet(?:/part-[^/]*)?$"
 
 
 def file_name_to_iso(path: Column, prefix: str = FILE_PREFIX) -> Column:

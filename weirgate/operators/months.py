@@ -14,12 +14,14 @@ from weirgate.functions import add_month, moment, month_start
 def month_delta(source: DataFrame, landed: DataFrame, reopen_last: int = 0) -> DataFrame:
     """Months of the source that are not landed, in order.
 
-    ``reopen_last`` also lists the last n landed months again, for rows that came in late.
+    ``reopen_last`` also lists the last n landed months again, for rows that came in late, and with them the NULL
+    month of rows without one, if the source has such rows.
     """
     missing = source.select("month").subtract(landed.select("month"))
     if reopen_last:
-        again = landed.select("month").orderBy(F.desc("month")).limit(reopen_last)
-        missing = missing.union(again.join(source.select("month"), "month", "left_semi")).distinct()
+        again = landed.select("month").where("month IS NOT NULL").orderBy(F.desc("month")).limit(reopen_last)
+        undated = source.select("month").where("month IS NULL")
+        missing = missing.union(again.join(source.select("month"), "month", "left_semi")).union(undated).distinct()
     return missing.orderBy("month")
 
 
@@ -39,21 +41,29 @@ def collect_months(months: DataFrame, month: str = "month") -> list[datetime]:
     return sorted(row["m"] for row in rows)
 
 
+def collect_listed(months: DataFrame, month: str = "month") -> list[datetime | None]:
+    """Distinct listed months with None for a NULL one; bounded by the calendar, not by the data."""
+    rows = months.select(F.col(month).alias("m")).distinct().collect()
+    return sorted((row["m"] for row in rows), key=lambda m: (m is not None, m))
+
+
 def _next(month: datetime) -> datetime:
     return month.replace(year=month.year + month.month // 12, month=month.month % 12 + 1)
 
 
-def in_months(ts: Column, months: list[datetime]) -> Column:
-    """True inside any of the months. Neighbouring months merge into one range, which the scan can push down."""
+def in_months(ts: Column, months: list[datetime | None]) -> Column:
+    """True inside any of the months. Neighbouring months merge into one range, which the scan can push down.
+
+    None takes the rows without a time.
+    """
     runs: list[list[datetime]] = []
-    for month in sorted(set(months)):
+    for month in sorted({m for m in months if m is not None}):
         if runs and runs[-1][1] == month:
             runs[-1][1] = _next(month)
         else:
             runs.append([month, _next(month)])
-    if not runs:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [in_window(ts, low, high) for low, high in runs])
+    parts = [in_window(ts, low, high) for low, high in runs] + ([ts.isNull()] if None in months else [])
+    return reduce(lambda a, b: a | b, parts) if parts else F.lit(False)
 
 
 def scan_months(df: DataFrame, ts: Column, months: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weirgate.session import scratch_path
 
-_POS, _PART = "__pos", "__part"
+_POS, _PART, _COPY = "__pos", "__part", "__copy"
 
 
 def with_ordinal(
@@ -28,19 +28,23 @@ def with_ordinal(
     summed up in order, and added back. Range bounds come from a sample, so computing them twice could
     place rows differently; the written table settles them.
 
-    Rows that differ anywhere can be told apart, so a hot order value spreads over partitions. For many
-    exact copies name a ``copy_id`` column that tells them apart too (it is dropped from the result).
+    Rows that differ anywhere can be told apart, so a hot order value spreads over partitions. Exact copies are
+    told apart by ``copy_id``, a column that is dropped from the result; without one the table is written once
+    and each row's place in it serves.
     """
     spark = df.sparkSession
+    if copy_id is None:
+        copy_id = _COPY
+        df = with_copy_id(df, copy_id)
     first = [*within, *order_by]
-    sort = first + [c for c in df.columns if c not in first and c != copy_id] + ([copy_id] if copy_id else [])
+    sort = first + [c for c in df.columns if c not in first and c != copy_id] + [copy_id]
     rows_path, spans_path = scratch_path(spark, "ordinal-rows"), scratch_path(spark, "ordinal-spans")
     (
         df.repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         # Partition number in the upper bits, offset inside the partition in the lower 33.
         .withColumn(_POS, F.monotonically_increasing_id())
-        .drop(*([copy_id] if copy_id else []))
+        .drop(copy_id)
         .write.parquet(rows_path)
     )
     rows = spark.read.parquet(rows_path).withColumn(_PART, F.shiftright(_POS, 33))
@@ -93,7 +97,17 @@ def capped_scan(
     """At most ``cap`` rows per group, the first in order; no task holds a whole group.
 
     ``truncated`` tells for each kept row whether its group had more rows than the cap.
+
+    Each task's first ``cap`` rows per group are cut before the shuffle, so what moves is bounded by the cap. Of
+    equal rows any may be kept; ``copy_id`` (dropped) decides between them.
     """
-    numbered = with_ordinal(df.withColumn("__group", group), order_by, within=["__group"], copy_id=copy_id)
-    kept = numbered.where(F.col("ordinal") < cap).withColumn("truncated", F.col("group_rows") > cap)
-    return kept.drop("__group", "group_rows")
+    first = [c for c in [*order_by, *df.columns] if c != copy_id]
+    order = list(dict.fromkeys(first)) + ([copy_id] if copy_id else [])
+    grouped = df.withColumn("__group", group)
+    nth = F.row_number().over(Window.partitionBy("__group").orderBy(*order))
+    kept = grouped.withColumn("ordinal", nth).where(F.col("ordinal") <= cap)
+    sizes = grouped.groupBy("__group").agg(F.count(F.lit(1)).alias("__rows"))
+    sizes = sizes.select(F.col("__group").alias("__of"), (F.col("__rows") > cap).alias("truncated"))
+    joined = kept.join(sizes, F.col("__group").eqNullSafe(F.col("__of")))
+    columns = [c for c in df.columns if c != copy_id]
+    return joined.select(*columns, (F.col("ordinal") - 1).cast("bigint").alias("ordinal"), "truncated")

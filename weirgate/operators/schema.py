@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.functions import datetime_text, lenient_cast
@@ -25,16 +25,15 @@ def cast_schema(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
+def cast_failure_counts(df: DataFrame, types: Mapping[str, str]) -> list[Column]:
+    """Per column, an aggregate: how many non-NULL values become NULL in :func:`cast_schema`."""
+    casts = {name: lenient_cast(F.col(name), df.schema[name].dataType, target) for name, target in types.items()}
+    return [F.count_if(F.col(name).isNotNull() & cast.isNull()).alias(name) for name, cast in casts.items()]
+
+
 def cast_failures(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Per column, how many non-NULL values became NULL in :func:`cast_schema`. One pass over the input."""
-    counts = df.agg(
-        *[
-            F.count_if(
-                F.col(name).isNotNull() & lenient_cast(F.col(name), df.schema[name].dataType, target).isNull()
-            ).alias(name)
-            for name, target in types.items()
-        ]
-    )
+    """The counts as a table, one row per column. One pass over the input."""
+    counts = df.agg(*cast_failure_counts(df, types))
     rows = [F.struct(F.lit(name).alias("column_name"), F.col(name).alias("cast_failures")) for name in types]
     return counts.select(F.inline(F.array(*rows)))
 

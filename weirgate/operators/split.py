@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from weirgate.functions import month_date
 from weirgate.operators.rules import CHECKS, Rule, any_violation
 from weirgate.sources.files import no_rows
 
 NullPolicy = Literal["pass", "fail", "drop"]
+VERDICT, GOOD, BAD, LIMBO = "verdict", "good", "bad", "limbo"
 
 
 def is_bad(rules: Sequence[Rule], null_policy: NullPolicy = "pass") -> Column:
@@ -53,10 +56,15 @@ def batch_counts(flagged: DataFrame, rules: Sequence[Rule], null_policy: NullPol
 
 @dataclass(frozen=True)
 class Quarantine:
+    """The parts as written, and their counts; ``limbo`` is what the ``drop`` policy puts in neither part."""
+
     good: DataFrame
     bad: DataFrame
+    limbo: DataFrame
     n_good: int
     n_bad: int
+    n_limbo: int
+    months: Sequence[datetime | None] = ()
 
 
 def write_parts(df: DataFrame, path: str, parts: Sequence[str], fmt: str = "parquet") -> int:
@@ -77,40 +85,70 @@ def write_parts(df: DataFrame, path: str, parts: Sequence[str], fmt: str = "parq
 
 
 def write_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet", by: Sequence[str] = ()) -> int:
-    """Write a batch into its own partition, replacing what an earlier try left; gives the row count."""
-    return write_parts(df.withColumn("batch_id", F.lit(batch_id)), path, [*by, "batch_id"], fmt)
+    """Write a batch into its own partition; gives the row count.
+
+    Without ``by`` the whole partition is replaced, by nothing if there are no rows. With ``by`` a batch is one
+    partition for each of these columns' values, and those it has rows for are replaced.
+    """
+    if by:
+        return write_parts(df.withColumn("batch_id", F.lit(batch_id)), path, [*by, "batch_id"], fmt)
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    observed.write.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")
+    return seen.get["n"]
 
 
 def quarantine(
     flagged: DataFrame,
     rules: Sequence[Rule],
-    good_path: str,
-    bad_path: str,
+    path: str,
     batch_id: str,
     null_policy: NullPolicy = "pass",
+    time: Column | None = None,
 ) -> Quarantine:
-    """Write the good and the bad rows of a stored, flagged batch to their own folders.
+    """Write a flagged batch, split by verdict, in one pass; what the batch left before is replaced as a whole.
 
-    Good rows are most of the batch and keep its partitioning; bad rows may be few per file, so they
-    alone are shuffled together.
+    The folder is ``path/batch_id=.../verdict=...``, which :func:`read_quarantine` reads. Counts, and the months of
+    ``time``, are observed in that pass.
     """
-    spark: SparkSession = flagged.sparkSession
-    good = good_rows(flagged, rules, null_policy)
-    bad = bad_rows(flagged, rules, null_policy)
-    n_good = write_batch(good, good_path, batch_id)
-    n_bad = write_batch(bad.hint("rebalance"), bad_path, batch_id)
-    return Quarantine(
-        read_batch(spark, good_path, batch_id, good.schema, n_good),
-        read_batch(spark, bad_path, batch_id, bad.schema, n_bad),
-        n_good,
-        n_bad,
-    )
+    bad = is_bad(rules, null_policy)
+    verdict = F.when(bad, F.lit(BAD)).when(~bad, F.lit(GOOD)).otherwise(F.lit(LIMBO))
+    seen = Observation()
+    counts = [F.count_if(F.col(VERDICT) == v).alias(v) for v in (GOOD, BAD, LIMBO)]
+    month = F.lit(None).cast("string") if time is None else month_date(time).cast("string")
+    counts.append(F.collect_set(F.coalesce(month, F.lit(""))).alias("months"))
+    split = flagged.withColumn(VERDICT, verdict).drop(CHECKS).observe(seen, *counts)
+    split.write.partitionBy(VERDICT).mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    schema = flagged.drop(CHECKS).schema
+    parts = [_read_verdict(flagged.sparkSession, path, batch_id, v, schema, seen.get[v]) for v in (GOOD, BAD, LIMBO)]
+    months = [datetime.fromisoformat(m) if m else None for m in sorted(seen.get["months"])]
+    return Quarantine(*parts, *[seen.get[v] for v in (GOOD, BAD, LIMBO)], months)
+
+
+def _read_verdict(
+    spark: SparkSession, path: str, batch_id: str, verdict: str, schema: StructType, n_rows: int
+) -> DataFrame:
+    if not n_rows:
+        return no_rows(spark, schema)
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}/{VERDICT}={verdict}")
+
+
+def clear_quarantine(spark: SparkSession, path: str, batch_id: str, schema: StructType) -> None:
+    """Leave nothing of a batch in quarantine."""
+    parts = StructType([*schema.fields, StructField(VERDICT, StringType())])
+    no_rows(spark, parts).write.partitionBy(VERDICT).mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_quarantine(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Every quarantined row with its batch and verdict."""
+    parts = [StructField(c, StringType()) for c in (VERDICT, "batch_id")]
+    return spark.read.schema(StructType([*schema.fields, *parts])).parquet(path)
 
 
 def read_batch(
     spark: SparkSession, path: str, batch_id: str, schema: StructType, n_rows: int, fmt: str = "parquet"
 ) -> DataFrame:
-    """The rows a batch wrote below ``path``; a batch without rows has no folder."""
+    """The rows a batch wrote below ``path``; a batch without rows has none to read."""
     if not n_rows:
         return no_rows(spark, schema)
     return spark.read.format(fmt).schema(schema).load(f"{path}/batch_id={batch_id}")

@@ -46,26 +46,15 @@ def _offender(flagged: DataFrame, position: int, rule: Rule) -> Column:
 def unexpected_samples(flagged: DataFrame, rules: Sequence[Rule], k: int = SAMPLE_SIZE) -> DataFrame:
     """The k smallest offending values per rule, repeats kept, as ``(rule_no, samples)``.
 
-    Equal values are counted before any ordering, map side first, so a value that fills a third of the
-    table is one row. The window then keeps k values per rule and partition before its own shuffle.
+    The row number cuts each task to k values per rule before the shuffle, so a rule that every row violates
+    moves k rows a task, and neither many distinct values nor one very frequent value moves more.
     """
     offenders = F.array(*[_offender(flagged, i, r) for i, r in enumerate(rules)])
-    values = (
-        flagged.where(any_violation(rules))
-        .select(F.inline(offenders))
-        .where("rule_no IS NOT NULL")
-        .groupBy("rule_no", "number", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    values = flagged.where(any_violation(rules)).select(F.inline(offenders)).where("rule_no IS NOT NULL")
     smallest = Window.partitionBy("rule_no").orderBy("number", "value")
     kept = values.withColumn("nth", F.row_number().over(smallest)).where(F.col("nth") <= k)
-    repeated = F.flatten(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("nth", "value", F.least("copies", F.lit(k)).cast("int").alias("n")))),
-            lambda e: F.array_repeat(e["value"], e["n"]),
-        )
-    )
-    return kept.groupBy("rule_no").agg(F.slice(repeated, 1, k).alias("samples"))
+    listed = F.array_sort(F.collect_list(F.struct("nth", "value")))
+    return kept.groupBy("rule_no").agg(F.transform(listed, lambda e: e["value"]).alias("samples"))
 
 
 def validation_summary(flagged: DataFrame, rules: Sequence[Rule], k: int = SAMPLE_SIZE) -> DataFrame:

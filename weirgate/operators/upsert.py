@@ -13,6 +13,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,10 @@ from weirgate.functions import month_date
 from weirgate.operators.dedup import dedup_keys
 from weirgate.operators.membership import anti_join_dimension
 from weirgate.operators.split import read_batch, write_batch, write_parts
-from weirgate.sources.files import open_table
+from weirgate.sources.files import create_table, open_table
 
 PART_MONTH = "part_month"
 BATCH_ID = "batch_id"
-FEW_MONTHS = 3
 
 
 @dataclass(frozen=True)
@@ -68,10 +68,19 @@ def check_batch_id(batch_id: str) -> str:
     return batch_id
 
 
-def snapshot(spark: SparkSession, table: KeyedTable, schema: StructType) -> DataFrame:
-    """The table with its partition columns, created if it does not exist. Other data at the path is an error."""
+def _stored_schema(table: KeyedTable, schema: StructType) -> StructType:
     parts = [StructField(p, DateType() if p == PART_MONTH else StringType()) for p in table.partitions]
-    found = open_table(spark, table.path, StructType([*schema.fields, *parts]), table.partitions, table.fmt)
+    return StructType([*schema.fields, *parts])
+
+
+def create_keyed_table(spark: SparkSession, table: KeyedTable, schema: StructType) -> None:
+    """An empty table, unless there is something at its path."""
+    create_table(spark, table.path, _stored_schema(table, schema), table.partitions, table.fmt)
+
+
+def snapshot(spark: SparkSession, table: KeyedTable, schema: StructType) -> DataFrame:
+    """The table with its partition columns. A path that is not there or holds other data is an error."""
+    found = open_table(spark, table.path, _stored_schema(table, schema), table.fmt)
     # Every row of the table has a batch; the check prunes all its partitions and so reads nothing.
     if not found.where(F.col(BATCH_ID).isNull()).isEmpty():
         raise ValueError(f"{table.path} holds other data than this table")
@@ -99,10 +108,17 @@ def known_rows(
     table: KeyedTable,
     schema: StructType,
     months: Sequence[date | None],
-    batch_ids: Sequence[str],
+    batch_ids: Sequence[str] | DataFrame,
 ) -> DataFrame:
-    """What the table holds from other batches, in these months only (a partition filter)."""
-    known = snapshot(spark, table, schema).where(~F.col(BATCH_ID).isin(list(batch_ids)))
+    """What the table holds from other batches, in these months only (a partition filter).
+
+    ``batch_ids`` are values, or a table with a column of them where their number has no bound.
+    """
+    known = snapshot(spark, table, schema)
+    if isinstance(batch_ids, DataFrame):
+        known = known.join(batch_ids.select(BATCH_ID), BATCH_ID, "left_anti")
+    else:
+        known = known.where(~F.col(BATCH_ID).isin(list(batch_ids)))
     if not table.month_key:
         return known
     found = F.col(PART_MONTH).isin([m for m in months if m is not None])
@@ -114,13 +130,19 @@ def _unseen(placed: DataFrame, known: DataFrame, keys: Sequence[str], null_safe_
     return placed if known.isEmpty() else new_rows(placed, known, keys, null_safe_keys)
 
 
-def _clustered(df: DataFrame, months: Sequence[date | None]) -> DataFrame:
-    """Bring the rows of a month together, where many months would mean many small files per task.
+def _clustered(df: DataFrame, table: KeyedTable) -> DataFrame:
+    """Bring the rows of a month together; adaptive execution cuts a large month into several files and joins small ones."""
+    return df.hint("rebalance", PART_MONTH) if table.month_key else df
 
-    Adaptive execution cuts a large month into several files and joins small ones. The usual batch of
-    one month or two is written as it is, without that shuffle.
-    """
-    return df.hint("rebalance", PART_MONTH) if len(months) > FEW_MONTHS else df
+
+def one_per_key(
+    placed: DataFrame, keys: Sequence[str], key_order: Sequence[Column], null_safe_keys: bool = False
+) -> DataFrame:
+    """The first row of each key. Keys with a NULL equal none unless ``null_safe_keys``, so each such row stays."""
+    if null_safe_keys:
+        return dedup_keys(placed, keys, key_order)
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return dedup_keys(placed.where(~unknown), keys, key_order).unionByName(placed.where(unknown))
 
 
 def stage_new(
@@ -136,19 +158,21 @@ def stage_new(
     """Write the batch's unseen rows to its staging folder and read them back.
 
     Only the key columns of the batch's own months are read from the table. ``key_order`` keeps one row
-    per key within the batch; without it, rows that share a new key are all new.
+    per key within the batch; without it, rows that share a new key are all new. The batch is read twice, for
+    its months and for the write, so hand in a stored one.
     """
     check_batch_id(batch_id)
     taken = {PART_MONTH, BATCH_ID} & set(batch.columns)
     if taken:
         raise ValueError(f"the batch must not have columns named {sorted(taken)}")
     placed = with_month(batch, table)
+    create_keyed_table(spark, table, batch.schema)
     months = batch_months(placed, table)
     known = known_rows(spark, table, batch.schema, months, [batch_id])
     if key_order is not None:
-        placed = dedup_keys(placed, table.keys, key_order)
+        placed = one_per_key(placed, table.keys, key_order, null_safe_keys)
     fresh = _unseen(placed, known, table.keys, null_safe_keys)
-    n_new = write_batch(_clustered(fresh, months), staging_path, batch_id, table.fmt)
+    n_new = write_batch(_clustered(fresh, table), staging_path, batch_id, table.fmt)
     return Inserted(read_batch(spark, staging_path, batch_id, placed.schema, n_new, table.fmt), n_new, months)
 
 
@@ -181,15 +205,20 @@ def insert_new(
 
 
 def merge_batches(
-    spark: SparkSession, staged: DataFrame, table: KeyedTable, batch_ids: Sequence[str], null_safe_keys: bool = False
+    spark: SparkSession,
+    staged: DataFrame,
+    table: KeyedTable,
+    batch_ids: Sequence[str] | DataFrame,
+    null_safe_keys: bool = False,
 ) -> int:
     """Insert the unseen keys of several staged batches at once; ``staged`` carries their batch ids.
 
     The table's rows from these same batches are left out of the comparison and replaced, so a merge
     that was cut off can run again, also together with further batches.
     """
-    placed = with_month(staged, table)
+    placed, schema = with_month(staged, table), staged.drop(BATCH_ID).schema
+    create_keyed_table(spark, table, schema)
     months = batch_months(placed, table)
-    known = known_rows(spark, table, staged.drop(BATCH_ID).schema, months, batch_ids)
+    known = known_rows(spark, table, schema, months, batch_ids)
     fresh = _unseen(placed, known, table.keys, null_safe_keys)
-    return write_parts(_clustered(fresh, months), table.path, table.partitions, table.fmt)
+    return write_parts(_clustered(fresh, table), table.path, table.partitions, table.fmt)

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
-from weirgate.functions import month_date
-from weirgate.operators.months import collect_months, in_months, month_delta
-from weirgate.operators.ordinals import capped_scan, with_copy_id
+from weirgate.operators.months import collect_listed, in_months, month_delta
 from weirgate.plans.feed import Feed, Places
-from weirgate.plans.status import read_status, record
-from weirgate.sources import land_by_month, landed_months, local_rows, read_worklist, source_months, write_worklist
+from weirgate.plans.status import create_status, now, read_status, record
+from weirgate.sources import create_landing, land_by_month, landed_months, read_worklist, source_months, write_worklist
 
 
 def land_missing_months(
@@ -20,38 +17,44 @@ def land_missing_months(
     feed: Feed,
     places: Places,
     reopen_last: int = 0,
-    row_cap: int | None = None,
+    reopen_rejected: bool = False,
 ) -> DataFrame:
-    """Land every missing month in one pass; gives the work list of landed months silver has not settled.
+    """Land every missing month in one pass, all its rows; gives the work list of landed months to be loaded.
 
-    The list is published after the landing, from what really is there. Months of an earlier run that
-    was cut off before silver therefore stay on it. ``row_cap`` limits the rows of each month; months
-    that lost rows to it are noted in the status table.
+    Rows whose time is no time are landed as well, as one more month, the NULL one: they go through the gate
+    and the quarantine like any others. ``reopen_last`` lands the last months again, for rows that came in late;
+    ``reopen_rejected`` lists rejected months again, after a rule or a dimension has changed.
     """
-    missing = month_delta(source_months(source, feed.time()), landed_months(spark, places.landing), reopen_last)
-    months = collect_months(missing)
+    create_landing(spark, places.landing)
+    create_status(spark, places.status)
+    landed = landed_months(spark, places.landing, undated=True)
+    months = collect_listed(month_delta(source_months(source, feed.time(), undated=True), landed, reopen_last))
     if months:
-        rows = source.where(in_months(feed.time(), months))
-        if row_cap is not None:
-            rows = capped_months(spark, rows, feed, places, row_cap)
-        land_by_month(rows, feed.time(), places.landing)
-    just_landed = local_rows(spark, [{"month": m} for m in months], StructType([StructField("month", TimestampNTZType())]))
-    publish_worklist(spark, places, just_landed)
+        # Noted before it happens: a run that is cut off in between lists a month once too often, never too seldom.
+        at = now()
+        record(spark, places.status, "landing", f"landing-{at}", "landing", 0, months, at)
+        done = land_by_month(source.where(in_months(feed.time(), months)), feed.time(), places.landing)
+        record(spark, places.status, "landing", f"landing-{at}", "landed", done.n_rows, months, at)
+        if done.n_undated:
+            record(spark, places.status, "undated", f"landing-{at}", "landed", done.n_undated, at=at)
+    publish_worklist(spark, places, reopen_rejected)
     return read_worklist(spark, places.worklist)
 
 
-def capped_months(spark: SparkSession, rows: DataFrame, feed: Feed, places: Places, row_cap: int) -> DataFrame:
-    """The first rows of each month in time order; notes which months had more."""
-    capped = capped_scan(with_copy_id(rows), month_date(feed.time()), [feed.time_column], row_cap, "copy_id")
-    cut = collect_months(capped.where("truncated").select(feed.time().alias("month")))
-    if cut:
-        run = f"landing-{cut[0]:%Y-%m}-{cut[-1]:%Y-%m}"
-        record(spark, places.status, "landing", "truncated", {run: row_cap}, cut)
-    return capped.select(*rows.columns)
+def publish_worklist(spark: SparkSession, places: Places, reopen_rejected: bool = False) -> None:
+    """Landed months that silver has not settled since they were landed last.
 
-
-def publish_worklist(spark: SparkSession, places: Places, just_landed: DataFrame) -> None:
-    """Landed months that silver has neither loaded nor rejected, and the ones landed just now."""
-    settled = read_status(spark, places.status).where(F.col("stage") == "silver").select("month")
-    pending = landed_months(spark, places.landing).subtract(settled).union(just_landed).distinct()
-    write_worklist(pending, places.worklist)
+    The list is made from what really is there, so months of a run that was cut off before silver stay on it.
+    """
+    silver, landing = F.col("stage") == "silver", F.col("stage") == "landing"
+    noted = read_status(spark, places.status).groupBy(F.col("month").alias("noted_month")).agg(
+        F.max(F.when(landing, F.col("at"))).alias("landed_at"),
+        F.max(F.when(silver, F.coalesce("at", F.lit(0)))).alias("settled_at"),
+        F.max_by(F.when(silver, F.col("state")), F.when(silver, F.coalesce("at", F.lit(0)))).alias("state"),
+    )
+    files = landed_months(spark, places.landing, undated=True)
+    seen = files.join(noted, F.col("month").eqNullSafe(F.col("noted_month")), "left")
+    open_ = F.col("settled_at").isNull() | (F.col("landed_at") > F.col("settled_at"))
+    if reopen_rejected:
+        open_ |= F.col("state") == "rejected"
+    write_worklist(seen.where(open_).select("month"), places.worklist)

@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
-from weirgate.plans.ridership import (
-    BOROUGHS,
-    FARE_CLASSES,
-    PAYMENT_METHODS,
-    RANGES,
-    SCHEMA,
-    TIMESTAMP_PATTERN,
-    TRANSIT_MODES,
-)
 from weirgate.plans.views import DIRTY_EVENTS, RAW_EVENTS, RAW_ORDERS, TEXT_EVENTS, view_sql
 
+# Fixed values of the feed, stated here again so that a wrong one elsewhere does not pass on both sides.
+TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}$"
+TRANSIT_MODES = ["subway", "tram", "staten_island_railway"]
+BOROUGHS = ["Brooklyn", "Manhattan", "Bronx", "Queens", "Staten Island"]
+PAYMENT_METHODS = ["metrocard", "omny"]
+FARE_CLASSES = [
+    "Metrocard - Fair Fare",
+    "OMNY - Seniors & Disability",
+    "Metrocard - Seniors & Disability",
+    "Metrocard - Full Fare",
+    "OMNY - Other",
+    "OMNY - Full Fare",
+    "Metrocard - Unlimited 7-Day",
+    "Metrocard - Unlimited 30-Day",
+    "Metrocard - Students",
+    "Metrocard - Other",
+    "OMNY - Students",
+    "OMNY - Fair Fare",
+]
+RANGES = {
+    "ridership": (1, 16217),
+    "transfers": (0, 1450),
+    "latitude": (40.576126, 40.903126),
+    "longitude": (-74.07484, -73.7554),
+}
+TEXT_COLUMNS = [
+    "transit_timestamp",
+    "transit_mode",
+    "station_complex_id",
+    "station_complex",
+    "borough",
+    "payment_method",
+    "fare_class_category",
+]
+CAST_TO = {**{c: "string" for c in TEXT_COLUMNS}, "ridership": "int", "transfers": "int", "latitude": "float", "longitude": "float"}
+KEY = ["transit_timestamp", "station_complex_id", "payment_method", "fare_class_category", "transit_mode"]
+
 ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%S.%g')"
 FILE_NAME = "'ridership_' || strftime({0}, '%Y-%m-%dT%H-%M-%S-%g') || '.parquet'"
 ORDER_MONTHS = "SELECT DISTINCT date_trunc('month', o_orderdate) AS month FROM orders"
@@ -44,7 +72,7 @@ def _typed(expressions: dict[str, str], source: str, time: str) -> str:
         "int": "CAST(trunc(TRY_CAST({0} AS DOUBLE)) AS INTEGER)",
         "float": "TRY_CAST({0} AS FLOAT)",
     }
-    columns = ", ".join(f"{casts[kind].format(name)} AS {name}" for name, kind in SCHEMA.items())
+    columns = ", ".join(f"{casts[kind].format(name)} AS {name}" for name, kind in CAST_TO.items())
     # The LIKE keeps this engine from reading text as a time that the other one would not.
     derived = (
         "CASE WHEN transit_timestamp LIKE '____-__-__T%'"
@@ -78,24 +106,50 @@ RIDERSHIP_RULES = [
 ANY_RIDERSHIP = " OR ".join(f"coalesce({violation}, FALSE)" for _, _, violation in RIDERSHIP_RULES)
 
 
-def _summary(source: str, rules: list[tuple[str, str, str]], numeric: set[str]) -> str:
+def _summary(source: str, rules: list[tuple[str, ...]], numeric: set[str]) -> str:
+    """Rules are type, column and violation, and where they differ from the column, its known rows and its text."""
     parts = []
-    for number, (kind, column, violation) in enumerate(rules):
-        order = column if column in numeric else f"CAST({column} AS VARCHAR)"
+    for kind, column, violation, *special in rules:
+        known, text = special or (f"{column} IS NOT NULL", f"CAST({column} AS VARCHAR)")
+        order = column if column in numeric else text
         listed = (
-            f"(SELECT string_agg(value, ';' ORDER BY nth) FROM (SELECT CAST({column} AS VARCHAR) AS value,"
+            f"(SELECT string_agg(value, ';' ORDER BY nth) FROM (SELECT {text} AS value,"
             f" row_number() OVER (ORDER BY {order}) AS nth FROM {source} WHERE {violation}) WHERE nth <= 20)"
         )
+        count = f"count(*) FILTER ({violation})"
         parts.append(
             f"SELECT 'expect_column_values_to_{kind}' AS expectation_type, '{column}' AS \"column\","
-            f" count(*) FILTER ({violation}) = 0 AS success, count(*) FILTER ({violation}) AS unexpected_count,"
-            f" CASE WHEN count({column}) = 0 THEN CAST(0 AS DOUBLE)"
-            f" ELSE CAST(100 AS DOUBLE) * count(*) FILTER ({violation}) / count({column}) END AS unexpected_percent,"
+            f" {count} = 0 AS success, {count} AS unexpected_count,"
+            f" CASE WHEN count(*) FILTER ({known}) = 0 THEN CAST(0 AS DOUBLE)"
+            f" ELSE CAST(100 AS DOUBLE) * {count} / count(*) FILTER ({known}) END AS unexpected_percent,"
             f" coalesce({listed}, '') AS partial_unexpected_list FROM {source}"
         )
     return " UNION ALL ".join(parts)
 
 
+# Text is read as a time only where the other engine would read it, too.
+UNREADABLE = (
+    "(transit_timestamp IS NOT NULL AND (transit_timestamp NOT LIKE '____-__-__T%'"
+    " OR TRY_CAST(transit_timestamp AS TIMESTAMP) IS NULL))"
+)
+BOTH_KNOWN = "station_complex_id IS NOT NULL AND station_complex IS NOT NULL"
+STRICT_RULES = [
+    ("be_of_type", "transit_timestamp", UNREADABLE),
+    *RIDERSHIP_RULES[:4],
+    ("not_be_null", "borough", "borough IS NULL", "TRUE", "borough"),
+    *RIDERSHIP_RULES[4:7],
+    ("not_be_null", "ridership", "ridership IS NULL", "TRUE", "CAST(ridership AS VARCHAR)"),
+    *RIDERSHIP_RULES[7:],
+    (
+        "be_in_set",
+        "station_complex_id,station_complex",
+        f"({BOTH_KNOWN} AND (station_complex_id, station_complex) NOT IN (SELECT (CAST(n_nationkey AS VARCHAR), n_name) FROM nation))",
+        BOTH_KNOWN,
+        "station_complex_id || ',' || station_complex",
+    ),
+]
+
+
 EVENT_RULES = [
     ("be_in_set", "et", "et NOT IN ('click', 'view', 'error')"),
     ("be_between", "v", "(v < 1 OR v > 100)"),
@@ -111,6 +165,20 @@ def _samples() -> str:
     return " UNION ALL ".join(f"SELECT * FROM ({part})" for part in parts)
 
 
+TYPED_ORDERS = _typed(RAW_ORDERS, "orders", "o_orderdate")
+CHANGED_ORDERS = _typed(
+    {**RAW_ORDERS, "transfers": "CAST((o_custkey % 1400) % 1000 + 1 AS VARCHAR)"}, "orders", "o_orderdate"
+)
+SAME_KEY = " AND ".join(f"k.{c} = r.{c}" for c in KEY)
+MONTH_OF = "date_trunc('month', CAST(transit_timestamp AS TIMESTAMP))"
+WAREHOUSE_COLUMNS = (
+    "CAST(transit_timestamp AS TIMESTAMP) AS transit_timestamp, transit_mode,"
+    " station_complex_id, station_complex, borough, payment_method, fare_class_category,"
+    " CAST(ridership AS BIGINT) AS ridership, CAST(transfers AS BIGINT) AS transfers,"
+    " CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude"
+)
+WHOLE = "TRY_CAST(trunc(TRY_CAST(value_text AS DOUBLE)) AS {0})"
+
 ORACLES: dict[str, str] = {
     "source_month_inventory": f"{ORDER_MONTHS} ORDER BY month",
     "landing_inventory": "SELECT DISTINCT "
@@ -199,9 +267,30 @@ ORACLES: dict[str, str] = {
     " row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate) - 1 AS ordinal FROM lineitem)",
     "ridership_rejected": f"WITH {BATCH} SELECT *, NOT ({ANY_RIDERSHIP}) AS is_good FROM batch",
     "ridership_worklist": f"SELECT month FROM ({ORDER_MONTHS}) WHERE month >= TIMESTAMP '1998-01-01'",
-    "ridership_warehouse": "SELECT CAST(transit_timestamp AS TIMESTAMP) AS transit_timestamp, transit_mode,"
-    " station_complex_id, station_complex, borough, payment_method, fare_class_category,"
-    " CAST(ridership AS BIGINT) AS ridership, CAST(transfers AS BIGINT) AS transfers,"
-    " CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude"
-    f" FROM ({_typed(RAW_ORDERS, 'orders', 'o_orderdate')})",
+    "ridership_warehouse": f"SELECT {WAREHOUSE_COLUMNS} FROM ({TYPED_ORDERS})",
+    "ridership_overlap": f"WITH early AS (SELECT * FROM ({TYPED_ORDERS}) WHERE ridership % 3 <> 0),"
+    f" late AS (SELECT * FROM ({CHANGED_ORDERS}) r WHERE NOT EXISTS (SELECT 1 FROM early k WHERE {SAME_KEY}))"
+    f" SELECT {WAREHOUSE_COLUMNS} FROM (SELECT * FROM early UNION ALL SELECT * FROM late)",
+    "worklist_reopened": f"WITH typed AS (SELECT *, {MONTH_OF} AS month FROM ({TYPED_ORDERS})),"
+    " early AS (SELECT * FROM typed WHERE ridership % 7 <> 0), listed AS (SELECT DISTINCT month FROM early ORDER BY month DESC LIMIT 2),"
+    " late AS (SELECT count(*) AS n_new FROM typed r WHERE month IN (SELECT month FROM listed)"
+    f" AND NOT EXISTS (SELECT 1 FROM early k WHERE {SAME_KEY})) SELECT month, n_new FROM listed, late",
+    "flagship": f"SELECT DISTINCT event_id, ts, et, v FROM ({view_sql({**DIRTY_EVENTS, 'ts': 'ts'}, 'events')})"
+    f" WHERE NOT coalesce({BAD}, FALSE) AND ts >= TIMESTAMP '2024-01-16'",
+    "landed_rows_accounted": "SELECT CASE WHEN event_id % 97 <> 0 THEN date_trunc('month', ts) END AS month,"
+    f" count(*) AS n_rows FROM {EVENTS_TWICE} GROUP BY 1",
+    "multi_file_scan_flat": "SELECT * FROM orders",
+    "quarantine_counts_drop": f"WITH {DIRTY} SELECT CASE WHEN {BAD} THEN 'bad' WHEN NOT {BAD} THEN 'good' ELSE 'limbo' END"
+    " AS verdict, count(*) AS n_rows, count(*) AS n_told FROM dirty GROUP BY 1",
+    "quarantine_rerun": f"WITH {BATCH}, split AS (SELECT CASE WHEN {ANY_RIDERSHIP} THEN 'bad' ELSE 'good' END AS verdict"
+    " FROM batch), n AS (SELECT verdict, count(*) AS n_rows FROM split GROUP BY 1)"
+    " SELECT 1 AS step, verdict, n_rows FROM n UNION ALL SELECT 2, verdict, n_rows FROM n WHERE verdict = 'bad'",
+    "insert_new_one_per_key_nulls": f"WITH {DIRTY} SELECT event_id, event_id % 50 AS slot, et, v FROM dirty WHERE et IS NULL"
+    " UNION ALL (SELECT event_id, event_id % 50 AS slot, et, v FROM dirty WHERE et IS NOT NULL"
+    " QUALIFY row_number() OVER (PARTITION BY event_id % 50, et ORDER BY event_id) = 1)",
+    "cast_schema_spellings": "SELECT event_id, " + ", ".join(
+        f"{WHOLE.format(kind)} AS {name}"
+        for name, kind in (("as_int", "INTEGER"), ("as_integer", "INTEGER"), ("as_short", "SMALLINT"), ("as_smallint", "SMALLINT"), ("as_long", "BIGINT"))
+    ) + f" FROM ({view_sql(TEXT_EVENTS, 'events')})",
+    "validation_summary_strict": f"WITH {BATCH} " + _summary("batch", STRICT_RULES, set(RANGES)),
 }

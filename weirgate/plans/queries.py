@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 from weirgate.functions import add_month, file_name_to_iso, iso_text, moment, month_start, parse_iso, safe_file_name
 from weirgate.operators.dedup import append_union, dedup_keys, dedup_rows
 from weirgate.operators.membership import anti_join_dimension, semi_join_dimension
-from weirgate.operators.months import in_window, month_delta, month_windows, scan_months
+from weirgate.operators.months import collect_listed, in_window, month_delta, month_windows, scan_months
 from weirgate.operators.ordinals import add_place, capped_scan, round_robin_shards
 from weirgate.operators.rules import (
+    CHECKS,
     Rule,
     between,
     evaluate,
@@ -30,7 +32,17 @@ from weirgate.operators.schema import (
     project_columns,
     warehouse_projection,
 )
-from weirgate.operators.split import NullPolicy, Quarantine, bad_rows, good_rows, limbo_rows, quarantine
+from weirgate.operators.split import (
+    BAD,
+    GOOD,
+    LIMBO,
+    NullPolicy,
+    Quarantine,
+    bad_rows,
+    good_rows,
+    quarantine,
+    read_quarantine,
+)
 from weirgate.operators.summary import unexpected_samples, validation_gate, validation_summary
 from weirgate.operators.upsert import KeyedTable, insert_new, merge_batches, new_rows, read_table, stage_new
 from weirgate.plans.bronze import land_missing_months
@@ -43,6 +55,8 @@ from weirgate.session import scratch_path
 from weirgate.sources import (
     MONTH_FILE,
     land_by_month,
+    landed_files,
+    landed_months,
     landing_inventory,
     month_file_names,
     read_dimension,
@@ -128,7 +142,30 @@ def multi_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_by_month(orders, F.col("o_orderdate"), root)
     listed = source_months(table(spark, sf_dir, "lineitem"), F.col("l_shipdate"))
     landed = landing_inventory(spark, root).select(parse_iso(F.col("iso_time")).alias("month"))
-    return read_landed_months(spark, root, month_file_names(listed.join(landed, "month", "left_semi")))
+    return read_landed_months(spark, root, collect_listed(listed.join(landed, "month", "left_semi")))
+
+
+@query("multi_file_scan_flat")
+def multi_file_scan_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months landed as single files beside months landed as directories, all found by the inventory."""
+    root, orders = scratch_path(spark, "landing"), table(spark, sf_dir, "orders")
+    month, early = month_start(F.col("o_orderdate")), F.col("o_orderdate") < moment(datetime(1995, 3, 1))
+    land_by_month(orders.where(~early), F.col("o_orderdate"), root)
+    for at in collect_listed(orders.where(early).select(month.alias("month"))):
+        # A flat layout has one file a month, written below the name of the file itself.
+        orders.where(month == moment(at)).coalesce(1).write.parquet(f"{root}/{month_file_names([at])[0]}")
+    found = landed_files(spark, root).select(parse_iso("iso_time").alias("month"), "flat").collect()
+    months, flat = [r["month"] for r in found], [r["month"] for r in found if r["flat"]]
+    return read_landed_months(spark, root, months, flat=flat)
+
+
+@query("landed_rows_accounted")
+def landed_rows_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows landed by month and without one, against the rows of a source with unparsable times."""
+    places, raw = Places.below(scratch_path(spark, "feed")), raw_events(spark, sf_dir)
+    land_missing_months(spark, raw, RIDERSHIP, places)
+    rows = read_landed_months(spark, places.landing, collect_listed(landed_months(spark, places.landing, undated=True)))
+    return rows.groupBy(month_start(RIDERSHIP.time()).alias("month")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("json_ingest")
@@ -198,6 +235,15 @@ def cast_schema_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_schema(text, {"event_id": "bigint", "count_text": "int", "value_text": "int"})
 
 
+@query("cast_schema_spellings")
+def cast_schema_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling of an integer type cuts a fraction off."""
+    text = view(table(spark, sf_dir, "events"), TEXT_EVENTS)
+    spelt = {"as_int": "INT", "as_integer": "integer", "as_short": "short", "as_smallint": "SmallInt", "as_long": "LONG"}
+    copies = text.select("event_id", *[F.col("value_text").alias(name) for name in spelt])
+    return cast_schema(copies, {"event_id": "bigint", **spelt})
+
+
 @query("cast_failures")
 def cast_failures_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = view(table(spark, sf_dir, "events"), TEXT_EVENTS)
@@ -315,6 +361,19 @@ def validation_summary_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_summary(store(prepare_batch(raw_events(spark, sf_dir), RIDERSHIP, rules), "batch"), rules)
 
 
+@query("validation_summary_strict")
+def validation_summary_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with declared extra rules: required columns, a type to parse as, and the station as a pair."""
+    strict = replace(
+        RIDERSHIP,
+        required=("borough", "ridership"),
+        parseable={"transit_timestamp": "timestamp_ntz"},
+        dimension_groups=(("station_complex_id", "station_complex"),),
+    )
+    rules = strict.rules(stations(spark, sf_dir))
+    return flat_summary(store(prepare_batch(raw_events(spark, sf_dir), strict, rules), "batch"), rules)
+
+
 @query("unexpected_samples")
 def unexpected_samples_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = unexpected_samples(flagged_events(spark, sf_dir), event_rules())
@@ -336,8 +395,7 @@ def validation_gate_passing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantined_events(spark: SparkSession, sf_dir: str, null_policy: NullPolicy) -> Quarantine:
-    good, bad = scratch_path(spark, "valid"), scratch_path(spark, "invalid")
-    return quarantine(flagged_events(spark, sf_dir), event_rules(), good, bad, "events", null_policy)
+    return quarantine(flagged_events(spark, sf_dir), event_rules(), scratch_path(spark, "quarantine"), "events", null_policy)
 
 
 @query("quarantine_good")
@@ -362,7 +420,36 @@ def quarantine_bad_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("quarantine_limbo")
 def quarantine_limbo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return limbo_rows(flagged_events(spark, sf_dir), event_rules())
+    return quarantined_events(spark, sf_dir, "drop").limbo
+
+
+@query("quarantine_rerun")
+def quarantine_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch id three times: good and bad rows, then the bad ones only, then good ones only, which are loaded."""
+    places, known = Places.below(scratch_path(spark, "feed")), stations(spark, sf_dir)
+    raw, columns = raw_events(spark, sf_dir), list(RIDERSHIP.types)
+    bad = load_batch(spark, raw, known, RIDERSHIP, places, "events", on_reject="record")
+    schema = bad.flagged.drop(CHECKS).schema
+
+    def left(step: int) -> DataFrame:
+        found = read_quarantine(spark, places.quarantine, schema).groupBy("verdict").agg(F.count(F.lit(1)).alias("n_rows"))
+        return store(found.select(F.lit(step).alias("step"), "verdict", "n_rows"), "left")
+
+    steps = [left(1)]
+    only_bad = bad_rows(bad.flagged, bad.rules).select(*[F.col(c).cast("string") for c in columns])
+    load_batch(spark, only_bad, known, RIDERSHIP, places, "events", on_reject="record")
+    steps.append(left(2))
+    load_batch(spark, raw_orders(spark, sf_dir), known, RIDERSHIP, places, "events", on_reject="record")
+    return append_union(*steps, left(3))
+
+
+@query("quarantine_counts_drop")
+def quarantine_counts_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Under ``drop`` the rows in neither part are kept and counted too."""
+    kept = quarantined_events(spark, sf_dir, "drop")
+    parts = ((GOOD, kept.good, kept.n_good), (BAD, kept.bad, kept.n_bad), (LIMBO, kept.limbo, kept.n_limbo))
+    counted = [part.agg(F.lit(name).alias("verdict"), F.count(F.lit(1)).alias("n_rows"), F.lit(n).cast("bigint").alias("n_told")) for name, part, n in parts]
+    return append_union(*counted)
 
 
 @query("append_union")
@@ -437,6 +524,15 @@ def insert_new_one_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, target, lines.schema)
 
 
+@query("insert_new_one_per_key_nulls")
+def insert_new_one_per_key_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per key, where keys with a NULL equal none and so all stay."""
+    events = dirty_events(spark, sf_dir).select("event_id", (F.col("event_id") % 50).alias("slot"), "et", "v")
+    target, staging = KeyedTable(scratch_path(spark, "table"), ("slot", "et")), scratch_path(spark, "staging")
+    insert_new(spark, events, target, staging, "all", key_order=[F.col("event_id")])
+    return read_table(spark, target, events.schema)
+
+
 def insert_null_keys_twice(spark: SparkSession, sf_dir: str, null_safe_keys: bool) -> DataFrame:
     events = dirty_events(spark, sf_dir)
     target, staging = KeyedTable(scratch_path(spark, "table"), ("event_id", "et")), scratch_path(spark, "staging")
@@ -495,11 +591,9 @@ def ridership_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_batch(
         spark, raw_events(spark, sf_dir), stations(spark, sf_dir), RIDERSHIP, places, "events", on_reject="record"
     )
-    parts = [
-        spark.read.parquet(path).withColumn("is_good", F.lit(good)).drop("batch_id")
-        for path, good in ((places.quarantine_good, True), (places.quarantine_bad, False))
-    ]
-    return append_union(*parts)
+    schema = prepare_batch(raw_events(spark, sf_dir), RIDERSHIP, RIDERSHIP.rules(stations(spark, sf_dir))).drop(CHECKS).schema
+    kept = read_quarantine(spark, places.quarantine, schema)
+    return kept.withColumn("is_good", F.col("verdict") == GOOD).drop("verdict", "batch_id")
 
 
 def run_feed_twice(spark: SparkSession, sf_dir: str) -> Places:
@@ -519,11 +613,38 @@ def ridership_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_worklist(spark, run_feed_twice(spark, sf_dir).worklist)
 
 
+@query("worklist_reopened")
+def worklist_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows of settled months: landed again, listed, still listed after another run, and loaded."""
+    places, raw, known = Places.below(scratch_path(spark, "feed")), raw_orders(spark, sf_dir), stations(spark, sf_dir)
+    on_time = raw.where("cast(ridership as double) % 7 <> 0")
+    land_missing_months(spark, on_time, RIDERSHIP, places)
+    load_worklist(spark, known, RIDERSHIP, places, "first")
+    land_missing_months(spark, raw, RIDERSHIP, places, reopen_last=2)
+    land_missing_months(spark, raw, RIDERSHIP, places)
+    listed = store(read_worklist(spark, places.worklist), "listed")
+    loaded = load_worklist(spark, known, RIDERSHIP, places, "second")
+    return listed.withColumn("n_new", F.lit(loaded.n_new).cast("bigint"))
+
+
+@query("ridership_overlap")
+def ridership_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch shares keys and months with the first: only its unseen keys reach table and warehouse."""
+    places, raw, known = Places.below(scratch_path(spark, "feed")), raw_orders(spark, sf_dir), stations(spark, sf_dir)
+    early = raw.where("cast(ridership as double) % 3 <> 0")
+    changed = raw.withColumn("transfers", F.expr("cast(cast(transfers as int) % 1000 + 1 as string)"))
+    for batch_id, rows in (("first", early), ("second", changed)):
+        load_batch(spark, rows, known, RIDERSHIP, places, batch_id)
+        merge_warehouse(spark, RIDERSHIP, places)
+    return read_warehouse(spark, RIDERSHIP, places)
+
+
 @query("ridership_warehouse")
 def ridership_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warehouse(spark, RIDERSHIP, run_feed_twice(spark, sf_dir))
 
 
+@query("flagship")
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty events through cast, dedup, rules and split; then the good rows the table does not hold yet."""
     rules = event_rules()

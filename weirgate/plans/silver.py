@@ -3,48 +3,50 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+from weirgate.functions import parse_iso
 from weirgate.operators.dedup import dedup_rows
-from weirgate.operators.months import collect_months
+from weirgate.operators.months import collect_listed
 from weirgate.operators.rules import CHECKS, Rule, evaluate
-from weirgate.operators.schema import cast_failures, cast_schema, derive_datetime, project_columns
-from weirgate.operators.split import NullPolicy, quarantine
+from weirgate.operators.schema import cast_failure_counts, cast_schema, derive_datetime, project_columns
+from weirgate.operators.split import NullPolicy, clear_quarantine, quarantine
 from weirgate.operators.summary import validation_gate, validation_summary
 from weirgate.operators.upsert import check_batch_id, insert_new
 from weirgate.plans.feed import Feed, Places
-from weirgate.plans.status import is_loaded, record
+from weirgate.plans.status import create_status, now, record, record_casts, silver_states
 from weirgate.session import scratch_path
-from weirgate.sources import landed_months, month_file_names, read_landed_months, read_worklist
+from weirgate.sources import landed_files, read_landed_months, read_worklist
 
 
 @dataclass(frozen=True)
 class BatchOutcome:
-    """``flagged`` is the stored batch with its checks; ``new_rows`` reads the staged rows of a loaded one."""
+    """``flagged`` is the stored batch with its checks; ``new_rows`` reads the staged rows of a loaded one.
+
+    ``cast_failures`` counts by column the raw values that became NULL; NULL passes most rules, so these are not
+    seen there. ``absent_months`` were on the work list but are not landed.
+    """
 
     batch_id: str
     state: Literal["loaded", "rejected", "empty"]
-    raw: DataFrame | None = None
-    types: Mapping[str, str] | None = None
     rules: Sequence[Rule] = ()
     flagged: DataFrame | None = None
     new_rows: DataFrame | None = None
     n_new: int = 0
     n_good: int = 0
     n_bad: int = 0
+    n_limbo: int = 0
+    cast_failures: Mapping[str, int] = field(default_factory=dict)
+    absent_months: Sequence[datetime | None] = ()
 
     def summary(self) -> DataFrame:
         """One row per rule: counts, percentage and samples."""
         return validation_summary(self.flagged, self.rules)
 
-    def cast_failures(self) -> DataFrame:
-        """One row per column: raw values that became NULL. NULL passes the rules, so these are not seen there."""
-        return cast_failures(self.raw, self.types)
-
 
 class BatchRejected(Exception):
     """A rule failed; the batch went to quarantine."""
@@ -54,9 +56,15 @@ class BatchRejected(Exception):
         self.outcome = outcome
 
 
-def prepare_batch(raw: DataFrame, feed: Feed, rules: Sequence[Rule]) -> DataFrame:
-    """Allow-list, casts, whole-row dedup, derived time and the rule checks: one plan, one shuffle."""
-    typed = cast_schema(project_columns(raw, list(feed.types)), feed.types)
+def prepare_batch(raw: DataFrame, feed: Feed, rules: Sequence[Rule], seen: Observation | None = None) -> DataFrame:
+    """Allow-list, casts, whole-row dedup, derived time and the rule checks: one plan, one shuffle.
+
+    ``seen`` observes the cast failures of each column on the way.
+    """
+    wanted = project_columns(raw, list(feed.types))
+    if seen is not None:
+        wanted = wanted.observe(seen, *cast_failure_counts(wanted, feed.types))
+    typed = cast_schema(wanted, feed.types)
     return evaluate(derive_datetime(dedup_rows(typed), feed.time_column, feed.derived_time), rules)
 
 
@@ -81,20 +89,27 @@ def load_batch(
 ) -> BatchOutcome:
     """One batch through gate, then quarantine or insert.
 
-    A batch that was cut off or rejected may run again under its id and replaces what it left. The id of
-    a loaded batch is refused: other rows under it would replace the first ones.
+    A batch that was cut off or rejected may run again under its id and replaces what it left: quarantine as a
+    whole, and nothing stays there once it is loaded. The id of a loaded batch is refused: other rows under it
+    would replace the first ones.
     """
     check_batch_id(batch_id)
-    if is_loaded(spark, places.status, batch_id):
+    create_status(spark, places.status)
+    begun = now()
+    before = silver_states(spark, places.status, batch_id)
+    if "loaded" in before:
         raise ValueError(f"batch {batch_id} is loaded already; new rows need a new id")
-    rules = feed.rules(dimension)
-    batch = store(prepare_batch(raw, feed, rules), "batch")
+    rules, seen = feed.rules(dimension), Observation()
+    batch = store(prepare_batch(raw, feed, rules, seen), "batch")
+    failures = dict(seen.get)
+    record_casts(spark, places.status, batch_id, failures)
     passed = validation_gate(batch, rules).first()["success"]
     if not passed:
-        kept = quarantine(batch, rules, places.quarantine_good, places.quarantine_bad, batch_id, null_policy)
-        months = collect_months(batch.select(feed.time().alias("month")))
-        record(spark, places.status, "silver", "rejected", {batch_id: 0}, months)
-        outcome = BatchOutcome(batch_id, "rejected", raw, feed.types, rules, batch, n_good=kept.n_good, n_bad=kept.n_bad)
+        kept = quarantine(batch, rules, places.quarantine, batch_id, null_policy, feed.time())
+        record(spark, places.status, "silver", batch_id, "rejected", 0, kept.months, begun)
+        outcome = BatchOutcome(
+            batch_id, "rejected", rules, batch, None, 0, kept.n_good, kept.n_bad, kept.n_limbo, failures
+        )
         if on_reject == "raise":
             raise BatchRejected(outcome)
         return outcome
@@ -107,18 +122,30 @@ def load_batch(
         null_safe_keys=null_safe_keys,
         key_order=key_order,
     )
+    if "rejected" in before:
+        clear_quarantine(spark, places.quarantine, batch_id, batch.drop(CHECKS).schema)
     months = [datetime(m.year, m.month, 1) if m else None for m in new.months]
-    record(spark, places.status, "silver", "loaded", {batch_id: new.n_new}, months)
-    return BatchOutcome(batch_id, "loaded", raw, feed.types, rules, batch, new.staged, new.n_new)
+    record(spark, places.status, "silver", batch_id, "loaded", new.n_new, months, begun)
+    return BatchOutcome(batch_id, "loaded", rules, batch, new.staged, new.n_new, cast_failures=failures)
 
 
 def load_worklist(
     spark: SparkSession, dimension: DataFrame, feed: Feed, places: Places, batch_id: str, **options
 ) -> BatchOutcome:
-    """Load the months of the work list that are landed; an empty list does nothing."""
-    listed = read_worklist(spark, places.worklist).join(landed_months(spark, places.landing), "month", "left_semi")
-    names = month_file_names(listed)
-    if not names:
-        return BatchOutcome(batch_id, "empty")
-    raw = read_landed_months(spark, places.landing, names)
-    return load_batch(spark, raw, dimension, feed, places, batch_id, **options)
+    """Load the months of the work list that are landed; an empty list does nothing.
+
+    Listed months that are not landed are named in the outcome.
+    """
+    listed = collect_listed(read_worklist(spark, places.worklist))
+    files = landed_files(spark, places.landing).select(parse_iso("iso_time").alias("month"), "flat").distinct().collect()
+    flat = {row["month"]: row["flat"] for row in sorted(files, key=lambda row: not row["flat"])}
+    there, absent = [m for m in listed if m in flat], [m for m in listed if m not in flat]
+    if not there:
+        return BatchOutcome(batch_id, "empty", absent_months=absent)
+    raw = read_landed_months(spark, places.landing, there, flat=[m for m in there if flat[m]])
+    try:
+        outcome = load_batch(spark, raw, dimension, feed, places, batch_id, **options)
+    except BatchRejected as rejected:
+        rejected.outcome = replace(rejected.outcome, absent_months=absent)
+        raise
+    return replace(outcome, absent_months=absent)

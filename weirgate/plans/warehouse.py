@@ -7,49 +7,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from weirgate.operators.schema import warehouse_projection
-from weirgate.operators.upsert import BATCH_ID, KeyedTable, merge_batches, read_table
+from weirgate.operators.upsert import BATCH_ID, create_keyed_table, merge_batches, read_table
 from weirgate.plans.feed import Feed, Places
-from weirgate.plans.status import read_status, record
+from weirgate.plans.silver import store
+from weirgate.plans.status import create_status, now, read_status, write_status
 
 
-def unmerged_batches(spark: SparkSession, places: Places) -> dict[str, int]:
+def unmerged_batches(spark: SparkSession, places: Places) -> DataFrame:
     """Loaded batches the warehouse has not taken yet, with their staged row counts."""
     status = read_status(spark, places.status)
-    loaded = status.where("stage = 'silver' AND state = 'loaded'").groupBy(BATCH_ID).agg(F.max("n_rows").alias("n"))
-    merged = status.where("stage = 'warehouse'").select(BATCH_ID).distinct()
-    return {row[BATCH_ID]: row["n"] for row in loaded.join(merged, BATCH_ID, "left_anti").collect()}
+    loaded = status.where("stage = 'silver' AND state = 'loaded'").groupBy(BATCH_ID).agg(F.max("n_rows").alias("n_rows"))
+    merged = status.where("stage = 'warehouse'").select(BATCH_ID)
+    return loaded.join(merged, BATCH_ID, "left_anti")
 
 
-def merge_warehouse(spark: SparkSession, feed: Feed, places: Places, null_safe_keys: bool = False) -> int:
-    """Merge every unmerged batch in one pass; gives the number of rows inserted."""
-    waiting = unmerged_batches(spark, places)
-    filled = sorted(batch for batch, n in waiting.items() if n)
-    inserted = 0
-    if filled:
-        paths = [f"{places.staging}/{BATCH_ID}={batch}" for batch in filled]
-        staged = spark.read.option("basePath", places.staging).parquet(*paths)
-        inserted = merge_staged(spark, staged, feed, places.warehouse_table(feed), filled, null_safe_keys)
-    if waiting:
-        record(spark, places.status, "warehouse", "merged", waiting)
-    return inserted
+def warehouse_schema(feed: Feed) -> StructType:
+    return StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in feed.warehouse_types.items()))
 
 
-def merge_staged(
-    spark: SparkSession,
-    staged: DataFrame,
-    feed: Feed,
-    table: KeyedTable,
-    batch_ids: list[str],
-    null_safe_keys: bool = False,
-) -> int:
-    """Project staged rows to the warehouse's columns and insert unseen keys."""
-    types = {**feed.warehouse_types, BATCH_ID: "string"}
-    return merge_batches(
-        spark, warehouse_projection(staged, feed.time_column, types), table, batch_ids, null_safe_keys
+def merge_warehouse(spark: SparkSession, feed: Feed, places: Places, null_safe_keys: bool = False) -> int:
+    """Merge every unmerged batch in one pass; gives the number of rows inserted.
+
+    However many batches wait, their ids stay in a table: the staging folder is joined with it on the partition.
+    """
+    create_status(spark, places.status)
+    create_keyed_table(spark, places.warehouse_table(feed), warehouse_schema(feed))
+    waiting = store(unmerged_batches(spark, places), "waiting")
+    if waiting.isEmpty():
+        return 0
+    inserted, filled = 0, waiting.where("n_rows > 0")
+    if not filled.isEmpty():
+        staged = spark.read.parquet(places.staging).join(filled.select(BATCH_ID), BATCH_ID, "left_semi")
+        types = {**feed.warehouse_types, BATCH_ID: "string"}
+        projected = warehouse_projection(staged, feed.time_column, types)
+        inserted = merge_batches(spark, projected, places.warehouse_table(feed), filled, null_safe_keys)
+    merged = waiting.select(
+        F.lit(None).cast("timestamp_ntz").alias("month"),
+        F.lit("merged").alias("state"),
+        "n_rows",
+        F.lit(now()).cast("bigint").alias("at"),
+        F.lit("warehouse").alias("stage"),
+        BATCH_ID,
     )
+    write_status(merged, places.status)
+    return inserted
 
 
 def read_warehouse(spark: SparkSession, feed: Feed, places: Places) -> DataFrame:
-    """The main table; empty with the declared columns if nothing was merged yet."""
-    schema = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in feed.warehouse_types.items()))
-    return read_table(spark, places.warehouse_table(feed), schema)
+    """The main table; there is one once :func:`merge_warehouse` has run."""
+    return read_table(spark, places.warehouse_table(feed), warehouse_schema(feed))

@@ -7,7 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
-_local_root: str | None = None
+_local_root: tempfile.TemporaryDirectory | None = None
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -16,7 +16,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("weirgate")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
@@ -30,7 +30,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it then gets one folder per process.
+    Only a local session may do without the setting, which cannot be made on a running session; it then gets one
+    folder per process, which goes when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -39,8 +40,8 @@ def shared_root(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     global _local_root
     if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="weirgate-")
-    return _local_root
+        _local_root = tempfile.TemporaryDirectory(prefix="weirgate-")
+    return _local_root.name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

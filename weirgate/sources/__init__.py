@@ -1,5 +1,8 @@
 from weirgate.sources.files import (
     MONTH_FILE,
+    Landed,
+    create_landing,
+    create_table,
     land_by_month,
     local_rows,
     month_file_names,
@@ -11,11 +14,15 @@ from weirgate.sources.files import (
     read_worklist,
     write_worklist,
 )
-from weirgate.sources.inventory import landed_months, landing_inventory, source_months
+from weirgate.sources.inventory import landed_files, landed_months, landing_inventory, source_months
 
 __all__ = [
     "MONTH_FILE",
+    "Landed",
+    "create_landing",
+    "create_table",
     "land_by_month",
+    "landed_files",
     "landed_months",
     "landing_inventory",
     "local_rows",

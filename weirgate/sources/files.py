@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
-from weirgate.functions import iso_text, month_date, parse_iso, safe_file_name
+from weirgate.functions import FILE_PREFIX, iso_text, month_date, parse_iso, safe_file_name
 
 MONTH_FILE = "month_file"
+# Fixed value: the column of the work list.
 WORKLIST_COLUMN = "new_timestamps"
+UNDATED = "undated"
 
 
 def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -27,11 +31,15 @@ def local_rows(spark: SparkSession, rows: list[dict[str, Any]], schema: StructTy
     return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)), schema)
 
 
-def open_table(
+def create_table(
     spark: SparkSession, path: str, schema: StructType, parts: Sequence[str], fmt: str = "parquet"
-) -> DataFrame:
-    """The partitioned table at ``path``, created without rows if there is nothing yet."""
+) -> None:
+    """Make an empty partitioned table at ``path`` unless there is something already. For writers only."""
     no_rows(spark, schema).write.format(fmt).partitionBy(*parts).mode("ignore").save(path)
+
+
+def open_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """The partitioned table at ``path``. Reading makes nothing: a path that is not there is an error."""
     return spark.read.format(fmt).schema(schema).load(path)
 
 
@@ -59,46 +67,81 @@ def read_dimension(spark: SparkSession, path: str, schema: str | StructType) ->
     )
 
 
-def land_by_month(df: DataFrame, ts: Column, root: str) -> None:
+@dataclass(frozen=True)
+class Landed:
+    """What a landing wrote: rows in all, rows without a month, and the months (a calendar bounds their number)."""
+
+    n_rows: int
+    n_undated: int
+    months: Sequence[datetime]
+
+
+def land_by_month(df: DataFrame, ts: Column, root: str, prefix: str = FILE_PREFIX) -> Landed:
     """Write one directory per calendar month, named after the month; a month written again is replaced.
 
+    Rows whose time is no time go to a directory of their own, so that none is lost.
+
     The rebalance shuffle brings a month together and lets adaptive execution cut a heavy month into
     several files, so neither a hot month nor many small ones hurt. It carries the month as a date; the
     longer name is made after it.
     """
+    create_landing(df.sparkSession, root)
+    seen, month = Observation(), F.col("__month")
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if(month.isNull()).alias("undated"), F.collect_set(month.cast("string")).alias("months")]
+    name = F.coalesce(safe_file_name(month.cast("timestamp_ntz"), prefix), F.lit(undated_name(prefix)))
     (
         df.withColumn("__month", month_date(ts))
         .hint("rebalance", "__month")
-        .withColumn(MONTH_FILE, safe_file_name(F.col("__month").cast("timestamp_ntz")))
+        .observe(seen, *counts)
+        .withColumn(MONTH_FILE, name)
         .drop("__month")
         .write.partitionBy(MONTH_FILE)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(root)
     )
+    return Landed(seen.get["n"], seen.get["undated"], sorted(datetime.fromisoformat(m) for m in seen.get["months"]))
 
 
-def month_file_names(months: DataFrame, month: str = "month") -> list[str]:
-    """File names of a list of months. A calendar has 12 months a year, so this stays small."""
-    rows = months.select(safe_file_name(F.col(month)).alias("name")).where("name IS NOT NULL").distinct().collect()
-    return sorted(row["name"] for row in rows)
+def create_landing(spark: SparkSession, root: str) -> None:
+    """An empty landing area, so that a first run needs no special case."""
+    create_table(spark, root, StructType([StructField("row", StringType()), StructField(MONTH_FILE, StringType())]), [MONTH_FILE])
 
 
-def read_landed_months(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+def undated_name(prefix: str = FILE_PREFIX) -> str:
+    """The name under which rows without a month land."""
+    return f"{prefix}_{UNDATED}.parquet"
+
+
+def month_file_names(months: Sequence[datetime | None], prefix: str = FILE_PREFIX) -> list[str]:
+    """File names of months; None names the rows without one."""
+    return sorted(
+        f"{prefix}_{m:%Y-%m-%dT%H-%M-%S}-{m.microsecond // 1000:03d}.parquet" if m else undated_name(prefix)
+        for m in set(months)
+    )
+
+
+def read_landed_months(
+    spark: SparkSession, root: str, months: Sequence[datetime | None], prefix: str = FILE_PREFIX, flat: Sequence[datetime | None] = ()
+) -> DataFrame:
     """Only the named months of the landing area: other months are not even listed.
 
-    Months are directories as :func:`land_by_month` writes them. A month that is not there is an error.
+    Months are directories as :func:`land_by_month` writes them; those in ``flat`` are single files right below the
+    root. A month that is not there is an error.
     """
-    return spark.read.parquet(*[f"{root}/{MONTH_FILE}={name}" for name in names])
+    folders = [f"{root}/{MONTH_FILE}={name}" for name in month_file_names([m for m in months if m not in flat], prefix)]
+    return spark.read.parquet(*folders, *[f"{root}/{name}" for name in month_file_names(flat, prefix)])
 
 
 def write_worklist(months: DataFrame, path: str, month: str = "month") -> None:
-    """Replace the work list: one column of ISO month texts."""
-    listed = months.where(F.col(month).isNotNull()).select(iso_text(F.col(month)).alias(WORKLIST_COLUMN))
+    """Replace the work list: one column of ISO month texts. A NULL month lists the rows without one."""
+    listed = months.select(F.coalesce(iso_text(F.col(month)), F.lit(UNDATED)).alias(WORKLIST_COLUMN))
     listed.coalesce(1).sortWithinPartitions(WORKLIST_COLUMN).write.mode("overwrite").parquet(path)
 
 
 def read_worklist(spark: SparkSession, path: str) -> DataFrame:
-    """The work list as distinct months; text that is no timestamp is left out."""
+    """The work list as distinct months, NULL for rows without one; other text that is no timestamp is left out."""
     listed = spark.read.schema(f"{WORKLIST_COLUMN} string").parquet(path)
-    return listed.select(parse_iso(F.col(WORKLIST_COLUMN)).alias("month")).where("month IS NOT NULL").distinct()
+    text = F.col(WORKLIST_COLUMN)
+    months = listed.select(parse_iso(text).alias("month"), (text == UNDATED).alias("undated"))
+    return months.where("month IS NOT NULL OR undated").select("month").distinct()

@@ -4,22 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from weirgate.functions import file_name_to_iso, month_start, parse_iso
-from weirgate.sources.files import MONTH_FILE, open_table
+from weirgate.functions import FILE_PREFIX, file_name_to_iso, month_start, parse_iso
+from weirgate.sources.files import MONTH_FILE, undated_name
 
 
-def source_months(df: DataFrame, ts: Column) -> DataFrame:
-    """Distinct months of a source in order. Reads one column; the shuffle carries months only."""
-    return df.select(month_start(ts).alias("month")).where("month IS NOT NULL").distinct().orderBy("month")
+def source_months(df: DataFrame, ts: Column, undated: bool = False) -> DataFrame:
+    """Distinct months of a source in order. Reads one column; the shuffle carries months only.
 
+    ``undated`` keeps a NULL month for rows whose time is no time.
+    """
+    months = df.select(month_start(ts).alias("month"))
+    return (months if undated else months.where("month IS NOT NULL")).distinct().orderBy("month")
 
-def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """ISO time of every landed month below ``root``, told from the paths; no file is read."""
-    # An absent landing area is created empty, so that a first run needs no special case.
-    landed = StructType([StructField("row", StringType()), StructField(MONTH_FILE, StringType())])
-    open_table(spark, root, landed, [MONTH_FILE])
+
+def landed_files(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> DataFrame:
+    """iso_time, undated, flat of what is landed below ``root``, told from the paths; no file is read.
+
+    ``flat`` marks single files right below the root, the others are directories of a month.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -27,10 +30,21 @@ def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path")
     )
-    return files.select(file_name_to_iso(F.col("path")).alias("iso_time")).where("iso_time IS NOT NULL").distinct()
+    told = files.select(
+        file_name_to_iso(F.col("path"), prefix).alias("iso_time"),
+        F.contains("path", F.lit(f"{MONTH_FILE}={undated_name(prefix)}/")).alias("undated"),
+        (~F.contains("path", F.lit(f"/{MONTH_FILE}="))).alias("flat"),
+    )
+    return told.where("iso_time IS NOT NULL OR undated").distinct()
+
+
+def landing_inventory(spark: SparkSession, root: str, prefix: str = FILE_PREFIX) -> DataFrame:
+    """ISO time of every landed month."""
+    return landed_files(spark, root, prefix).where("iso_time IS NOT NULL").select("iso_time").distinct()
 
 
-def landed_months(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct landed months in order."""
-    months = landing_inventory(spark, root).select(parse_iso(F.col("iso_time")).alias("month"))
-    return months.where("month IS NOT NULL").distinct().orderBy("month")
+def landed_months(spark: SparkSession, root: str, prefix: str = FILE_PREFIX, undated: bool = False) -> DataFrame:
+    """Distinct landed months in order; with ``undated`` a NULL month stands for landed rows without one."""
+    files = landed_files(spark, root, prefix).select(parse_iso(F.col("iso_time")).alias("month"), "undated")
+    wanted = files.where("month IS NOT NULL OR undated" if undated else "month IS NOT NULL")
+    return wanted.select("month").distinct().orderBy("month")

@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from weirgate.plans.feed import Feed, Places
 from weirgate.plans.silver import load_batch
-from weirgate.plans.status import is_loaded
+from weirgate.plans.status import create_status, is_loaded
 
 
 def load_landed_files(
@@ -22,6 +22,7 @@ def load_landed_files(
     """
     schema = StructType([StructField(name, StringType()) for name in feed.types])
     options.setdefault("on_reject", "record")
+    create_status(spark, places.status)
 
     def load(batch: DataFrame, epoch: int) -> None:
         session, batch_id = batch.sparkSession, f"stream-{epoch:09d}"
