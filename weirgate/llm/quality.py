@@ -53,7 +53,7 @@ class QualityRule:
 RULES = (
     QualityRule("length", "n_words < 50", "n_words >= 80"),
     QualityRule("symbols", "n_symbols > 0.10 * n_words", "n_symbols <= 0.02 * n_words"),
-    QualityRule("repeats", "n_repeat_words > 0.30 * n_words", "n_repeat_words <= 0.15 * n_words"),
+    QualityRule("repeats", "n_repeat_words > 0.40 * n_words", "n_repeat_words <= 0.20 * n_words"),
     QualityRule("lines", "n_dup_lines >= 3 AND n_dup_lines > 0.30 * n_lines", "n_dup_lines <= 0.10 * n_lines"),
     QualityRule("word_length", "word_chars < 3 * n_words OR word_chars > 12 * n_words", "word_chars BETWEEN 3.5 * n_words AND 9 * n_words"),
     QualityRule("capitals", "n_capitals > 0.40 * word_chars", "n_capitals <= 0.15 * word_chars"),

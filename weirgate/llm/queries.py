@@ -57,25 +57,12 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
 
 def op7_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
-    return scored.withColumn("held_out", fold(F.col("doc_id")) == HELD_OUT)
+    return scored.withColumn("held_out", F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False)))
 
 
 def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the items that contaminate it, the best coverage, and whether all were exact."""
-    docs = table(spark, sf_dir, "documents")
-    found = leaks.contamination(docs, table(spark, sf_dir, "benchmark"))
-    per_doc = found.groupBy("doc_id").agg(
-        F.sort_array(F.collect_set("item_id")).alias("item_ids"),
-        F.max("coverage").alias("coverage"),
-        F.max(F.col("kind") != "exact").alias("reparameterised"),
-    )
-    return docs.select("doc_id").join(per_doc, "doc_id", "left").select(
-        "doc_id",
-        F.col("item_ids").isNotNull().alias("contaminated"),
-        F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"),
-        F.coalesce("coverage", F.lit(0.0)).alias("coverage"),
-        F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"),
-    )
+    """doc_id, item_id, coverage and kind of each contaminated document and the item that it holds."""
+    return leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
