@@ -42,9 +42,8 @@ def collect_months(months: DataFrame, month: str = "month") -> list[datetime]:
 
 
 def collect_listed(months: DataFrame, month: str = "month") -> list[datetime | None]:
-    """Distinct listed months with None for a NULL one; bounded by the calendar, not by the data."""
-    rows = months.select(F.col(month).alias("m")).distinct().collect()
-    return sorted((row["m"] for row in rows), key=lambda m: (m is not None, m))
+    """A list of months as Python values, None for a NULL one; bounded by the calendar, not by the data."""
+    return sorted({row[month] for row in months.select(month).collect()}, key=lambda m: (m is not None, m))
 
 
 def _next(month: datetime) -> datetime:

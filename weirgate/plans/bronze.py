@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
-from weirgate.operators.months import collect_listed, in_months, month_delta
+from weirgate.functions import month_start
+from weirgate.operators.months import collect_listed, in_months
 from weirgate.plans.feed import Feed, Places
 from weirgate.plans.status import create_status, now, read_status, record
-from weirgate.sources import create_landing, land_by_month, landed_months, read_worklist, source_months, write_worklist
+from weirgate.sources import (
+    create_landing,
+    land_by_month,
+    landed_months,
+    local_rows,
+    read_worklist,
+    write_worklist,
+)
 
 
 def land_missing_months(
@@ -27,8 +38,12 @@ def land_missing_months(
     """
     create_landing(spark, places.landing)
     create_status(spark, places.status)
-    landed = landed_months(spark, places.landing, undated=True)
-    months = collect_listed(month_delta(source_months(source, feed.time(), undated=True), landed, reopen_last))
+    # Months are bounded by the calendar, so the lists are compared here and what is landed is listed once.
+    landed = set(collect_listed(landed_months(spark, places.landing, undated=True)))
+    offered = set(collect_listed(source.select(month_start(feed.time()).alias("month")).distinct()))
+    last = sorted(m for m in landed if m is not None)[-reopen_last:] if reopen_last else []
+    again = {*last, None} if reopen_last else set()
+    months = sorted((offered - landed) | (offered & again), key=lambda m: (m is not None, m))
     if months:
         # Noted before it happens: a run that is cut off in between lists a month once too often, never too seldom.
         at = now()
@@ -37,24 +52,27 @@ def land_missing_months(
         record(spark, places.status, "landing", f"landing-{at}", "landed", done.n_rows, months, at)
         if done.n_undated:
             record(spark, places.status, "undated", f"landing-{at}", "landed", done.n_undated, at=at)
-    publish_worklist(spark, places, reopen_rejected)
+    publish_worklist(spark, places, landed.union(months), reopen_rejected)
     return read_worklist(spark, places.worklist)
 
 
-def publish_worklist(spark: SparkSession, places: Places, reopen_rejected: bool = False) -> None:
+def publish_worklist(
+    spark: SparkSession, places: Places, landed: set[datetime | None], reopen_rejected: bool = False
+) -> None:
     """Landed months that silver has not settled since they were landed last.
 
     The list is made from what really is there, so months of a run that was cut off before silver stay on it.
     """
-    silver, landing = F.col("stage") == "silver", F.col("stage") == "landing"
-    noted = read_status(spark, places.status).groupBy(F.col("month").alias("noted_month")).agg(
-        F.max(F.when(landing, F.col("at"))).alias("landed_at"),
-        F.max(F.when(silver, F.coalesce("at", F.lit(0)))).alias("settled_at"),
-        F.max_by(F.when(silver, F.col("state")), F.when(silver, F.coalesce("at", F.lit(0)))).alias("state"),
+    silver, landing, at = F.col("stage") == "silver", F.col("stage") == "landing", F.coalesce("at", F.lit(0))
+    noted = read_status(spark, places.status).groupBy("month").agg(
+        F.max(F.when(landing, at)).alias("landed_at"),
+        F.max(F.when(silver, at)).alias("settled_at"),
+        F.max_by(F.when(silver, F.col("state")), F.when(silver, at)).alias("state"),
     )
-    files = landed_months(spark, places.landing, undated=True)
-    seen = files.join(noted, F.col("month").eqNullSafe(F.col("noted_month")), "left")
-    open_ = F.col("settled_at").isNull() | (F.col("landed_at") > F.col("settled_at"))
-    if reopen_rejected:
-        open_ |= F.col("state") == "rejected"
-    write_worklist(seen.where(open_).select("month"), places.worklist)
+    settled = {
+        row["month"]
+        for row in noted.where("settled_at IS NOT NULL").collect()
+        if (row["landed_at"] or 0) <= row["settled_at"] and not (reopen_rejected and row["state"] == "rejected")
+    }
+    rows = [{"month": m} for m in landed - settled]
+    write_worklist(local_rows(spark, rows, StructType([StructField("month", TimestampNTZType())])), places.worklist)

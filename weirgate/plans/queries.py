@@ -151,7 +151,7 @@ def multi_file_scan_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, orders = scratch_path(spark, "landing"), table(spark, sf_dir, "orders")
     month, early = month_start(F.col("o_orderdate")), F.col("o_orderdate") < moment(datetime(1995, 3, 1))
     land_by_month(orders.where(~early), F.col("o_orderdate"), root)
-    for at in collect_listed(orders.where(early).select(month.alias("month"))):
+    for at in collect_listed(orders.where(early).select(month.alias("month")).distinct()):
         # A flat layout has one file a month, written below the name of the file itself.
         orders.where(month == moment(at)).coalesce(1).write.parquet(f"{root}/{month_file_names([at])[0]}")
     found = landed_files(spark, root).select(parse_iso("iso_time").alias("month"), "flat").collect()

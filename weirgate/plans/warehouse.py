@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,11 +32,13 @@ def merge_warehouse(spark: SparkSession, feed: Feed, places: Places, null_safe_k
     """
     create_status(spark, places.status)
     create_keyed_table(spark, places.warehouse_table(feed), warehouse_schema(feed))
-    waiting = store(unmerged_batches(spark, places), "waiting")
-    if waiting.isEmpty():
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_rows") > 0).alias("filled")]
+    waiting = store(unmerged_batches(spark, places).observe(seen, *counts), "waiting")
+    if not seen.get["n"]:
         return 0
     inserted, filled = 0, waiting.where("n_rows > 0")
-    if not filled.isEmpty():
+    if seen.get["filled"]:
         staged = spark.read.parquet(places.staging).join(filled.select(BATCH_ID), BATCH_ID, "left_semi")
         types = {**feed.warehouse_types, BATCH_ID: "string"}
         projected = warehouse_projection(staged, feed.time_column, types)
