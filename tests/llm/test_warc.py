@@ -38,6 +38,7 @@ def odd_pages():
         (6, "u", noise), (7, "u", b"WARC/1.1\r\n" * 3), (8, "u", b"a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n" * 5000),
         (9, "u", b"\r\n\r\n"), (10, "u", b"line\n" * 40_000), (11, "u", b"z" * 65_536), (12, "u", b"z" * 65_537), (13, "u", noise),
         (14, "u", b"WAWAWARC/1.1\r\n" + b"W" * 70_000), (2, "http://b/", b"x"), (None, "n", b"x"), (None, None, b"n"), (None, None, b"n"),
+        (15, "u", noise[:1000] + b"WARC/1.1\r\n" + noise[:70_000]),
     ]
     return rows + [(100 + i, "u", bytes([i % 7]) * 10) for i in range(50)]
 

@@ -62,8 +62,9 @@ def _chunks(payload: str, size: int) -> str:
     cut = "transform(sequence(0, greatest(0, ceil(octet_length({0}) / {1}) - 1)), i -> substring({0}, int(i * {1}) + 1, {1}))"
     whole = cut.format(payload, size)
     version = VERSION.replace("/", "\\\\/").replace(".", "\\\\.").replace("\r\n", "\\\\r\\\\n")
-    pieces = f"split(cast({payload} AS string), '(?<=WA)(?=RC{version[4:]})')"
-    within = cut.format("cast(x AS binary)", size)
+    # As Latin-1 text every byte is one character, so that cutting and joining change none.
+    pieces = f"split(decode({payload}, 'ISO-8859-1'), '(?<=WA)(?=RC{version[4:]})')"
+    within = cut.format("encode(x, 'ISO-8859-1')", size)
     return f"CASE WHEN position(binary('{VERSION[:-2]}') IN {payload}) > 0 THEN flatten(transform({pieces}, x -> {within})) ELSE {whole} END"
 
 
