@@ -96,5 +96,7 @@ def test_odd_rows(spark, model):
     kept = toxicity.keep_clean(docs, model)
     assert kept.schema.simpleString() == docs.schema.simpleString() and {r.doc_id for r in kept.collect()} >= {None, 1, 2, 3}
     assert toxicity.keep_clean(no_docs(spark), model).count() == 0
+    some = spark.createDataFrame([(1, 1), (4, 0), (5, 1), (5, 0), (6, 1)], "doc_id bigint, toxic int")
+    assert sorted(len(t) for t, _ in toxicity.training_texts(docs, some))[:2] == [len(docs.where("doc_id = 4").first().text)] * 2
     nothing = spark.createDataFrame([(None, None), (1, None)], "doc_id bigint, toxic int")
     assert toxicity.training_texts(docs, nothing) == []

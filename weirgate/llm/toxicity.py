@@ -285,24 +285,28 @@ def training_texts(
 ) -> list[tuple[str, int]]:
     """A bounded sample of labelled texts, the same for the same documents whatever their order.
 
-    ``docs`` and ``labels`` share doc_id; rows without text or label are not taken, and of repeated ids one is.
+    ``docs`` and ``labels`` share doc_id; rows without text or label are not taken, and of a repeated id the longest
+    text is.
     """
+    docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).where("text is not null")
     marked = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sized = docs.select("doc_id", F.length("text").alias("size")).where("size is not null")
-    ranked = sized.join(marked, "doc_id").withColumn("turn", F.xxhash64("doc_id"))
-    ids = []
-    for kind in (0, 1):
-        room = chars[kind]
-        for row in ranked.where(F.col("toxic") == kind).orderBy("turn", "doc_id", "size").limit(most[kind]).collect():
-            if row["size"] <= room:
-                ids.append((row["doc_id"], kind))
-                room -= row["size"]
+    there = docs.select("doc_id").distinct().join(marked, "doc_id").withColumn("turn", F.xxhash64("doc_id"))
+    first = [there.where(F.col("toxic") == kind).orderBy("turn", "doc_id").limit(most[kind]) for kind in (0, 1)]
+    wanted = F.broadcast(first[0].union(first[1]))  # sum(most) rows at most
+    size = F.max(F.length("text")).alias("size")
+    sizes = docs.join(wanted, "doc_id").groupBy("turn", "doc_id", "toxic").agg(size)
+    ids, room = [], list(chars)
+    for row in sizes.orderBy("turn", "doc_id").collect():
+        if row["size"] <= room[row["toxic"]]:
+            ids.append((row["doc_id"], row["toxic"]))
+            room[row["toxic"]] -= row["size"]
     if not ids:
         return []
     spark = docs.sparkSession
     picked = F.broadcast(spark.createDataFrame(ids, "doc_id bigint, kind int"))  # sum(most) rows at most
-    rows = docs.select("doc_id", "text").join(picked, "doc_id").collect()
-    return [(r["text"], r["kind"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))]
+    longest = F.max_by("text", F.struct(F.length("text"), "text")).alias("text")
+    rows = docs.join(picked, "doc_id").groupBy("doc_id", "kind").agg(longest).collect()
+    return [(r["text"], r["kind"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
 def _worst_words(model: ToxicityModel):
