@@ -28,20 +28,24 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    Only a local session may do without the setting, which cannot be made on a running session; it then gets one
-    folder per process, which goes when the process ends.
-    """
+    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if _local_root is None:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return _local_root.name
+
+
+def provide_local_root(spark: SparkSession) -> None:
+    """For entry points that are handed a local session without the setting, which cannot be made once it runs.
+
+    Such a process gets one folder, which goes when the process ends. Sessions on a cluster get none.
+    """
     global _local_root
-    if _local_root is None:
+    unset = not spark.conf.get("spark.checkpoint.dir", None)
+    if unset and _local_root is None and spark.conf.get("spark.master", "").startswith("local["):
         _local_root = tempfile.TemporaryDirectory(prefix="weirgate-")
-    return _local_root.name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
