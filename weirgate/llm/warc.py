@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirgate.llm.common import stage
 from weirgate.session import scratch_path
 
 CHUNK_BYTES = 64 * 1024
@@ -74,7 +75,9 @@ def records(pages: DataFrame, record_id: str, url: str, payload: str, chunk_byte
     read = pages.select(F.col(record_id).cast("bigint").alias("id"), F.col(url).cast("string").alias("url"), body.alias("payload"))
     digested = read.withColumn("digest", F.sha1("payload"))
     groups = digested.where("id is not null").groupBy("digest").agg(F.max("id").alias("target"), F.count("*").alias("n"))
-    joined = digested.join(groups.where("n > 1").select("digest", "target"), "digest", "left")
+    # Written, so that Catalyst knows how few payloads repeat: where it may broadcast them it shuffles no payload.
+    repeated = stage(groups.where("n > 1").select("digest", "target"), "repeated")
+    joined = digested.join(repeated, "digest", "left")
     revisit = F.coalesce(F.col("id") < F.col("target"), F.lit(False))
     row = joined.withColumn("row", F.monotonically_increasing_id()).withColumn("revisit", revisit)
     row = row.withColumn("origin", _uuid(F.col("id"), F.col("digest"), F.col("row")))
