@@ -16,6 +16,8 @@ be earlier. Rows that repeat an id are taken once. Quotes that match nothing lin
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,23 +68,29 @@ def link(parsed: DataFrame) -> DataFrame:
 
 
 def roots(links: DataFrame) -> DataFrame:
-    """id, root, depth of every id with a parent. Parents are earlier, so there are no cycles."""
-    at = stage(links.select("id", F.col("parent").alias("root"), F.lit(1).cast("bigint").alias("depth")), "roots")
+    """id, root, depth of every id with a parent. Parents are earlier, so there are no cycles.
+
+    Each round joins only ids whose root is not known yet, so one long chain does not move the others again.
+    """
+    whole = "id", "root", "depth", "done"
+    open_ = links.select("id", F.col("parent").alias("root"), F.lit(1).cast("bigint").alias("depth"), F.lit(False).alias("done"))
+    open_, settled = stage(open_, "roots"), []
     for _ in range(MOST_ROUNDS):
-        up = at.select(F.col("id").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        joined = at.join(up, "root", "left")
-        moved = stage(
-            joined.select(
-                "id",
-                F.coalesce("next", "root").alias("root"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                F.col("next").isNotNull().alias("moved"),
-            ),
-            "roots",
+        every = reduce(DataFrame.union, [open_, *settled])
+        up = every.select(
+            F.col("id").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"), F.col("done").alias("known")
+        )
+        joined = open_.join(up, "root", "left").select(
+            "id",
+            F.coalesce("next", "root").alias("root"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            F.coalesce("known", F.lit(True)).alias("done"),
         )
-        at = moved.drop("moved")
-        if moved.where("moved").isEmpty():
-            return at
+        round_ = stage(joined.select(*whole), "roots")
+        settled.append(round_.where("done"))
+        open_ = round_.where("not done")
+        if open_.isEmpty():
+            return reduce(DataFrame.union, settled).drop("done")
     raise RuntimeError("reply chains did not settle")
 
 
