@@ -194,5 +194,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents. Rows without doc_id stay."""
-    return docs.join(contamination(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without the contaminated documents. Rows without doc_id stay.
+
+    The ids are written first: Catalyst then knows their size, and shuffles no texts where it may broadcast them.
+    """
+    leaked = stage(contamination(docs, benchmark).select("doc_id").distinct(), "leaked")
+    return docs.join(leaked, "doc_id", "left_anti").select(docs.columns)

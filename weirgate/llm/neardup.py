@@ -205,9 +205,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     large = buckets.where(F.col("size") > SMALL_BUCKET)
     wanted = likely.select(F.col("a").alias("id")).union(likely.select(F.col("b").alias("id"))).union(large.select("id"))
-    chosen = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string")).join(
-        wanted.distinct(), "id", "left_semi"
-    )
+    # Written, so that Catalyst knows their size: where it may broadcast the ids it shuffles no texts.
+    wanted = stage(wanted.distinct(), "wanted")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string"))
+    chosen = texts.join(wanted, "id", "left_semi")
     sets = chosen.mapInArrow(_sets, "id bigint, items array<bigint>")
     sets = stage(sets, "sets")
     links = stage(_verified(likely, sets), "links")
@@ -230,5 +231,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that repeat one of a smaller id. Rows without doc_id stay."""
-    repeats = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    repeats = stage(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "repeats")
     return docs.join(repeats, "doc_id", "left_anti").select(docs.columns)
