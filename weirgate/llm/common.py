@@ -49,6 +49,13 @@ def encoded(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [b"" if t is None else t for t in column.to_pylist()]
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in views of fewer rows, so that no more Python objects than theirs are held at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def slices(batch: list[str], most_chars: int = 2_000_000) -> Iterator[list[str]]:
     """A batch in parts of about that many characters, so that the words of a part are few; texts stay whole."""
     part, size = [], 0

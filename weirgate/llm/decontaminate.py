@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import mixed, stage, texts, windows
+from weirgate.llm.common import mixed, small, stage, texts, windows
 
 WIDTH = 8
 LEAST_WIDTH = 3
@@ -113,7 +113,7 @@ def _window_rows(id_name: str, widths, bits: np.ndarray | None, whole_item: bool
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
         table = bits.value if bits is not None else None
-        for batch in batches:
+        for batch in small(batches):
             out: list[tuple] = []
             for key, text in zip(batch.column(0).to_pylist(), texts(batch, "text")):
                 words, hashes, slot = templates.of(text)

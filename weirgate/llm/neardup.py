@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weirgate.llm.common import WordHashes, encoded, mixed, stage, windows
+from weirgate.llm.common import WordHashes, encoded, mixed, small, stage, windows
 from weirgate.llm.components import components
 
 WIDTH = 5
@@ -79,7 +79,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     hashes, order = WordHashes(), priorities()
-    for batch in batches:
+    for batch in small(batches):
         counts, sets, sketches = [], [], []
         for text in encoded(batch, "text"):
             found = shingles(text, hashes)
@@ -106,7 +106,7 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    for batch in batches:
+    for batch in small(batches):
         found = [shingles(text, hashes).view(np.int64) for text in encoded(batch, "text")]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "items"])
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weirgate.llm.common import stage, texts
+from weirgate.llm.common import small, stage, texts
 
 CAPACITY = 1024
 END_ID = 2
@@ -77,7 +77,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = Encoder(), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch, "text")):
                 ids = np.array(encoder.ids(text) + [END_ID], "<u4")
@@ -221,7 +221,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = shared.value
         keys = at[:, 0] * (1 << 50) + at[:, 1]
-        for batch in batches:
+        for batch in small(batches):
             length, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy(False) for c in ("length", "rank"))
             row = at[np.searchsorted(keys, length * (1 << 50) + rank, side="right") - 1]
             found = batch.select(["doc_id", "piece", "start", "length", "ids_crc32"])

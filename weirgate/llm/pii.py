@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import free_name, stage
+from weirgate.llm.common import free_name, small, stage
 
 MOST_ATTEMPTS = 40
 
@@ -236,7 +236,7 @@ def _text_hash(text: str) -> int:
 
 
 def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         rows = set()
         for text in batch.column(0).to_pylist():
             if text and (spans := find(text)):
@@ -251,7 +251,7 @@ def assign(entities: DataFrame, secret: bytes) -> DataFrame:
     """kind, entity, attempt, made: a surrogate for each distinct (kind, entity), all different and no entity."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             kind, entity, attempt = (c.to_pylist() for c in batch.columns)
             made = [surrogate(*x, secret) for x in zip(kind, entity, attempt)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["kind", "entity", "attempt", "made"])
@@ -298,7 +298,7 @@ def replace(docs: DataFrame, secret: bytes, count_column: str | None = None) ->
     place = docs.columns.index("text")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out, counts = [], []
             for text, exceptions in zip(batch.column(place).to_pylist(), batch.column(len(batch.columns) - 1).to_pylist()):
                 spans = find(text) if text else []

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import slices, texts
+from weirgate.llm.common import slices, small, texts
 
 #: Documents and characters at most, by label: clean and toxic.
 TRAIN_DOCS = (4000, 1500)
@@ -334,7 +334,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worst_of = _worst_words(shared.value)
-        for batch in batches:
+        for batch in small(batches):
             p = shared.value.probability(worst_of(texts(batch, "text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32))],
@@ -353,7 +353,7 @@ def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worst_of = _worst_words(shared.value)
-        for batch in batches:
+        for batch in small(batches):
             p = shared.value.probability(worst_of(["" if t is None else t for t in batch.column(place).to_pylist()]))
             yield batch.filter(pa.array(p < THRESHOLD))
 
