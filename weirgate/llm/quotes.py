@@ -32,7 +32,7 @@ def _normal(text: Column) -> Column:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """id, scope, sent, own (text without quotes) and passages: level and normalised text of each run and line."""
+    """id, scope, sent, own (text without quotes) and passages: level, hash and size of each normalised run and line."""
     lines = F.transform(
         F.split(F.replace(F.coalesce("body", F.lit("")), F.lit("\r"), F.lit("")), "\n"),
         lambda x: F.struct(
@@ -47,14 +47,18 @@ def parse(messages: DataFrame) -> DataFrame:
     own = F.array_join(F.transform(F.filter("runs", lambda r: r["level"] == 0), lambda r: F.btrim(r["text"], F.lit(" \t\n"))), "\n")
     both = F.concat("runs", "lines")
     normal = F.transform(both, lambda p: F.struct(p["level"].alias("level"), _normal(p["text"]).alias("text")))
-    passages = F.array_distinct(F.filter(normal, lambda p: p["text"] != ""))
+    hashed = F.transform(
+        F.filter(normal, lambda p: p["text"] != ""),
+        lambda p: F.struct(p["level"].alias("level"), F.md5(p["text"]).alias("hash"), F.length(p["text"]).alias("size")),
+    )
+    passages = F.array_distinct(hashed)
     return parsed.select("id", "scope", "sent", F.btrim(own, F.lit(" \t\n")).alias("own"), passages.alias("passages"))
 
 
 def link(parsed: DataFrame) -> DataFrame:
     """id, parent of the messages with a known parent."""
     passages = parsed.where("sent is not null").select("id", "scope", "sent", F.explode("passages").alias("p")).select(
-        "id", "scope", "sent", F.col("p.level").alias("level"), F.md5("p.text").alias("hash"), F.length("p.text").alias("size")
+        "id", "scope", "sent", "p.level", "p.hash", "p.size"
     )
     origins = passages.where("level = 0").groupBy("scope", "hash").agg(F.min(F.struct("sent", "id")).alias("origin"))
     origins = origins.select(F.col("scope").alias("in_scope"), F.col("hash").alias("written"), "origin")
