@@ -19,9 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts the lineage, survives lost executors."""
+    """Write to the shared folder and read again: cuts the lineage, survives lost executors.
+
+    Zstandard works in the heap. Snappy keeps buffers outside of it until the heap is collected, which for many small
+    files is more than an executor has to spare.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
