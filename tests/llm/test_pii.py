@@ -39,6 +39,29 @@ def test_find(text, kinds):
     assert [k for _, _, k in pii.find(text)] == kinds
 
 
+MASKED = ["password: ********", "token: --------", "sk-________________ x", "pk_----------------", "secret=sk-********", "mail ____@--.com now"]
+
+
+@pytest.mark.parametrize("text", MASKED)
+def test_masked_values_are_no_entities(text):
+    """Nothing in them can be replaced, so a search for another value would not end."""
+    assert pii.find(text) == []
+
+
+def test_bounded_draws():
+    for kind, key in (("secret", "********"), ("secret", "sk-________________"), ("email", "____@--.com")):
+        with pytest.raises(ValueError):
+            pii.surrogate(kind, key, 0, SECRET)
+
+
+def test_masked_values_next_to_real_ones(spark):
+    text = "password: ******** then password: abcd-1234 and token: -------7, ____@--.com, jo@x.example.com"
+    row = pii.replace(docs_frame(spark, [text, *MASKED]), SECRET, "n_entities").orderBy("doc_id").collect()
+    assert [r.n_entities for r in row] == [3] + [0] * len(MASKED) and [r.text for r in row[1:]] == MASKED
+    assert row[0].text.startswith("password: ******** then password: ") and "____@--.com" in row[0].text
+    assert not any(x in row[0].text for x in ("abcd-1234", "-------7", "jo@x"))
+
+
 def test_form_is_kept():
     text = "Mrs. Ann LEE, a1.b@mail.example.com, +1 (274) 555-9629, 4111-1111-1111-1111, DE89370400440532013000, 10.20.30.40"
     made = swapped(text)

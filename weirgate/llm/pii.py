@@ -12,7 +12,8 @@ Two entities may not share a surrogate and no surrogate may be an entity of the
 collisions over all distinct entities; the losers try again until none is left. Texts with an entity that
 needed another attempt get their attempts by a join on the text's hash; all others need no join at all.
 
-Null texts stay null. Text without entities is left as it is.
+Null texts stay null. Text without entities is left as it is. A secret or an address without any letter or digit to
+replace, such as a masked one, is no entity.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from weirgate.llm.common import free_name, small, stage
 
 MOST_ATTEMPTS = 40
+#: Draws for one surrogate before it is an error; a draw is the key itself once in ten times at most.
+MOST_DRAWS = 1000
 
 # Forms of address by gender, and names to stand for names.
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Mlle", "Sra", "Srta", "Señora", "Madame", "Госпожа")
@@ -54,6 +57,7 @@ _LOCAL = re.compile(r"[\w.+%-]{1,64}$")
 _DOMAIN = re.compile(r"(?:[\w-]{1,63}\.){1,8}[^\W\d_]{2,24}")
 _SECRET = re.compile(r"(?i)(?<!\w)(?:pass(?:word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key)[ \t]*[=:][ \t]*[\"']?([^\s\"']{8,})")
 _ACCESS = re.compile(r"(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)|(?<!\w)(?:ghp|gho|sk|pk|xoxb)[_-][\w-]{16,}")
+_KEPT = re.compile(r"AKIA|ASIA|(?:ghp|gho|sk|pk|xoxb)[_-]")
 _HEX = re.compile(r"(?<!\w)(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{32,128}(?!\w)")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w)")
 _DIGITS = re.compile(r"(?<![\w.,])[+(]?\d[\d ().\-/]{5,28}\d(?![\w@])")
@@ -89,12 +93,12 @@ def find(text: str) -> list[tuple[int, int, str]]:
         at = text.find("@")
         while at >= 0:
             local, domain = _LOCAL.search(text, max(0, at - 64), at), _DOMAIN.match(text, at + 1)
-            if local and domain:
+            if local and domain and _replaceable(local.group() + domain.group().rpartition(".")[0]):
                 found.append((local.start(), domain.end(), "email"))
             at = text.find("@", at + 1)
     if "=" in text or ":" in text:
-        found += [(*m.span(1), "secret") for m in _SECRET.finditer(text)]
-    found += [(*m.span(), "secret") for m in _ACCESS.finditer(text)] if _any(text, ("AKIA", "ASIA", "gh", "sk", "pk", "xoxb")) else []
+        found += [(*m.span(1), "secret") for m in _SECRET.finditer(text) if _replaceable(m.group(1)[_kept(m.group(1)) :])]
+    found += [(*m.span(), "secret") for m in _ACCESS.finditer(text) if _replaceable(m.group()[_kept(m.group()) :])] if _any(text, ("AKIA", "ASIA", "gh", "sk", "pk", "xoxb")) else []
     if any(d in text for d in "0123456789"):
         found += [(*m.span(), "secret") for m in _HEX.finditer(text)]
         found += [(*m.span(), "iban") for m in _IBAN.finditer(text)]
@@ -127,6 +131,17 @@ def _any(text: str, parts: tuple[str, ...]) -> bool:
     return any(p in text for p in parts)
 
 
+def _kept(secret: str) -> int:
+    """The length of the prefix that names the kind of a key and stays."""
+    prefix = _KEPT.match(secret)
+    return prefix.end() if prefix else 0
+
+
+def _replaceable(text: str) -> bool:
+    """Whether ``_like`` can make another text of it."""
+    return any(c.isdigit() or c.isalpha() for c in text)
+
+
 def key_of(kind: str, mention: str) -> str:
     """What stays the same however an entity is written."""
     if kind in ("phone", "card", "ssn"):
@@ -177,10 +192,11 @@ def _script(word: str) -> str:
 def surrogate(kind: str, key: str, attempt: int, secret: bytes) -> str:
     """The key of the surrogate of an entity's key. It never is the key itself."""
     draws = Draws(secret, kind, key, str(attempt))
-    while True:
+    for _ in range(MOST_DRAWS):
         made = _surrogate(kind, key, draws, attempt)
         if made != key:
             return made
+    raise ValueError(f"a {kind} without anything to replace")
 
 
 def _surrogate(kind: str, key: str, draws: Draws, attempt: int) -> str:
@@ -204,8 +220,7 @@ def _surrogate(kind: str, key: str, draws: Draws, attempt: int) -> str:
         number = "".join(str(int(c, 36)) for c in body + key[:2]) + "00"
         return key[:2] + f"{98 - int(number) % 97:02d}" + body
     if kind == "secret":
-        prefix = re.match(r"AKIA|ASIA|(?:ghp|gho|sk|pk|xoxb)[_-]", key)
-        start = prefix.end() if prefix else 0
+        start = _kept(key)
         return key[:start] + _like(key[start:], draws)
     script = _script(key)
     names = NAMES[script, "s" if kind == "surname" else {"f": "f", "m": "m", "x": "fm"[draws.below(2)]}[kind[-1]]].split()
