@@ -43,6 +43,42 @@ def test_disguised_insults(model, form):
     assert probability(model, f"bari tolen {form} sumok") >= toxicity.THRESHOLD
 
 
+@pytest.mark.parametrize("text", ["s t p d", "а с с", "σ τ υ π", "a s s", "a s s bari", "bari a s s", "bari\ns t u p i d"])
+def test_single_letters_are_read_without_a_vowel_between_blanks(text):
+    joined = "".join(w for w in text.split() if len(w) == 1)
+    assert joined in toxicity.words_of(text)
+
+
+@pytest.mark.parametrize("mark", ["/", "_", "-", ".", "1"])
+def test_insults_within_joined_words(model, mark):
+    rng = random.Random(4)
+    for n in (1, 8, 100):
+        before, after = ([word(rng) for _ in range(n)] for _ in range(2))
+        joined = mark.join([*before, "stupid", *after])
+        assert model.word_scores([joined])[0] >= model.word_scores(["stupid"])[0]
+        assert probability(model, joined) >= toxicity.THRESHOLD
+
+
+def test_insults_do_not_fade_in_long_runs_of_letters(model):
+    rng = random.Random(4)
+
+    def typical(n):
+        runs = ["".join([*(word(rng) for _ in range(n)), "stupid", *(word(rng) for _ in range(n))]) for _ in range(40)]
+        return np.median(model.word_scores(runs))
+
+    assert typical(100) >= typical(3) - 0.1
+
+
+def test_pieces_cover_every_run_of_nine_letters():
+    for n in (1, 16, 17, 18, 19, 20, 48, 49, 200):
+        letters = "".join(chr(0x4E00 + i) for i in range(n))
+        pieces = toxicity.pieces_of(letters)
+        assert all(any(letters[i : i + 9] in p for p in pieces) for i in range(max(1, n - 8)))
+        assert max(map(len, pieces)) <= toxicity.MOST_WHOLE
+    assert toxicity.pieces_of("12") == ["12"] and toxicity.pieces_of("s.t.u-pid") == ["s.t.u-pid", "pid"]
+    assert toxicity.pieces_of("!" * 99) == [""]
+
+
 def test_inserted_letter_scores_above_clean_words(model):
     clean = model.word_scores([word(random.Random(k)) for k in range(200)])
     assert model.word_scores(["stuxpid"])[0] > np.quantile(clean, 0.99)

@@ -3,7 +3,9 @@
 The kernel of two words counts the letter triples they have in common, gaps allowed: a triple that spans ``s``
 letters weighs ``DECAY ** s``, up to a span of seven. So an insult with a letter put in, left out or attached
 still shares most of its weight. Words are lower-cased and stripped of all but letters, which undoes characters
-put between the letters; runs of single letters are read as one word.
+put between the letters; runs of single letters are read as one word. The parts of a word between other characters
+are read as well, and what has more than ``MOST_WHOLE`` letters is read in short overlapping windows: a word is as
+bad as its worst piece, so what an insult weighs does not depend on how long the text goes on without a blank.
 
 Landmarks are words picked by pivoted Cholesky; the machine is linear on the Nyström features of the landmarks.
 As the kernel is a product of triple counts, landmarks and weights fold into one table of triple weights, of
@@ -42,6 +44,11 @@ LANDMARKS = 320
 ROUNDS = 5
 THRESHOLD = 0.3
 LONGEST_WORD = 48
+#: Longer runs of letters are read in windows of so many, that far apart: any run of nine letters lies whole in one.
+MOST_WHOLE = 16
+WINDOW, STEP = 12, 4
+#: Pieces that are scored at a time.
+SCORED_PIECES = 50_000
 #: Words of each kind that one fit takes: insults, frequent (and spread-out) clean words, high-scoring clean words a round.
 MOST_BAD = 800
 STRETCHED = 150
@@ -62,11 +69,34 @@ def words_of(text: str) -> set[str]:
     """The distinct blank-separated pieces of a text, and its runs of single letters as one piece each."""
     text = text.lower()
     found = set(text.split())
-    if sum(map(text.count, (" a ", " e ", " i ", " o ", " u "))):
-        found.update(m.group().replace(" ", "") for m in _SPACED.finditer(text))
+    found.update(m.group().replace(" ", "") for m in _SPACED.finditer(text))
     return found
 
 
+def pieces_of(word: str) -> list[str]:
+    """A word and its parts between other characters, what is long in windows; never nothing."""
+    if len(word) <= MOST_WHOLE and word.isalpha():
+        return [word]
+    parts = [p for p in _NOT_LETTERS.split(word) if p]
+    letters = "".join(parts)
+    out = [word if len(word) <= LONGEST_WORD else letters] if len(letters) <= MOST_WHOLE else _windows(letters)
+    if len(parts) > 1:  # one or two letters of an alphabet tell nothing by themselves
+        for part in parts:
+            if len(part) > (2 if part.isascii() else 1):
+                out += [part] if len(part) <= MOST_WHOLE else _windows(part)
+    return list(dict.fromkeys(out))
+
+
+def _windows(letters: str) -> list[str]:
+    return [letters[i : i + WINDOW] for i in range(0, len(letters) - WINDOW + STEP, STEP)]
+
+
+def piece_scores(pieces: list[str], table: np.ndarray) -> np.ndarray:
+    """The weight of each piece in a table of triple weights, some pieces at a time."""
+    parts = [Pieces.of(pieces[i : i + SCORED_PIECES]).scores(table) for i in range(0, len(pieces), SCORED_PIECES)]
+    return np.concatenate([np.zeros(0), *parts])
+
+
 @dataclass
 class Pieces:
     """Words as one row of letter classes with a border on both sides of each."""
@@ -211,7 +241,15 @@ class ToxicityModel:
     scale: np.ndarray
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        return Pieces.of(words).scores(self.table) + self.bias if words else np.zeros(0)
+        """The score of the worst piece of each word."""
+        if not words:
+            return np.zeros(0)
+        places: dict[str, int] = {}
+        of = [[places.setdefault(p, len(places)) for p in pieces_of(w)] for w in words]
+        sizes = np.fromiter(map(len, of), np.int64, len(of))
+        scores = piece_scores(list(places), self.table) + self.bias
+        flat = np.fromiter((k for ids in of for k in ids), np.int64, sizes.sum())
+        return np.maximum.reduceat(scores[flat], np.cumsum(sizes) - sizes)
 
     def probability(self, worst: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(np.c_[np.clip(worst, NO_WORDS, -NO_WORDS), np.ones(len(worst))] @ self.scale, -30, 30)))
@@ -220,15 +258,21 @@ class ToxicityModel:
 def train(labelled: Iterable[tuple[str, int]]) -> ToxicityModel:
     """Fit to (text, 0 or 1) pairs. With only one class every text gets the share of that class."""
     known: dict[str, int] = {}
-    docs: list[np.ndarray] = []  # the words of each document, by number
+    places: dict[str, tuple[int, ...]] = {}
+    docs: list[np.ndarray] = []  # the pieces of words of each document, by number
     labels: list[int] = []
     bad_sentences: list[np.ndarray] = []
-    # In how many different sentences of either class a word stands; copies of a sentence count once.
+    # In how many different sentences of either class a piece stands; copies of a sentence count once.
     uses: list[Counter] = [Counter(), Counter()]
     met: list[set[int]] = [set(), set()]
 
     def numbered(words: set[str]) -> np.ndarray:
-        return np.fromiter((known.setdefault(w, len(known)) for w in sorted(words)), np.int32, len(words))
+        ids: set[int] = set()
+        for w in sorted(words):
+            if w not in places:
+                places[w] = tuple(known.setdefault(p, len(known)) for p in pieces_of(w))
+            ids.update(places[w])
+        return np.fromiter(sorted(ids), np.int32, len(ids))
 
     for text, y in labelled:
         docs.append(numbered(words_of(text)))
@@ -251,7 +295,7 @@ def train(labelled: Iterable[tuple[str, int]]) -> ToxicityModel:
     clean = np.flatnonzero(in_good)
     by_name = clean[np.argsort(np.array(names, object)[clean], kind="stable")]
     fixed = {*clean[np.argsort(-in_good[clean], kind="stable")][:COMMON].tolist(), *by_name[:: max(1, len(clean) // COMMON)].tolist()}
-    every = Pieces.of(names)
+    del places
     has_letters = np.array([bool(_NOT_LETTERS.sub("", w)) for w in names], bool)
     hard: set[int] = set()
     model = None
@@ -266,7 +310,7 @@ def train(labelled: Iterable[tuple[str, int]]) -> ToxicityModel:
         good = sorted({names[k] for k in fixed | hard} - set(bad))
         weight = np.r_[np.full(len(bad), max(1.0, len(good) / len(bad) / 3)), np.ones(len(good))]
         model = ToxicityModel(*train_words(bad, good, weight), np.zeros(2))
-        scores = every.scores(model.table) + model.bias
+        scores = piece_scores(names, model.table) + model.bias
         hard.update(clean[np.argsort(-scores[clean], kind="stable")[:HARD]].tolist())
         # The worst word of each toxic sentence joins, where the machine holds it for one.
         for ids in bad_sentences:
