@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from corpora import docs_frame, no_docs, odd_docs, prose
 
 from weirgate.llm import decontaminate as dc
+from weirgate.llm.common import windows
 from weirgate.llm.queries import op8_template_decontamination
 
 ITEMS = "item_id bigint, text string"
@@ -35,6 +37,38 @@ def test_exact_and_asked_again(spark, benchmark):
     assert verdicts(spark, texts, benchmark) == {0: (1, "exact"), 1: (1, "reparameterised"), 2: (2, "exact"), 4: (3, "exact")}
 
 
+VERBATIM = [
+    "Calculate 15 + 27 - 3 * 4 / 2",
+    "1 2 3 5 8 13 21 34 55 89 144",
+    "Anna Berta Clara Dora Elsa Flora Greta Hilda Irma Julia",
+    "The Name Of The Rose And Other Stories Of Old Italy",
+    "What is the capital of France",
+]
+
+
+def test_verbatim_items_of_slots_or_on_lines_of_their_own(spark):
+    rng = random.Random(5)
+    benchmark = spark.createDataFrame(list(enumerate(VERBATIM)), ITEMS)
+    texts = [f"{prose(rng, 30)}\n{t}\n{prose(rng, 30)}" for t in VERBATIM] + ["4 6 9 11 17 23 37 59 91 147 238. " + prose(rng, 30)]
+    found = verdicts(spark, texts, benchmark)
+    assert found == {k: (k, "exact") for k in range(len(VERBATIM))}
+
+
+@pytest.mark.parametrize(
+    "item, other",
+    [
+        ("Tom has 5 apples. Tom buys 3 more pears at the shop. Tom eats 2 of them.", "Mary has 7 apples. Mary buys 4 more pears at the shop. Mary eats 6 of them."),
+        ("a baker sells three loaves and twenty-two rolls before noon each day", "a baker sells five loaves and forty rolls before noon each day"),
+        ("the train from New York to Boston leaves with 40 people on board", "the train from Paris to San Antonio leaves with 60 people on board"),
+    ],
+)
+def test_renamed_subjects_spelt_numbers_and_longer_names(spark, item, other):
+    rng = random.Random(6)
+    texts = [f"{prose(rng, 30)}. {other} {prose(rng, 20)}", f"{prose(rng, 30)}. {item}", prose(rng, 50)]
+    benchmark = spark.createDataFrame([(1, item)], ITEMS)
+    assert verdicts(spark, texts, benchmark) == {0: (1, "reparameterised"), 1: (1, "exact")}
+
+
 def test_slots_must_agree(spark):
     text = "Then Anna meets Berta near the old mill and Anna walks with Berta along 3 fields until Anna waves and Berta sings of 3 birds."
     benchmark = spark.createDataFrame([(1, text)], ITEMS)
@@ -72,6 +106,12 @@ def test_repeats_and_split_occurrences(spark, benchmark):
     assert set(verdicts(spark, texts, benchmark)) == {0, 1}
 
 
+def test_windows_by_doubling():
+    hashes = np.random.default_rng(1).integers(0, 1 << 63, 40).astype(np.uint64)
+    for width in range(3, 9):
+        assert (dc._windows(hashes, width) == windows(hashes, width)).all()
+
+
 def test_bit_table_knows_every_window(spark, benchmark):
     windows = dc.benchmark_windows(benchmark)
     table = dc.bit_table(windows)

@@ -1,15 +1,19 @@
 """Benchmark decontamination over templates.
 
-A text becomes a template: numbers, units after numbers, and names (capitalised words that begin no sentence)
-turn into typed placeholders, other words into their bare lower-case form. Windows of eight template words of
-the documents are joined by hash with those of the benchmark. A question asked again with other numbers or
-names has the same windows; that it is the same question shows in its slots: within one occurrence, a value of
-the benchmark must always stand for the same value of the document and the other way round.
-
-A document is contaminated by an item when consistent occurrences cover at least half of the item's windows.
+A text is read as bare lower-case words, and as a template: numbers (in digits or spelt out), units after numbers,
+and names turn into typed placeholders. A run of capitalised words is one name. Whether one that begins a sentence
+or a line is a name cannot be seen, so a text that has such words, other than common ones, gives two templates: in
+one they are words, in the other names. Windows of eight words of the documents are joined by hash with those of
+the benchmark. A question asked again with other numbers or names has the same template windows; that it is the
+same question shows in its slots: within one occurrence, a value of the benchmark must always stand for the same
+value of the document and the other way round. Windows of slots alone say nothing and are not joined, but count.
+
+A document is contaminated by an item when equal bare windows, or consistent occurrences of a template, cover at
+least half of the item's windows; it is exact when the bare windows cover as much as any template does.
 Documents are read whole in one pass; a bit table of the benchmark's hashes, of bounded size, keeps windows
 that cannot join from being shuffled. Items with fewer than eight words are one window of their own length
-(three words at least); items with less, and null or blank texts on either side, match nothing.
+(three words at least; a run of names counts as one in a template); items with less, and null or blank texts on
+either side, match nothing.
 """
 
 from __future__ import annotations
@@ -27,8 +31,8 @@ from weirgate.llm.common import mixed, small, stage, texts, windows
 WIDTH = 8
 LEAST_WIDTH = 3
 COVERAGE = 0.5
-#: Words of a window that must be no placeholders.
-LEAST_PLAIN = 0.5
+#: Readings of a text: bare words, and templates whose sentence openers are words or names.
+BARE, WORDS, NAMES = 0, 1, 2
 LEAST_BITS, MOST_BITS = 20, 24
 NUMBER, UNIT, NAME = (np.uint64(k) for k in (11, 12, 13))
 SEPARATOR = "\x1f"
@@ -40,6 +44,17 @@ UNITS = frozenset(
     " dollar euros euro cents cent usd eur meters meter metres metre kilometers kilometres grams gram kilograms"
     " liters litres degrees".split()
 )
+NUMBER_WORDS = frozenset(
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    " eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
+)
+# Words that begin sentences and are no names.
+OPENERS = frozenset(
+    "a an the this that these those there here it its he she they we you i his her their our your my what which who"
+    " whom whose when where why how if then is are was were do does did has have had can could will would shall should"
+    " may might must in on at by for from to of with without after before during while since until as and or but so"
+    " not no all each every some any many most both one two let given suppose find calculate compute solve write".split()
+)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?$")
 
@@ -58,7 +73,7 @@ class Templates:
         if k == len(self.hash):
             self.hash, self.flags = np.resize(self.hash, 2 * k), np.resize(self.flags, 2 * k)
         core = _EDGE.sub("", word)
-        number = bool(_NUMBER.match(core) or _NUMBER.match(word))
+        number = bool(_NUMBER.match(core) or _NUMBER.match(word)) or bool(core) and all(p in NUMBER_WORDS for p in core.lower().split("-"))
         capital = core[:1].isupper() and core[1:2].islower()
         self.hash[k] = xxhash.xxh64_intdigest(core.lower()) if core else 0
         self.flags[k] = (
@@ -67,44 +82,89 @@ class Templates:
             | capital << 2
             | word.endswith((".", "!", "?", ":", ".)", '."')) << 3
             | (not core) << 4
+            | (core.lower() in OPENERS) << 5
         )
         return k
 
-    def of(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The words that have a letter or digit, their template hashes, and which of them are slots."""
-        words = text.split()
+    def of(self, text: str) -> tuple[list[str], list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+        """The words of a text and its readings: of each word with a letter or digit (a run of names is one) its hash,
+        whether it is a slot, and the numbers of its first word and of the word after it in turn. Without openers that
+        may be names, there is one template."""
+        words: list[str] = []
+        lines = []
+        for line in text.split("\n"):
+            lines.append(len(words))
+            words += line.split()
+        if not words:
+            return words, []
         if len(self.known) > 300_000:
             self.known.clear()
         known = self.known
         ids = np.fromiter((known[w] if w in known else self._learn(w) for w in words), np.int64, len(words))
-        flags, hashes = self.flags[ids], self.hash[ids].copy()
-        begins = np.r_[True, (flags[:-1] & 8) > 0] if len(words) else np.zeros(0, bool)
+        flags, hashes = self.flags[ids], self.hash[ids]
+        begins = np.r_[True, (flags[:-1] & 8) > 0, False]
+        begins[lines] = True
+        begins = begins[:-1]
         number = (flags & 1) > 0
-        unit = ((flags & 2) > 0) & np.r_[False, number[:-1]] if len(words) else number
-        name = ((flags & 4) > 0) & ~begins & ~number
-        hashes[number], hashes[unit], hashes[name] = NUMBER, UNIT, NAME
+        unit = ((flags & 2) > 0) & np.r_[False, number[:-1]]
+        capital = ((flags & 4) > 0) & ~number
+        opens = begins & capital & ((flags & 32) == 0)
+        place = np.arange(len(words) + 1)
         keep = (flags & 16) == 0
-        slot = (number | unit | name)[keep]
         if not keep.all():
-            words = [w for w, k in zip(words, keep.tolist()) if k]
-        return words, hashes[keep], slot
+            place = np.r_[np.flatnonzero(keep), len(words)]
+            hashes, number, unit, capital, begins, opens = (x[keep] for x in (hashes, number, unit, capital, begins, opens))
+        out = [(BARE, hashes, np.zeros(len(hashes), bool), place)]
+        for reading, name in ((WORDS, capital & ~begins), (NAMES, capital & (~begins | opens))):
+            if reading == WORDS or opens.any():
+                out.append((reading, *_template(hashes, number, unit & ~name, name, begins, place)))
+        return words, out
+
+
+def _template(hashes, number, unit, name, begins, place) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    slot = number | unit | name
+    if not slot.any():
+        return hashes, slot, place
+    made = hashes.copy()
+    made[number], made[unit], made[name] = NUMBER, UNIT, NAME
+    more = name[1:] & name[:-1] & ~begins[1:]
+    if more.any():
+        first = np.r_[True, ~more]
+        return made[first], slot[first], place[np.r_[first, True]]
+    return made, slot, place
 
 
 def _value(word: str) -> str:
     return _EDGE.sub("", word).lower()
 
 
-def template_windows(words: list[str], hashes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the windows with enough plain words."""
-    if len(words) < width:
+def reading_windows(reading: int, hashes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the windows that have a word which is no slot."""
+    if len(hashes) < width:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    found = mixed(_windows(hashes, width) + np.uint64(width if reading else width << 32))
+    if not slot.any():
+        return np.arange(len(found)), found
     plain = np.cumsum(np.r_[0, ~slot])
-    at = np.flatnonzero(plain[width:] - plain[:-width] >= LEAST_PLAIN * width)
-    return at, mixed(windows(hashes, width)[at] + np.uint64(width))
+    at = np.flatnonzero(plain[width:] > plain[:-width])
+    return at, found[at]
 
 
-def slot_values(words: list[str], slot: np.ndarray, at: int, width: int) -> str:
-    return SEPARATOR.join(_value(words[i]) for i in range(at, at + width) if slot[i])
+def _windows(hashes: np.ndarray, width: int) -> np.ndarray:
+    """``windows``; a power of two is doubled up to."""
+    if width & (width - 1):
+        return windows(hashes, width)
+    factor, span = 0x9E3779B97F4A7C15, 1
+    while span < width:
+        hashes = hashes[:-span] * np.uint64(factor) + hashes[span:]
+        factor, span = factor * factor % (1 << 64), 2 * span
+    return mixed(hashes)
+
+
+def slot_values(words: list[str], place: np.ndarray, slot: np.ndarray, at: int, width: int) -> str:
+    """The values of a window's slots; words without letter or digit count for nothing."""
+    runs = [words[place[i] : place[i + 1]] for i in range(at, at + width) if slot[i]]
+    return SEPARATOR.join(" ".join(v for v in map(_value, run) if v) for run in runs)
 
 
 def _window_rows(id_name: str, widths, bits: np.ndarray | None, whole_item: bool):
@@ -116,29 +176,30 @@ def _window_rows(id_name: str, widths, bits: np.ndarray | None, whole_item: bool
         for batch in small(batches):
             out: list[tuple] = []
             for key, text in zip(batch.column(0).to_pylist(), texts(batch, "text")):
-                words, hashes, slot = templates.of(text)
-                for width in [min(WIDTH, len(words))] if whole_item else widths:
-                    if width < LEAST_WIDTH:
-                        continue
-                    at, found = template_windows(words, hashes, slot, width)
-                    if table is not None and len(found):
-                        cell = found & np.uint64(len(table) * 8 - 1)
-                        hit = (table[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                        at, found = at[hit], found[hit]
-                    out.extend(
-                        (key, width, i, h, slot_values(words, slot, i, width), len(at))
-                        for i, h in zip(at.tolist(), found.view(np.int64).tolist())
-                    )
-            columns = list(zip(*out)) or [[]] * 6
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64())
-            names = (id_name, "width", "at", "window", "slots", "total")
+                words, readings = templates.of(text)
+                for reading, hashes, slot, place in readings:
+                    for width in [min(WIDTH, len(hashes))] if whole_item else widths:
+                        if width < LEAST_WIDTH:
+                            continue
+                        at, found = reading_windows(reading, hashes, slot, width)
+                        if table is not None and len(found):
+                            cell = found & np.uint64(len(table) * 8 - 1)
+                            hit = (table[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                            at, found = at[hit], found[hit]
+                        out.extend(
+                            (key, reading, width, i, h, slot_values(words, place, slot, i, width), len(hashes) - width + 1)
+                            for i, h in zip(at.tolist(), found.view(np.int64).tolist())
+                        )
+            columns = list(zip(*out)) or [[]] * 7
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+            names = (id_name, "reading", "width", "at", "window", "slots", "total")
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    return rows, f"{id_name} bigint, width int, at bigint, window bigint, slots string, total bigint"
+    return rows, f"{id_name} bigint, reading int, width int, at bigint, window bigint, slots string, total bigint"
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, width, at, window, slots, total (windows of the item)."""
+    """item_id, reading, width, at, window, slots, total (windows of the item)."""
     rows, schema = _window_rows("item_id", None, None, True)
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
     return items.distinct().mapInArrow(rows, schema)
@@ -166,13 +227,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     bits = docs.sparkSession.sparkContext.broadcast(bit_table(items))
     rows, schema = _window_rows("doc_id", widths, bits, False)
     named = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    hits = named.mapInArrow(rows, schema).select("doc_id", "at", "window", F.col("slots").alias("values"))
+    hits = named.mapInArrow(rows, schema).select(
+        "doc_id", F.col("reading").alias("doc_reading"), "at", "window", F.col("slots").alias("values")
+    )
 
     joined = hits.join(
-        items.select("window", "item_id", F.col("at").alias("item_at"), "slots", "total"), "window"
-    ).select("doc_id", "item_id", "item_at", "total", (F.col("at") - F.col("item_at")).alias("shift"), "slots", "values")
+        items.select("window", "item_id", "reading", F.col("at").alias("item_at"), "slots", "total"), "window"
+    ).select("doc_id", "item_id", "reading", "doc_reading", "item_at", "total", (F.col("at") - F.col("item_at")).alias("shift"), "slots", "values")
     # An occurrence is a run at one shift; an item bounds its windows, so these groups are small.
-    occurrence = joined.groupBy("doc_id", "item_id", "shift").agg(
+    occurrence = joined.groupBy("doc_id", "item_id", "reading", "doc_reading", "shift").agg(
         F.collect_set("item_at").alias("places"),
         F.first("total").alias("total"),
         F.array_distinct(
@@ -181,16 +244,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     )
     theirs, ours = (F.size(F.array_distinct(F.col(f"pairs.{c}"))) for c in ("theirs", "ours"))
     consistent = (theirs == F.size("pairs")) & (ours == F.size("pairs"))
-    same = F.forall("pairs", lambda p: p["theirs"] == p["ours"])
-    covered = occurrence.where(consistent).select("doc_id", "item_id", "total", "places", same.alias("same"))
-    per_item = covered.groupBy("doc_id", "item_id").agg(
+    covered = occurrence.where(consistent)
+    per_reading = covered.groupBy("doc_id", "item_id", "reading", "doc_reading").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"),
         F.max("total").alias("total"),
-        F.min("same").alias("same"),
     )
     share = F.least(F.col("n") / F.col("total"), F.lit(1.0))
-    kind = F.when(F.col("same"), "exact").otherwise("reparameterised")
-    return per_item.where(share >= coverage).select("doc_id", "item_id", share.alias("coverage"), kind.alias("kind"))
+    bare = F.max(F.when(F.col("reading") == BARE, share).otherwise(0.0))
+    per_item = per_reading.groupBy("doc_id", "item_id").agg(F.max(share).alias("coverage"), bare.alias("bare"))
+    kind = F.when(F.col("bare") >= F.col("coverage"), "exact").otherwise("reparameterised")
+    return per_item.where(F.col("coverage") >= coverage).select("doc_id", "item_id", "coverage", kind.alias("kind"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
