@@ -97,9 +97,106 @@ SELECT page_id, url, host, time, CASE WHEN allowed THEN 'allowed' WHEN lists IS
 FROM p LEFT JOIN met USING (page_id)
 """
 
+# The largest id of equal scores comes last; vectors with a null or non-finite component are left out.
+OP11 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    coalesce(list_sum(list_transform(range(1, least(len(q.w), len(c.w)) + 1), lambda i: q.w[i] * c.w[i])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id IS DISTINCT FROM q.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+# The checksum's table follows from its polynomial: eight steps for each byte.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) AS t"
+
+
+def _crc32(text: str) -> str:
+    """Of a text without code points beyond U+00FF, with the table in scope as ``t``."""
+    letters = f"list_transform(string_split({text}, ''), lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)] ELSE [192 + (ord(x) >> 6), 128 + (ord(x) & 63)] END)"
+    steps = f"list_reduce([4294967295] || flatten({letters})::BIGINT[], lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))"
+    return f"xor({steps}, 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+OP12 = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), leaves AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf, CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN {_leaf(_LOWER)} END AS tampered
+  FROM documents, crc
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM leaves
+), low AS (
+  SELECT 0 AS level, source, n, i, leaf AS node FROM placed
+  UNION ALL
+  SELECT level + 1, source, (n + 15) // 16, i // 16, sha256(string_agg(node, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY level, source, n, i // 16
+), subroots AS (SELECT source, level AS depth, node AS subroot FROM low WHERE n = 1),
+tops AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS trees FROM subroots),
+high AS (
+  SELECT 0 AS level, trees AS n, place AS i, subroot AS node FROM tops
+  UNION ALL
+  SELECT level + 1, (n + 15) // 16, i // 16, sha256(string_agg(node, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY level, n, i // 16
+), root AS (SELECT node AS root, level AS height FROM high WHERE n = 1),
+beside AS (
+  SELECT p.doc_id, p.leaf, p.source, p.i, l.level, string_agg(l.node, '' ORDER BY l.i) FILTER (l.i < p.i // (16 ** l.level)::BIGINT) AS before,
+    string_agg(l.node, '' ORDER BY l.i) FILTER (l.i > p.i // (16 ** l.level)::BIGINT) AS after
+  FROM placed p JOIN low l ON l.source IS NOT DISTINCT FROM p.source AND l.n > 1 AND l.i // 16 = p.i // (16 ** (l.level + 1))::BIGINT GROUP BY ALL
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.source, p.i, t.depth + h.level, string_agg(h.node, '' ORDER BY h.i) FILTER (h.i < t.place // (16 ** h.level)::BIGINT),
+    string_agg(h.node, '' ORDER BY h.i) FILTER (h.i > t.place // (16 ** h.level)::BIGINT)
+  FROM placed p JOIN tops t ON t.source IS NOT DISTINCT FROM p.source JOIN high h ON h.n > 1 AND h.i // 16 = t.place // (16 ** (h.level + 1))::BIGINT GROUP BY ALL
+), paths AS (
+  SELECT source, i, string_agg(coalesce(before, '') || coalesce(after, ''), '' ORDER BY level) AS proof FROM beside GROUP BY source, i
+), folded AS (
+  SELECT source, i, 0 AS level, coalesce(tampered, leaf) AS node FROM placed
+  UNION ALL
+  SELECT f.source, f.i, f.level + 1, sha256(coalesce(b.before, '') || f.node || coalesce(b.after, ''))
+  FROM folded f JOIN beside b ON b.source IS NOT DISTINCT FROM f.source AND b.i = f.i AND b.level = f.level
+), ends AS (SELECT source, i, arg_max(node, level) AS folded_root FROM folded GROUP BY source, i)
+SELECT p.doc_id, p.leaf, t.subroot, root.root, sha256(coalesce(q.proof, '')) AS proof_sha256, e.folded_root, e.folded_root = root.root AS verified
+FROM root, placed p JOIN tops t ON t.source IS NOT DISTINCT FROM p.source JOIN ends e ON e.source IS NOT DISTINCT FROM p.source AND e.i = p.i
+LEFT JOIN paths q ON q.source IS NOT DISTINCT FROM p.source AND q.i = p.i
+"""
+
+OP13 = rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents
+), counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {_crc32("(doc_id || ':' || run)")} AS h FROM counted, crc),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), v AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+cut AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM places),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, v.word, v.n FROM cut a JOIN v ON v.word = a.rest
+  UNION SELECT v.word, a.word, a.n FROM cut a JOIN v ON v.word = a.rest
+), best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form, CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+), ends AS (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
 ORACLES = {
     "op4_hyperminhash_dedup": OP4,
     "op6_warc_chunks": OP6,
     "op9_quotation_linking": OP9,
     "op10_temporal_url_lists": OP10,
+    "op11_term_at_a_time_top_k": OP11,
+    "op12_merkle_manifest": OP12,
+    "op13_spelling_variants": OP13,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.llm import decontaminate as leaks
-from weirgate.llm import langid, neardup, packing, pii, quality, quotes, toxicity, urlfilter, warc
+from weirgate.llm import langid, merkle, neardup, packing, pii, quality, quotes, spelling, termscore, toxicity, urlfilter, warc
 from weirgate.llm.common import HELD_OUT, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,33 @@ def op10_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumnRenamed("id", "page_id").withColumn("lists", F.array_join("lists", ","))
 
 
+def op11_term_at_a_time_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every vector whose id 50 divides, by the inner product of whole numbers."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = termscore.top_k(vectors, vectors.where(F.col("id") % 50 == 0), 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's digests and proof; where 5 divides the id's checksum, a text in lower case is audited instead."""
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate(F.col("text"), UPPER, UPPER.lower())
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf([*fields, lowered]))
+    own = merkle.leaf([*fields, F.col("text")])
+    rows = docs.select(F.col("source").alias("group"), F.col("doc_id").alias("id"), own.alias("digest"), tampered.alias("other"))
+    made = merkle.manifest(rows)
+    return merkle.audit(made.proofs, made.root).withColumnRenamed("id", "doc_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of all documents, where one in 97 runs loses a letter, with their more frequent near forms."""
+    return spelling.group_variants(spelling.vocabulary(table(spark, sf_dir, "documents"), slip_every=97))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -120,5 +147,8 @@ QUERIES: dict[str, Query] = {
         op8_template_decontamination,
         op9_quotation_linking,
         op10_temporal_url_lists,
+        op11_term_at_a_time_top_k,
+        op12_merkle_manifest,
+        op13_spelling_variants,
     )
 }
