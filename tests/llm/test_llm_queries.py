@@ -25,7 +25,7 @@ def test_query(spark, name):
 
 
 def test_one_query_each():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages_against_plain_python(spark):

@@ -67,13 +67,13 @@ def postings(rows: Sparse) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def _largest(weights: np.ndarray) -> int:
-    return int(np.abs(weights).max()) if len(weights) else 0
+    return max(int(np.abs(weights).max()), 1) if len(weights) else 1
 
 
 def _fitting(queries: Sparse, rows: Sparse) -> type:
     """The narrowest kind of number that holds every score of these rows."""
-    longest = max([0, *np.diff(queries[0])])
-    bound = _largest(queries[2]) * _largest(rows[2]) * int(longest)
+    longest = max([1, *np.diff(queries[0]).tolist()])
+    bound = _largest(queries[2]) * _largest(rows[2]) * longest
     return np.int32 if bound < 2**31 else np.int64 if bound < 2**63 else object
 
 
