@@ -63,14 +63,22 @@ def siblings(path: Column) -> Column:
     return F.array_join(F.transform(path, lambda level: F.concat(level["before"], level["after"])), "")
 
 
-def _joined(slots: Sequence[str]) -> Column:
-    return F.concat_ws("", *[F.col(f"{s}.digest") for s in slots])
+def _joined(slots: Sequence[str]) -> str:
+    return f"concat_ws({', '.join(["''", *[f'{s}.digest' for s in slots]])})"
+
+
+#: What a run says of each of its children: position, node, and the siblings before and after it.
+_CHILDREN = "array({})".format(
+    ", ".join(
+        f"struct(run * {FANOUT} + {j} AS i, {s} AS node, struct({_joined(_SLOTS[:j])} AS before, {_joined(_SLOTS[j + 1:])} AS after) AS level)"
+        for j, s in enumerate(_SLOTS)
+    )
+)
 
 
 def _runs(nodes: DataFrame) -> DataFrame:
     """(tree, n, i, node) become (tree, n, run, a column for each slot)."""
-    slot = F.col("i") % FANOUT
-    spread = [F.max(F.when(slot == j, F.col("node"))).alias(s) for j, s in enumerate(_SLOTS)]
+    spread = [F.expr(f"max(CASE WHEN i % {FANOUT} = {j} THEN node END) AS {s}") for j, s in enumerate(_SLOTS)]
     return nodes.groupBy("tree", "n", F.expr(f"i div {FANOUT}").alias("run")).agg(*spread)
 
 
@@ -80,7 +88,7 @@ def _climb(leaves: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
     tops = leaves.where("n = 1").select("tree", F.col("node.digest").alias("digest"))
     while most > 1:
         levels.append(stage(_runs(nodes.where("n > 1")), "runs"))
-        parent = F.struct(digest(_joined(_SLOTS)).alias("digest"))
+        parent = F.struct(digest(F.expr(_joined(_SLOTS))).alias("digest"))
         nodes = levels[-1].select("tree", F.expr(f"(n + {FANOUT - 1}) div {FANOUT}").alias("n"), F.col("run").alias("i"), parent.alias("node"))
         tops = tops.union(nodes.where("n = 1").select("tree", F.col("node.digest")))
         most = -(-most // FANOUT)
@@ -97,17 +105,7 @@ def _descend(levels: Sequence[DataFrame], leaves: DataFrame, above: DataFrame) -
         if paths is not None:
             higher = paths.select("tree", F.col("i").alias("run"), "top", "path")
             placed = placed.unionByName(runs.where(f"n > {FANOUT}").join(higher, ["tree", "run"]))
-        children = F.array(
-            *[
-                F.struct(
-                    (F.col("run") * FANOUT + j).alias("i"),
-                    F.col(s).alias("node"),
-                    F.struct(_joined(_SLOTS[:j]).alias("before"), _joined(_SLOTS[j + 1 :]).alias("after")).alias("level"),
-                )
-                for j, s in enumerate(_SLOTS)
-            ]
-        )
-        held = F.filter(children, lambda c: c["node"].isNotNull())
+        held = F.expr(f"filter({_CHILDREN}, c -> c.node IS NOT NULL)")
         each = placed.select("tree", "top", "path", F.explode(held).alias("c"))
         paths = each.select("tree", "c.i", "c.node", "top", F.concat(F.array("c.level"), "path").alias("path"))
     return lone if paths is None else lone.unionByName(paths.drop("i"))
