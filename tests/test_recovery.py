@@ -1,0 +1,104 @@
+"""Batches that are cut off: nothing is lost for the warehouse, nothing comes twice, under whatever id one goes on."""
+
+import pytest
+from test_feed import FEB, JAN, MAR, months, places, quarantined, source, stations, stored  # noqa: F401
+
+from weirgate.plans.bronze import land_missing_months
+from weirgate.plans.queries import Cut, cut_at
+from weirgate.plans.recovery import batch_schema, read_silver, settle_batches
+from weirgate.plans.ridership import RIDERSHIP
+from weirgate.plans.silver import load_batch, load_worklist
+from weirgate.plans.status import read_status
+from weirgate.plans.warehouse import merge_warehouse
+from weirgate.streaming.landed import load_landed_files
+
+BAD = ("2024-02-02T00:00:00.000", "99", "1.0")
+
+
+def cut(spark, stations, places, step, batch_id, *rows, **options):  # noqa: F811
+    with pytest.raises(Cut):
+        load_batch(spark, source(spark, *rows), stations, RIDERSHIP, places, batch_id, progress=cut_at(step), **options)
+
+
+def states(spark, places):  # noqa: F811
+    return {r["batch_id"]: r["state"] for r in read_status(spark, places.status).where("stage = 'silver'").collect()}
+
+
+@pytest.mark.parametrize("step", ["begun", "staged", "appended"])
+@pytest.mark.parametrize("again", ["first", "second"])
+def test_cut_batch(spark, stations, places, step, again):  # noqa: F811
+    land_missing_months(spark, source(spark, JAN, FEB), RIDERSHIP, places)
+    with pytest.raises(Cut):
+        load_worklist(spark, stations, RIDERSHIP, places, "first", progress=cut_at(step))
+    outcome = load_worklist(spark, stations, RIDERSHIP, places, again)
+    assert outcome.n_new == (0 if again == "second" and step != "begun" else 2)
+    assert merge_warehouse(spark, RIDERSHIP, places) == 2 and len(stored(spark, places)) == 2
+    assert read_silver(spark, RIDERSHIP, places).count() == 2
+    expected = {"first": "loaded"} if again == "first" else {"first": "abandoned" if step == "begun" else "loaded", "second": "loaded"}
+    assert states(spark, places) == expected
+    assert months(land_missing_months(spark, source(spark, JAN, FEB), RIDERSHIP, places)) == []
+
+
+def test_rows_of_a_cut_batch_are_not_seen(spark, stations, places):  # noqa: F811
+    load_batch(spark, source(spark, JAN), stations, RIDERSHIP, places, "first")
+    cut(spark, stations, places, "appended", "second", FEB, MAR)
+    assert read_silver(spark, RIDERSHIP, places).count() == 1
+    assert settle_batches(spark, RIDERSHIP, places) == ["second"] and settle_batches(spark, RIDERSHIP, places) == []
+    assert read_silver(spark, RIDERSHIP, places).count() == 3
+
+
+def test_every_later_step_settles(spark, stations, places):  # noqa: F811
+    """A merge, a landing or an empty work list finishes a cut batch as well."""
+    land_missing_months(spark, source(spark, JAN), RIDERSHIP, places)
+    with pytest.raises(Cut):
+        load_worklist(spark, stations, RIDERSHIP, places, "b1", progress=cut_at("appended"))
+    assert months(land_missing_months(spark, source(spark, JAN), RIDERSHIP, places)) == []
+    cut(spark, stations, places, "staged", "b2", FEB)
+    assert load_worklist(spark, stations, RIDERSHIP, places, "b3").state == "empty"
+    cut(spark, stations, places, "staged", "b4", MAR)
+    assert merge_warehouse(spark, RIDERSHIP, places) == 3
+    assert states(spark, places) == {"b1": "loaded", "b2": "loaded", "b4": "loaded"}
+
+
+def test_cut_in_quarantine(spark, stations, places):  # noqa: F811
+    """What a cut batch left in quarantine goes; the batch that takes its rows on leaves them once."""
+    cut(spark, stations, places, "quarantined", "first", JAN, BAD)
+    outcome = load_batch(spark, source(spark, JAN, BAD), stations, RIDERSHIP, places, "second", on_reject="record")
+    assert outcome.state == "rejected" and quarantined(spark, places, outcome) == [("bad", 1), ("good", 1)]
+    assert states(spark, places) == {"first": "abandoned", "second": "rejected"}
+
+
+def test_rejected_batch_that_is_cut_when_it_runs_again(spark, stations, places):  # noqa: F811
+    first = load_batch(spark, source(spark, JAN, BAD), stations, RIDERSHIP, places, "b1", on_reject="record")
+    cut(spark, stations, places, "staged", "b1", JAN)
+    load_batch(spark, source(spark, FEB), stations, RIDERSHIP, places, "b2")
+    assert quarantined(spark, places, first) == [] and merge_warehouse(spark, RIDERSHIP, places) == 2
+
+
+def test_cut_while_settling(spark, stations, places, monkeypatch):  # noqa: F811
+    cut(spark, stations, places, "staged", "b1", JAN, FEB)
+    import weirgate.plans.recovery as recovery
+
+    def killed(*args):
+        raise Cut("status")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(recovery, "record", killed)
+        with pytest.raises(Cut):
+            load_batch(spark, source(spark, JAN, MAR), stations, RIDERSHIP, places, "b2")
+    assert load_batch(spark, source(spark, JAN, MAR), stations, RIDERSHIP, places, "b3").n_new == 1
+    assert merge_warehouse(spark, RIDERSHIP, places) == 3
+
+
+def test_a_stream_that_was_cut(spark, stations, places, tmp_path):  # noqa: F811
+    checkpoint = str(tmp_path / "checkpoint")
+    land_missing_months(spark, source(spark, JAN, FEB), RIDERSHIP, places)
+    with pytest.raises(Exception, match="appended"):
+        load_landed_files(spark, stations, RIDERSHIP, places, checkpoint, progress=cut_at("appended")).awaitTermination()
+    load_landed_files(spark, stations, RIDERSHIP, places, checkpoint).awaitTermination()
+    assert merge_warehouse(spark, RIDERSHIP, places) == 2 and len(states(spark, places)) == 1
+
+
+def test_batch_schema(spark, stations, places):  # noqa: F811
+    outcome = load_batch(spark, source(spark, JAN), stations, RIDERSHIP, places, "b1")
+    assert batch_schema(spark, RIDERSHIP) == outcome.new_rows.schema

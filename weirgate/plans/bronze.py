@@ -11,7 +11,8 @@ from pyspark.sql.types import StructField, StructType, TimestampNTZType
 from weirgate.functions import month_start
 from weirgate.operators.months import collect_listed, in_months
 from weirgate.plans.feed import Feed, Places
-from weirgate.plans.status import create_status, now, read_status, record
+from weirgate.plans.recovery import settle_batches
+from weirgate.plans.status import LOADED, REJECTED, create_status, now, read_status, record
 from weirgate.sources import (
     create_landing,
     land_by_month,
@@ -52,6 +53,7 @@ def land_missing_months(
         record(spark, places.status, "landing", f"landing-{at}", "landed", done.n_rows, months, at)
         if done.n_undated:
             record(spark, places.status, "undated", f"landing-{at}", "landed", done.n_undated, at=at)
+    settle_batches(spark, feed, places)
     publish_worklist(spark, places, landed.union(months), reopen_rejected)
     return read_worklist(spark, places.worklist)
 
@@ -63,16 +65,17 @@ def publish_worklist(
 
     The list is made from what really is there, so months of a run that was cut off before silver stay on it.
     """
-    silver, landing, at = F.col("stage") == "silver", F.col("stage") == "landing", F.coalesce("at", F.lit(0))
+    settles = (F.col("stage") == "silver") & F.col("state").isin(LOADED, REJECTED)
+    landing, at = F.col("stage") == "landing", F.coalesce("at", F.lit(0))
     noted = read_status(spark, places.status).groupBy("month").agg(
         F.max(F.when(landing, at)).alias("landed_at"),
-        F.max(F.when(silver, at)).alias("settled_at"),
-        F.max_by(F.when(silver, F.col("state")), F.when(silver, at)).alias("state"),
+        F.max(F.when(settles, at)).alias("settled_at"),
+        F.max_by(F.when(settles, F.col("state")), F.when(settles, at)).alias("state"),
     )
     settled = {
         row["month"]
         for row in noted.where("settled_at IS NOT NULL").collect()
-        if (row["landed_at"] or 0) <= row["settled_at"] and not (reopen_rejected and row["state"] == "rejected")
+        if (row["landed_at"] or 0) <= row["settled_at"] and not (reopen_rejected and row["state"] == REJECTED)
     }
     rows = [{"month": m} for m in landed - settled]
     write_worklist(local_rows(spark, rows, StructType([StructField("month", TimestampNTZType())])), places.worklist)

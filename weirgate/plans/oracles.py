@@ -267,6 +267,7 @@ ORACLES: dict[str, str] = {
     " row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate) - 1 AS ordinal FROM lineitem)",
     "ridership_rejected": f"WITH {BATCH} SELECT *, NOT ({ANY_RIDERSHIP}) AS is_good FROM batch",
     "ridership_worklist": f"SELECT month FROM ({ORDER_MONTHS}) WHERE month >= TIMESTAMP '1998-01-01'",
+    "insert_after_crash": f"SELECT {WAREHOUSE_COLUMNS} FROM ({TYPED_ORDERS})",
     "ridership_warehouse": f"SELECT {WAREHOUSE_COLUMNS} FROM ({TYPED_ORDERS})",
     "ridership_overlap": f"WITH early AS (SELECT * FROM ({TYPED_ORDERS}) WHERE ridership % 3 <> 0),"
     f" late AS (SELECT * FROM ({CHANGED_ORDERS}) r WHERE NOT EXISTS (SELECT 1 FROM early k WHERE {SAME_KEY}))"

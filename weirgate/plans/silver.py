@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Literal
@@ -16,9 +16,10 @@ from weirgate.operators.rules import CHECKS, Rule, evaluate
 from weirgate.operators.schema import cast_failure_counts, cast_schema, derive_datetime, project_columns
 from weirgate.operators.split import NullPolicy, clear_quarantine, quarantine
 from weirgate.operators.summary import validation_gate, validation_summary
-from weirgate.operators.upsert import check_batch_id, insert_new
+from weirgate.operators.upsert import append_staged, check_batch_id, stage_new
 from weirgate.plans.feed import Feed, Places
-from weirgate.plans.status import create_status, now, record, record_casts, silver_states
+from weirgate.plans.recovery import settle_batches
+from weirgate.plans.status import LOADED, REJECTED, STAGED, create_status, now, record, record_begin, silver_states
 from weirgate.session import scratch_path
 from weirgate.sources import landed_files, read_landed_months, read_worklist
 
@@ -86,47 +87,51 @@ def load_batch(
     on_reject: Literal["raise", "record"] = "raise",
     null_safe_keys: bool = False,
     key_order: Sequence[Column] | None = None,
+    progress: Callable[[str], None] = lambda step: None,
 ) -> BatchOutcome:
     """One batch through gate, then quarantine or insert.
 
     A batch that was cut off or rejected may run again under its id and replaces what it left: quarantine as a
-    whole, and nothing stays there once it is loaded. The id of a loaded batch is refused: other rows under it
-    would replace the first ones.
+    whole, and nothing stays there once it is loaded. Batches of other ids that were cut off are settled first, so
+    that no row counts as known that the warehouse will not get. The id of a loaded batch is refused: other rows
+    under it would replace the first ones. ``progress`` is told each step that is done: ``begun``, then ``quarantined``,
+    or ``staged`` and ``appended``.
     """
     check_batch_id(batch_id)
     create_status(spark, places.status)
+    settle_batches(spark, feed, places, besides=batch_id)
     begun = now()
     before = silver_states(spark, places.status, batch_id)
-    if "loaded" in before:
+    if LOADED in before:
         raise ValueError(f"batch {batch_id} is loaded already; new rows need a new id")
     rules, seen = feed.rules(dimension), Observation()
     batch = store(prepare_batch(raw, feed, rules, seen), "batch")
     failures = dict(seen.get)
-    record_casts(spark, places.status, batch_id, failures)
-    passed = validation_gate(batch, rules).first()["success"]
-    if not passed:
+    record_begin(spark, places.status, batch_id, failures, begun)
+    progress("begun")
+    if not validation_gate(batch, rules).first()["success"]:
         kept = quarantine(batch, rules, places.quarantine, batch_id, null_policy, feed.time())
-        record(spark, places.status, "silver", batch_id, "rejected", 0, kept.months, begun)
+        progress("quarantined")
+        record(spark, places.status, "silver", batch_id, REJECTED, 0, kept.months, begun)
         outcome = BatchOutcome(
             batch_id, "rejected", rules, batch, None, 0, kept.n_good, kept.n_bad, kept.n_limbo, failures
         )
         if on_reject == "raise":
             raise BatchRejected(outcome)
         return outcome
-    new = insert_new(
-        spark,
-        batch.drop(CHECKS),
-        places.silver_table(feed),
-        places.staging,
-        batch_id,
-        null_safe_keys=null_safe_keys,
-        key_order=key_order,
-    )
-    if "rejected" in before:
-        clear_quarantine(spark, places.quarantine, batch_id, batch.drop(CHECKS).schema)
+    rows, table = batch.drop(CHECKS), places.silver_table(feed)
+    new = stage_new(spark, rows, table, places.staging, batch_id, null_safe_keys=null_safe_keys, key_order=key_order)
     months = [datetime(m.year, m.month, 1) if m else None for m in new.months]
-    record(spark, places.status, "silver", batch_id, "loaded", new.n_new, months, begun)
-    return BatchOutcome(batch_id, "loaded", rules, batch, new.staged, new.n_new, cast_failures=failures)
+    record(spark, places.status, "silver", batch_id, STAGED, new.n_new, months, begun)
+    progress("staged")
+    if new.n_new:
+        append_staged(new.staged, table, batch_id)
+    progress("appended")
+    if before:
+        clear_quarantine(spark, places.quarantine, batch_id, rows.schema)
+    record(spark, places.status, "silver", batch_id, LOADED, new.n_new, months, begun)
+    staged = new.staged.select(*rows.columns)
+    return BatchOutcome(batch_id, "loaded", rules, batch, staged, new.n_new, cast_failures=failures)
 
 
 def load_worklist(
@@ -141,6 +146,8 @@ def load_worklist(
     flat = {row["month"]: row["flat"] for row in sorted(files, key=lambda row: not row["flat"])}
     there, absent = [m for m in listed if m in flat], [m for m in listed if m not in flat]
     if not there:
+        create_status(spark, places.status)
+        settle_batches(spark, feed, places)
         return BatchOutcome(batch_id, "empty", absent_months=absent)
     raw = read_landed_months(spark, places.landing, there, flat=[m for m in there if flat[m]])
     try:

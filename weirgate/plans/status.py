@@ -24,6 +24,9 @@ STATUS_SCHEMA = StructType(
 )
 STATUS_PARTS = ("stage", "batch_id")
 
+#: States of a batch at the silver stage; the last two settle its months.
+BEGUN, STAGED, LOADED, REJECTED = "begun", "staged", "loaded", "rejected"
+
 
 def now() -> int:
     """Microseconds that order what one writer notes."""
@@ -56,15 +59,11 @@ def record(
     write_status(local_rows(spark, rows, STATUS_SCHEMA).coalesce(1), path)
 
 
-def record_casts(spark: SparkSession, path: str, batch_id: str, failures: Mapping[str, int]) -> None:
-    """Note how many values of each column a batch lost to casts; columns without any are left out."""
-    rows = [
-        {"month": None, "state": column, "n_rows": n, "at": now(), "stage": "casts", "batch_id": batch_id}
-        for column, n in failures.items()
-        if n
-    ]
-    if rows:
-        write_status(local_rows(spark, rows, STATUS_SCHEMA).coalesce(1), path)
+def record_begin(spark: SparkSession, path: str, batch_id: str, failures: Mapping[str, int], at: int) -> None:
+    """Note that a batch begins, and how many values of each column it lost to casts; columns without any are left out."""
+    begun = {"month": None, "state": BEGUN, "n_rows": 0, "at": at, "stage": "silver", "batch_id": batch_id}
+    casts = [{**begun, "state": column, "n_rows": n, "stage": "casts"} for column, n in failures.items() if n]
+    write_status(local_rows(spark, [begun, *casts], STATUS_SCHEMA).coalesce(1), path)
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
@@ -79,4 +78,4 @@ def silver_states(spark: SparkSession, path: str, batch_id: str) -> set[str]:
 
 def is_loaded(spark: SparkSession, path: str, batch_id: str) -> bool:
     """Has the silver stage finished this batch?"""
-    return "loaded" in silver_states(spark, path, batch_id)
+    return LOADED in silver_states(spark, path, batch_id)

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from weirgate.operators.schema import warehouse_projection
 from weirgate.operators.upsert import BATCH_ID, create_keyed_table, merge_batches, read_table
 from weirgate.plans.feed import Feed, Places
+from weirgate.plans.recovery import settle_batches
 from weirgate.plans.silver import store
 from weirgate.plans.status import create_status, now, read_status, write_status
 
@@ -31,6 +32,7 @@ def merge_warehouse(spark: SparkSession, feed: Feed, places: Places, null_safe_k
     However many batches wait, their ids stay in a table: the staging folder is joined with it on the partition.
     """
     create_status(spark, places.status)
+    settle_batches(spark, feed, places)
     create_keyed_table(spark, places.warehouse_table(feed), warehouse_schema(feed))
     seen = Observation()
     counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_rows") > 0).alias("filled")]
