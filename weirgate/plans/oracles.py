@@ -195,6 +195,12 @@ ORACLES: dict[str, str] = {
     "worklist_scan": f"SELECT * FROM lineitem WHERE date_trunc('month', l_shipdate) IN (SELECT month FROM ({DELTA}))",
     "multi_file_scan": "SELECT * FROM orders WHERE date_trunc('month', o_orderdate) IN"
     f" (SELECT month FROM ({SHIP_MONTHS}))",
+    "multi_file_scan_drift": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
+    + ISO.format("o_orderdate")
+    + " AS o_orderdate, o_orderstatus FROM orders",
+    "landing_changed_months": "WITH r AS (SELECT CASE WHEN CAST(transfers AS INTEGER) % 50 <> 7 THEN date_trunc('month', CAST(transit_timestamp"
+    f" AS TIMESTAMP)) END AS month, CAST(ridership AS DOUBLE) % 97 <> 0 AS early FROM ({view_sql(RAW_ORDERS, '(SELECT *, ' + ISO.format('o_orderdate') + ' AS iso_ts FROM orders)')}))"
+    " SELECT month, count(*) AS n_rows, CASE WHEN bool_or(early) AND NOT bool_and(early) THEN 2 ELSE 1 END::BIGINT AS n_landings FROM r GROUP BY month",
     "json_ingest": "SELECT * FROM events",
     "dimension_scan": "SELECT n_nationkey, n_name || ' (a, \"b\")' || CAST(n_regionkey AS VARCHAR) AS n_label FROM nation",
     "land_by_month": "SELECT "

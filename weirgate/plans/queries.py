@@ -49,6 +49,7 @@ from weirgate.plans.bronze import land_missing_months
 from weirgate.plans.feed import Places
 from weirgate.plans.ridership import RIDERSHIP
 from weirgate.plans.silver import load_batch, load_worklist, prepare_batch, store
+from weirgate.plans.status import read_status
 from weirgate.plans.views import DIRTY_EVENTS, TEXT_EVENTS, raw_events, raw_orders, stations, table, view
 from weirgate.plans.warehouse import merge_warehouse, read_warehouse
 from weirgate.session import scratch_path
@@ -61,6 +62,7 @@ from weirgate.sources import (
     month_file_names,
     read_dimension,
     read_json_pages,
+    read_landed_columns,
     read_landed_months,
     read_worklist,
     source_months,
@@ -159,6 +161,36 @@ def multi_file_scan_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed_months(spark, root, months, flat=flat)
 
 
+@query("multi_file_scan_drift")
+def multi_file_scan_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months landed in three forms, by the year: as they are, as text with one column more, and turned round with other types."""
+    root, orders, day = scratch_path(spark, "landing"), table(spark, sf_dir, "orders"), F.col("o_orderdate")
+    form = F.year(day) % 3
+    land_by_month(orders.where(form == 0), day, root)
+    text = orders.select(*[iso_text(day).alias(c) if c == "o_orderdate" else F.col(c).cast("string") for c in orders.columns], F.lit("x").alias("later"))
+    land_by_month(text.where(F.year(F.col("o_orderdate").try_cast("timestamp_ntz")) % 3 == 1), F.col("o_orderdate"), root)
+    turned = orders.select(*reversed(orders.columns)).withColumn("o_custkey", F.col("o_custkey").cast("decimal(20,0)"))
+    land_by_month(turned.where(form == 2), day, root)
+    listed = collect_listed(landed_months(spark, root))
+    return read_landed_columns(spark, root, listed, ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"])
+
+
+@query("landing_changed_months")
+def landing_changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two looks at a source that gains rows, some without a time: rows by month, and how often each month was landed."""
+    places, raw = Places.below(scratch_path(spark, "feed")), raw_orders(spark, sf_dir)
+    some = F.expr("cast(transfers as int) % 50 = 7")
+    raw = raw.withColumn("transit_timestamp", F.when(some, "someday").otherwise(F.col("transit_timestamp")))
+    early = raw.where("cast(ridership as double) % 97 <> 0")
+    land_missing_months(spark, early, RIDERSHIP, places, changed=True)
+    land_missing_months(spark, raw, RIDERSHIP, places, changed=True)
+    rows = read_landed_months(spark, places.landing, collect_listed(landed_months(spark, places.landing, undated=True)))
+    counted = rows.groupBy(month_start(RIDERSHIP.time()).alias("month")).agg(F.count(F.lit(1)).alias("n_rows"))
+    noted = read_status(spark, places.status).where("stage = 'landing'").groupBy("month").agg(F.count(F.lit(1)).alias("n_landings"))
+    noted = noted.select(F.col("month").alias("at"), "n_landings")
+    return counted.join(noted, F.col("month").eqNullSafe(F.col("at"))).select("month", "n_rows", "n_landings")
+
+
 @query("landed_rows_accounted")
 def landed_rows_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows landed by month and without one, against the rows of a source with unparsable times."""

@@ -21,7 +21,7 @@ from weirgate.plans.feed import Feed, Places
 from weirgate.plans.recovery import settle_batches
 from weirgate.plans.status import LOADED, REJECTED, STAGED, create_status, now, record, record_begin, silver_states
 from weirgate.session import scratch_path
-from weirgate.sources import landed_files, read_landed_months, read_worklist
+from weirgate.sources import landed_files, read_landed_columns, read_worklist
 
 
 @dataclass(frozen=True)
@@ -139,6 +139,7 @@ def load_worklist(
 ) -> BatchOutcome:
     """Load the months of the work list that are landed; an empty list does nothing.
 
+    Months may differ in their other columns and in their types; one that lacks a column of the feed is an error.
     Listed months that are not landed are named in the outcome.
     """
     listed = collect_listed(read_worklist(spark, places.worklist))
@@ -149,7 +150,7 @@ def load_worklist(
         create_status(spark, places.status)
         settle_batches(spark, feed, places)
         return BatchOutcome(batch_id, "empty", absent_months=absent)
-    raw = read_landed_months(spark, places.landing, there, flat=[m for m in there if flat[m]])
+    raw = read_landed_columns(spark, places.landing, there, list(feed.types), flat=[m for m in there if flat[m]])
     try:
         outcome = load_batch(spark, raw, dimension, feed, places, batch_id, **options)
     except BatchRejected as rejected:

@@ -10,11 +10,13 @@ from weirgate.sources.files import (
     open_table,
     read_dimension,
     read_json_pages,
+    read_landed_columns,
     read_landed_months,
     read_worklist,
+    worklist_entries,
     write_worklist,
 )
-from weirgate.sources.inventory import landed_files, landed_months, landing_inventory, source_months
+from weirgate.sources.inventory import landed_files, landed_months, landing_inventory, month_prints, source_months
 
 __all__ = [
     "MONTH_FILE",
@@ -31,8 +33,11 @@ __all__ = [
     "open_table",
     "read_dimension",
     "read_json_pages",
+    "month_prints",
+    "read_landed_columns",
     "read_landed_months",
     "read_worklist",
     "source_months",
+    "worklist_entries",
     "write_worklist",
 ]

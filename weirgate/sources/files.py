@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from weirgate.functions import FILE_PREFIX, iso_text, month_date, parse_iso, safe_file_name
 
@@ -19,6 +21,8 @@ MONTH_FILE = "month_file"
 # Fixed value: the column of the work list.
 WORKLIST_COLUMN = "new_timestamps"
 UNDATED = "undated"
+#: Footers that the driver asks for at a time.
+SCHEMA_READERS = 8
 
 
 def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -133,15 +137,63 @@ def read_landed_months(
     return spark.read.parquet(*folders, *[f"{root}/{name}" for name in month_file_names(flat, prefix)])
 
 
+def read_landed_columns(
+    spark: SparkSession,
+    root: str,
+    months: Sequence[datetime | None],
+    columns: Sequence[str],
+    prefix: str = FILE_PREFIX,
+    flat: Sequence[datetime | None] = (),
+) -> DataFrame:
+    """These columns of the named months as text, whatever each month's schema is.
+
+    The schema of each month is read from a footer of its own, so none depends on which months come with it. A month
+    that lacks a column is an error, which names all such months; other columns, their order and their types may
+    differ. Times become the text form that landed files use. Months of one schema are scanned together.
+    """
+    paths = {m: f"{root}/{MONTH_FILE}={name}" for m in months if m not in flat for name in month_file_names([m], prefix)}
+    paths |= {m: f"{root}/{name}" for m in months if m in flat for name in month_file_names([m], prefix)}
+    order = sorted(paths, key=lambda m: (m is not None, m))
+    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
+        schemas = dict(zip(order, pool.map(lambda m: spark.read.parquet(paths[m]).schema, order)))
+    lacking = {m: [c for c in columns if c not in schemas[m].names] for m in order}
+    if any(lacking.values()):
+        told = [f"{', '.join(names)} in {f'{m:%Y-%m}' if m else UNDATED}" for m, names in lacking.items() if names]
+        raise ValueError(f"missing columns: {'; '.join(told)}")
+    alike: dict[str, list[datetime | None]] = {}
+    for m in order:
+        alike.setdefault(schemas[m].json(), []).append(m)
+    parts = []
+    for group in alike.values():
+        schema = schemas[group[0]]
+        found = spark.read.schema(schema).parquet(*[paths[m] for m in group])
+        parts.append(found.select(*[_as_text(F.col(c), schema[c].dataType).alias(c) for c in columns]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _as_text(value: Column, kind: DataType) -> Column:
+    return iso_text(value) if isinstance(kind, (TimestampNTZType, TimestampType)) else value.cast("string")
+
+
 def write_worklist(months: DataFrame, path: str, month: str = "month") -> None:
     """Replace the work list: one column of ISO month texts. A NULL month lists the rows without one."""
     listed = months.select(F.coalesce(iso_text(F.col(month)), F.lit(UNDATED)).alias(WORKLIST_COLUMN))
     listed.coalesce(1).sortWithinPartitions(WORKLIST_COLUMN).write.mode("overwrite").parquet(path)
 
 
-def read_worklist(spark: SparkSession, path: str) -> DataFrame:
-    """The work list as distinct months, NULL for rows without one; other text that is no timestamp is left out."""
-    listed = spark.read.schema(f"{WORKLIST_COLUMN} string").parquet(path)
+def worklist_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Every entry of the work list: its text, its month (NULL for rows without one), and whether it is refused.
+
+    Refused is text that is neither a month nor the name of the rows without one.
+    """
     text = F.col(WORKLIST_COLUMN)
-    months = listed.select(parse_iso(text).alias("month"), (text == UNDATED).alias("undated"))
-    return months.where("month IS NOT NULL OR undated").select("month").distinct()
+    listed = spark.read.schema(f"{WORKLIST_COLUMN} string").parquet(path).withColumn("month", parse_iso(text))
+    undated = F.coalesce(text == UNDATED, F.lit(False))
+    return listed.select(text.alias("entry"), "month", (F.col("month").isNull() & ~undated).alias("refused"))
+
+
+def read_worklist(spark: SparkSession, path: str) -> DataFrame:
+    """The work list as distinct months, NULL for rows without one. A refused entry fails the read and is named."""
+    wrong = F.concat(F.lit("no month on the work list: "), F.coalesce("entry", F.lit("NULL")))
+    month = F.when(F.col("refused"), F.raise_error(wrong).cast("timestamp_ntz")).otherwise(F.col("month"))
+    return worklist_entries(spark, path).select(month.alias("month")).distinct()

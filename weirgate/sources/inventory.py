@@ -44,3 +44,16 @@ def landed_months(spark: SparkSession, root: str, prefix: str = FILE_PREFIX, und
     files = landed_files(spark, root, prefix).select(parse_iso(F.col("iso_time")).alias("month"), "undated")
     wanted = files.where("month IS NOT NULL OR undated" if undated else "month IS NOT NULL")
     return wanted.select("month").distinct().orderBy("month")
+
+
+def month_prints(df: DataFrame, ts: Column) -> DataFrame:
+    """month, n_rows and a fingerprint of the rows of each month; the NULL month is that of rows without one.
+
+    Two months have the same fingerprint if they have the same rows as often, in any order: it is the count and the
+    sum of the rows' hashes. NULLs count. One scan; the shuffle carries a row a month and task.
+    """
+    columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    hashed = F.xxhash64(*columns, F.array(*[c.isNull() for c in columns])).cast("decimal(38,0)")
+    counted = df.select(month_start(ts).alias("month"), hashed.alias("hash")).groupBy("month")
+    prints = counted.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("hash").alias("total"))
+    return prints.select("month", "n_rows", F.concat_ws(":", F.col("n_rows").cast("string"), F.col("total").cast("string")).alias("print"))
