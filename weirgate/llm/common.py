@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,15 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4
 
 
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a model of bounded size; a task calls the result to have it.
+
+    It travels with its classes, as bytes: a plain broadcast would name them, and executors have no copy of this package.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that the table does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import mixed, slices, small, stage, texts
+from weirgate.llm.common import mixed, shared, slices, small, stage, texts
 from weirgate.llm.toxicity import logistic
 
 ORDER = 4
@@ -247,14 +247,15 @@ def calibrate(models: LanguageModels, docs: DataFrame, most: int = CALIBRATION_D
     """Fit the probability of being right on at most ``most`` texts with a language, the same whatever their order."""
     known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     picked = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    sent = shared(docs.sparkSession, models)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scored = _scores(shared.value)
+        models = sent()
+        scored = _scores(models)
         for batch in small(batches):
             best, margin, size = scored(texts(batch, "text"))
             said = batch.column(batch.schema.get_field_index("lang")).to_pylist()
-            right = [bool(size[i]) and shared.value.langs[b] == lang for i, (b, lang) in enumerate(zip(best, said))]
+            right = [bool(size[i]) and models.langs[b] == lang for i, (b, lang) in enumerate(zip(best, said))]
             yield pa.RecordBatch.from_arrays([pa.array(margin), pa.array(size), pa.array(right)], ["margin", "size", "right"])
 
     rows = known.join(F.broadcast(picked), "doc_id").select("text", "lang")  # ``most`` rows at most
@@ -273,10 +274,10 @@ def train(docs: DataFrame, part: Column) -> LanguageModels:
 
 def identify(docs: DataFrame, models: LanguageModels, reject_below: float = 0.0) -> DataFrame:
     """doc_id, lang_pred, score of every row; ``und`` without letters, or where the score is below the wanted one."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    sent = shared(docs.sparkSession, models)
 
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
+        models = sent()
         scored = _scores(models)
         for batch in small(batches):
             best, margin, size = scored(texts(batch, "text"))

@@ -52,7 +52,7 @@ def op6_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
     """Trained on labelled documents that are not held out."""
     learnt = table(spark, sf_dir, "documents").where(fold(F.col("doc_id")) != HELD_OUT)
-    return toxicity.train(toxicity.training_texts(learnt, table(spark, sf_dir, "labels")))
+    return toxicity.fit(toxicity.training_rows(learnt, table(spark, sf_dir, "labels")))
 
 
 def op7_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

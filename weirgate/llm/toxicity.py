@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import slices, small, texts
+from weirgate.llm.common import shared, slices, small, texts
 
 #: Documents and characters at most, by label: clean and toxic.
 TRAIN_DOCS = (4000, 1500)
@@ -324,10 +324,10 @@ def train(labelled: Iterable[tuple[str, int]]) -> ToxicityModel:
     return model
 
 
-def training_texts(
+def training_rows(
     docs: DataFrame, labels: DataFrame, most: tuple[int, int] = TRAIN_DOCS, chars: tuple[int, int] = TRAIN_CHARS
-) -> list[tuple[str, int]]:
-    """A bounded sample of labelled texts, the same for the same documents whatever their order.
+) -> DataFrame:
+    """doc_id, text, kind of a bounded sample of labelled texts, the same for the same documents whatever their order.
 
     ``docs`` and ``labels`` share doc_id; rows without text or label are not taken, and of a repeated id the longest
     text is.
@@ -344,15 +344,34 @@ def training_texts(
         if row["size"] <= room[row["toxic"]]:
             ids.append((row["doc_id"], row["toxic"]))
             room[row["toxic"]] -= row["size"]
-    if not ids:
-        return []
     spark = docs.sparkSession
     picked = F.broadcast(spark.createDataFrame(ids, "doc_id bigint, kind int"))  # sum(most) rows at most
     longest = F.max_by("text", F.struct(F.length("text"), "text")).alias("text")
-    rows = docs.join(picked, "doc_id").groupBy("doc_id", "kind").agg(longest).collect()
+    return docs.join(picked, "doc_id").groupBy("doc_id", "kind").agg(longest).select("doc_id", "text", "kind")
+
+
+def training_texts(
+    docs: DataFrame, labels: DataFrame, most: tuple[int, int] = TRAIN_DOCS, chars: tuple[int, int] = TRAIN_CHARS
+) -> list[tuple[str, int]]:
+    """The same sample as (text, kind), in the order of ids."""
+    rows = training_rows(docs, labels, most, chars).collect()
     return [(r["text"], r["kind"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sorted(row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+    model = train((text, kind) for _, text, kind in rows)
+    fields = ([model.table.tobytes()], [model.bias], [model.scale.tolist()])
+    kinds = (pa.binary(), pa.float64(), pa.list_(pa.float64()))
+    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(fields, kinds)], ["weights", "bias", "scale"])
+
+
+def fit(rows: DataFrame) -> ToxicityModel:
+    """Train on the rows of a bounded sample (:func:`training_rows`) in one task; the driver gets the model alone."""
+    found = rows.select("doc_id", "text", "kind").coalesce(1).mapInArrow(_fitted, "weights binary, bias double, scale array<double>").first()
+    return ToxicityModel(np.frombuffer(found["weights"]), found["bias"], np.array(found["scale"])) if found else train([])
+
+
 def _worst_words(model: ToxicityModel):
     """A function that gives the worst word score of each text, and keeps the scores of words seen before."""
     known: dict[str, float] = {}
@@ -374,12 +393,13 @@ def _worst_words(model: ToxicityModel):
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """Adds ``score`` and ``predicted`` to doc_id and text; the text is dropped. Null texts count as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worst_of = _worst_words(shared.value)
+        model = sent()
+        worst_of = _worst_words(model)
         for batch in small(batches):
-            p = shared.value.probability(worst_of(texts(batch, "text")))
+            p = model.probability(worst_of(texts(batch, "text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32))],
                 ["doc_id", "score", "predicted"],
@@ -392,13 +412,14 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` without the texts scored as toxic; all columns stay, and no shuffle is needed."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
     place = docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worst_of = _worst_words(shared.value)
+        model = sent()
+        worst_of = _worst_words(model)
         for batch in small(batches):
-            p = shared.value.probability(worst_of(["" if t is None else t for t in batch.column(place).to_pylist()]))
+            p = model.probability(worst_of(["" if t is None else t for t in batch.column(place).to_pylist()]))
             yield batch.filter(pa.array(p < THRESHOLD))
 
     return docs.mapInArrow(clean, docs.schema)
