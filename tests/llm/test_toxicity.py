@@ -136,3 +136,14 @@ def test_odd_rows(spark, model):
     assert sorted(len(t) for t, _ in toxicity.training_texts(docs, some))[:2] == [len(docs.where("doc_id = 4").first().text)] * 2
     nothing = spark.createDataFrame([(None, None), (1, None)], "doc_id bigint, toxic int")
     assert toxicity.training_texts(docs, nothing) == []
+
+
+def test_fit_in_a_task_is_the_same_fit(spark):
+    rows = [(i, text, kind) for i, (text, kind) in enumerate(labelled(random.Random(3), 120))]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string, kind int").repartition(3))
+    alone = toxicity.train([row[1:] for row in rows])
+    assert np.allclose(model.table, alone.table) and np.allclose(model.scale, alone.scale) and np.isclose(model.bias, alone.bias)
+    nothing = toxicity.fit(spark.createDataFrame([], "doc_id bigint, text string, kind int"))
+    assert 0 < nothing.probability(np.zeros(1))[0] < 1
+    with pytest.raises(Exception, match="child process failed"):
+        toxicity.fit(spark.createDataFrame([(1, None, None), (2, None, None)], "doc_id bigint, text string, kind int"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import traceback
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -45,6 +47,27 @@ def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: cloudpickle.loads(sent.value)
 
 
+def apart(function: Callable[[], Any]) -> Any:
+    """The result of a function run in a child process, whose memory is given back when it ends."""
+    reader, writer = os.pipe()
+    child = os.fork()
+    if not child:
+        try:
+            os.close(reader)
+            with os.fdopen(writer, "wb") as out:
+                out.write(cloudpickle.dumps(function()))
+            os._exit(0)
+        except BaseException:
+            traceback.print_exc()
+        os._exit(1)
+    os.close(writer)
+    with os.fdopen(reader, "rb") as found:
+        result = found.read()
+    if os.waitpid(child, 0)[1]:
+        raise RuntimeError("the child process failed; its error is in the worker's log")
+    return cloudpickle.loads(result)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that the table does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import shared, slices, small, texts
+from weirgate.llm.common import apart, shared, slices, small, texts
 
 #: Documents and characters at most, by label: clean and toxic.
 TRAIN_DOCS = (4000, 1500)
@@ -359,11 +359,16 @@ def training_texts(
 
 
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = sorted(row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
-    model = train((text, kind) for _, text, kind in rows)
-    fields = ([model.table.tobytes()], [model.bias], [model.scale.tolist()])
+    held = list(batches)
+
+    def fields() -> tuple[bytes, float, list[float]]:
+        rows = sorted(row for batch in held for row in zip(*(column.to_pylist() for column in batch.columns)))
+        model = train((text, kind) for _, text, kind in rows)
+        return model.table.tobytes(), float(model.bias), model.scale.tolist()
+
+    # A worker that has trained would keep what it took for that while it scores.
     kinds = (pa.binary(), pa.float64(), pa.list_(pa.float64()))
-    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(fields, kinds)], ["weights", "bias", "scale"])
+    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(apart(fields), kinds)], ["weights", "bias", "scale"])
 
 
 def fit(rows: DataFrame) -> ToxicityModel:
