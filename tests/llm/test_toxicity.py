@@ -138,7 +138,7 @@ def test_odd_rows(spark, model):
     assert toxicity.training_texts(docs, nothing) == []
 
 
-def test_fit_in_a_task_is_the_same_fit(spark):
+def test_fit_in_a_child_process_is_the_same_fit(spark):
     rows = [(i, text, kind) for i, (text, kind) in enumerate(labelled(random.Random(3), 120))]
     model = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string, kind int").repartition(3))
     alone = toxicity.train([row[1:] for row in rows])

@@ -64,7 +64,7 @@ def apart(function: Callable[[], Any]) -> Any:
     with os.fdopen(reader, "rb") as found:
         result = found.read()
     if os.waitpid(child, 0)[1]:
-        raise RuntimeError("the child process failed; its error is in the worker's log")
+        raise RuntimeError("the child process failed; its error is on the standard error output")
     return cloudpickle.loads(result)
 
 

@@ -48,7 +48,7 @@ LONGEST_WORD = 48
 MOST_WHOLE = 16
 WINDOW, STEP = 12, 4
 #: Pieces that are scored at a time.
-SCORED_PIECES = 50_000
+SCORED_PIECES = 20_000
 #: Words of each kind that one fit takes: insults, frequent (and spread-out) clean words, high-scoring clean words a round.
 MOST_BAD = 800
 STRETCHED = 150
@@ -358,23 +358,20 @@ def training_texts(
     return [(r["text"], r["kind"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
-def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = list(batches)
+def fit(rows: DataFrame) -> ToxicityModel:
+    """Train on the rows of a bounded sample (:func:`training_rows`).
+
+    A child process of the driver trains: neither driver nor workers keep the memory that this takes.
+    """
+    held = rows.select("doc_id", "text", "kind").toArrow()
 
     def fields() -> tuple[bytes, float, list[float]]:
-        rows = sorted(row for batch in held for row in zip(*(column.to_pylist() for column in batch.columns)))
-        model = train((text, kind) for _, text, kind in rows)
+        labelled = sorted(zip(*(column.to_pylist() for column in held.columns)))
+        model = train((text, kind) for _, text, kind in labelled)
         return model.table.tobytes(), float(model.bias), model.scale.tolist()
 
-    # A worker that has trained would keep what it took for that while it scores.
-    kinds = (pa.binary(), pa.float64(), pa.list_(pa.float64()))
-    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(apart(fields), kinds)], ["weights", "bias", "scale"])
-
-
-def fit(rows: DataFrame) -> ToxicityModel:
-    """Train on the rows of a bounded sample (:func:`training_rows`) in one task; the driver gets the model alone."""
-    found = rows.select("doc_id", "text", "kind").coalesce(1).mapInArrow(_fitted, "weights binary, bias double, scale array<double>").first()
-    return ToxicityModel(np.frombuffer(found["weights"]), found["bias"], np.array(found["scale"])) if found else train([])
+    weights, bias, scale = apart(fields)
+    return ToxicityModel(np.frombuffer(weights), bias, np.array(scale))
 
 
 def _worst_words(model: ToxicityModel):
@@ -386,8 +383,8 @@ def _worst_words(model: ToxicityModel):
         if len(known) > 300_000:
             known.clear()
         new = list({w for words in found for w in words if w not in known})
-        for i in range(0, len(new), 50_000):
-            known.update(zip(new[i : i + 50_000], model.word_scores(new[i : i + 50_000]).tolist()))
+        for i in range(0, len(new), SCORED_PIECES):
+            known.update(zip(new[i : i + SCORED_PIECES], model.word_scores(new[i : i + SCORED_PIECES]).tolist()))
         return [max(map(known.__getitem__, words), default=NO_WORDS) for words in found]
 
     def worst(batch: list[str]) -> np.ndarray:
