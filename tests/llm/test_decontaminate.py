@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -112,6 +113,60 @@ def test_windows_by_doubling():
         assert (dc._windows(hashes, width) == windows(hashes, width)).all()
 
 
+def plain_windows(text, names, width):
+    """Windows of one template of a text as (placeholders and words, slot values), word by word."""
+    out, run, before = [], False, False
+    for line in text.split("\n"):
+        begins = True
+        for word in line.split():
+            core = re.sub(r"^[\W_]+|[\W_]+$", "", word)
+            number = bool(re.fullmatch(r"[+-]?[$€£]?\d[\d.,:/]*(%|st|nd|rd|th)?", core)) or bool(core) and set(core.lower().split("-")) <= dc.NUMBER_WORDS
+            capital = core[:1].isupper() and core[1:2].islower() and not number
+            name = capital and (not begins or names and core.lower() not in dc.OPENERS)
+            unit = core.lower() in dc.UNITS and before and not name
+            if core and name and run and not begins:
+                out[-1][1] += " " + core.lower()
+            elif core:
+                kind = "<name>" if name else "<number>" if number else "<unit>" if unit else ""
+                out.append([kind or core.lower(), core.lower() if kind else None, number])
+            run, before = name if core else run, number
+            begins = word.endswith((".", "!", "?", ":", ".)", '."'))
+    parts = [out[i : i + width] for i in range(len(out) - width + 1)]
+    return [(i, tuple(p[0] for p in w), dc.SEPARATOR.join(p[1] for p in w if p[1] is not None)) for i, w in enumerate(parts) if any(p[1] is None for p in w)]
+
+
+def test_windows_against_plain_templates(spark):
+    """Texts read together give the windows that reading word by word gives, and equal hashes mean equal templates."""
+    rng = random.Random(8)
+    bits = ["Anna", "Berta", "The", "Mr", "12", "3.5%", "kg", "miles", "twenty-two", "- ", "goes.", "said:", "(Tom", "'", "\n", "old", "mill", "in", "Rome."]
+    texts = [" ".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(300)] + ["", "\n", "Anna"]
+    words, readings = dc.Templates().of(texts)
+    meant: dict[int, tuple] = {}
+    for reading in readings:
+        at, found = reading.windows(4)
+        got: dict[int, list] = {k: [] for k in range(len(texts))}
+        starts = np.searchsorted(reading.owner, np.arange(len(texts)))
+        for i, h in zip(at.tolist(), found.tolist()):
+            k = int(reading.owner[i])
+            got[k].append((i - int(starts[k]), h, reading.values(words, i, 4)))
+        for k in set(reading.owner.tolist()):
+            if reading.kind == dc.BARE:
+                cores = [c for c in (re.sub(r"^[\W_]+|[\W_]+$", "", w).lower() for w in texts[k].split()) if c]
+                want = [(i, ("bare", *cores[i : i + 4]), "") for i in range(len(cores) - 3)]
+            else:
+                want = plain_windows(texts[k], reading.kind == dc.NAMES, 4)
+            assert [(i, v) for i, _, v in got[k]] == [(i, v) for i, _, v in want]
+            for (_, h, _), (_, template, _) in zip(got[k], want):
+                assert meant.setdefault(h, template) == template
+    assert len(set(meant.values())) == len(meant) > 1000
+
+
+def test_items_of_one_or_two_words(spark):
+    benchmark = spark.createDataFrame([(1, "Forty two"), (2, "Rome."), (3, "--")], ITEMS)
+    texts = ["forty - two!", "rome", "forty two rome", "--", "two forty"]
+    assert verdicts(spark, texts, benchmark) == {0: (1, "exact"), 1: (2, "exact")}
+
+
 def test_bit_table_knows_every_window(spark, benchmark):
     windows = dc.benchmark_windows(benchmark)
     table = dc.bit_table(windows)

@@ -12,21 +12,24 @@ A document is contaminated by an item when equal bare windows, or consistent occ
 least half of the item's windows; it is exact when the bare windows cover as much as any template does.
 Documents are read whole in one pass; a bit table of the benchmark's hashes, of bounded size, keeps windows
 that cannot join from being shuffled. Items with fewer than eight words are one window of their own length
-(three words at least; a run of names counts as one in a template); items with less, and null or blank texts on
-either side, match nothing.
+(a run of names counts as one in a template). Items of one or two words are in documents that have these words and
+no other. Null and blank texts on either side match nothing; of an item_id with several texts each is looked for by
+its own windows.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import mixed, small, stage, texts, windows
+from weirgate.llm.common import mixed, slices, small, stage, texts, windows
 
 WIDTH = 8
 LEAST_WIDTH = 3
@@ -34,6 +37,8 @@ COVERAGE = 0.5
 #: Readings of a text: bare words, and templates whose sentence openers are words or names.
 BARE, WORDS, NAMES = 0, 1, 2
 LEAST_BITS, MOST_BITS = 20, 24
+#: Characters of the texts that are read at a time; a longer text is read by itself.
+READ_CHARS = 500_000
 NUMBER, UNIT, NAME = (np.uint64(k) for k in (11, 12, 13))
 SEPARATOR = "\x1f"
 
@@ -59,97 +64,134 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?$")
 
 
-class Templates:
-    """Hash and kind of every blank-separated word, kept for words seen before."""
+class Templates(dict):
+    """Number of every blank-separated word, with its hash and kind, kept for words seen before."""
 
-    def __init__(self):
-        self.known: dict[str, int] = {}
-        self.hash, self.flags = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.uint8)
+    def __init__(self, most: int = 300_000):
+        super().__init__()
+        self.most = most
+        self.hashes, self.flags = array("Q"), array("B")
 
-    def _learn(self, word: str) -> int:
+    def __missing__(self, word: str) -> int:
         import xxhash
 
-        k = self.known[word] = len(self.known)
-        if k == len(self.hash):
-            self.hash, self.flags = np.resize(self.hash, 2 * k), np.resize(self.flags, 2 * k)
-        core = _EDGE.sub("", word)
-        number = bool(_NUMBER.match(core) or _NUMBER.match(word)) or bool(core) and all(p in NUMBER_WORDS for p in core.lower().split("-"))
+        core = word if word.isalpha() else _EDGE.sub("", word)
+        low = core.lower()
+        if core.isalpha():
+            number = low in NUMBER_WORDS
+        else:
+            number = bool(_NUMBER.match(core) or _NUMBER.match(word)) or bool(core) and all(p in NUMBER_WORDS for p in low.split("-"))
         capital = core[:1].isupper() and core[1:2].islower()
-        self.hash[k] = xxhash.xxh64_intdigest(core.lower()) if core else 0
-        self.flags[k] = (
+        self.hashes.append(xxhash.xxh64_intdigest(low) if core else 0)
+        self.flags.append(
             number
-            | (core.lower() in UNITS) << 1
+            | (low in UNITS) << 1
             | capital << 2
             | word.endswith((".", "!", "?", ":", ".)", '."')) << 3
             | (not core) << 4
-            | (core.lower() in OPENERS) << 5
+            | (low in OPENERS) << 5
         )
+        k = self[word] = len(self)
         return k
 
-    def of(self, text: str) -> tuple[list[str], list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
-        """The words of a text and its readings: of each word with a letter or digit (a run of names is one) its hash,
-        whether it is a slot, and the numbers of its first word and of the word after it in turn. Without openers that
-        may be names, there is one template."""
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each word; when too many words are known, all are forgotten first."""
+        if len(self) > self.most:
+            self.clear()
+            self.hashes, self.flags = array("Q"), array("B")
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def of(self, texts: list[str]) -> tuple[list[str], list[Reading]]:
+        """The words of some texts, one after the other, and their readings: bare words, and templates whose openers are
+        words, of all texts; templates whose openers are names, of the texts that have openers which may be names."""
         words: list[str] = []
-        lines = []
-        for line in text.split("\n"):
-            lines.append(len(words))
-            words += line.split()
-        if not words:
-            return words, []
-        if len(self.known) > 300_000:
-            self.known.clear()
-        known = self.known
-        ids = np.fromiter((known[w] if w in known else self._learn(w) for w in words), np.int64, len(words))
-        flags, hashes = self.flags[ids], self.hash[ids]
-        begins = np.r_[True, (flags[:-1] & 8) > 0, False]
+        lines, sizes = [], []
+        for text in texts:
+            before = len(words)
+            for line in text.split("\n"):
+                lines.append(len(words))
+                words += line.split()
+            sizes.append(len(words) - before)
+        ids = self.numbers(words)
+        flags, hashes = np.array(self.flags, np.uint8)[ids], np.array(self.hashes, np.uint64)[ids]
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        begins = np.r_[False, (flags & 8) > 0]
         begins[lines] = True
         begins = begins[:-1]
         number = (flags & 1) > 0
-        unit = ((flags & 2) > 0) & np.r_[False, number[:-1]]
+        unit = (flags & 2) > 0
+        unit[1:] &= number[:-1] & (owner[1:] == owner[:-1])
+        unit[:1] = False
         capital = ((flags & 4) > 0) & ~number
         opens = begins & capital & ((flags & 32) == 0)
-        place = np.arange(len(words) + 1)
+        place = np.arange(len(words))
         keep = (flags & 16) == 0
         if not keep.all():
-            place = np.r_[np.flatnonzero(keep), len(words)]
-            hashes, number, unit, capital, begins, opens = (x[keep] for x in (hashes, number, unit, capital, begins, opens))
-        out = [(BARE, hashes, np.zeros(len(hashes), bool), place)]
-        for reading, name in ((WORDS, capital & ~begins), (NAMES, capital & (~begins | opens))):
-            if reading == WORDS or opens.any():
-                out.append((reading, *_template(hashes, number, unit & ~name, name, begins, place)))
+            place, owner, hashes, number, unit, capital, begins, opens = (
+                x[keep] for x in (place, owner, hashes, number, unit, capital, begins, opens)
+            )
+        out = [Reading(BARE, hashes, np.zeros(len(hashes), bool), place, place + 1, owner)]
+        name = capital & ~begins
+        out.append(_template(WORDS, hashes, number, unit & ~name, name, begins, place, owner))
+        if opens.any():
+            some = np.zeros(len(texts), bool)
+            some[owner[opens]] = True
+            of = some[owner]
+            hashes, number, unit, capital, begins, opens, place, owner = (
+                x[of] for x in (hashes, number, unit, capital, begins, opens, place, owner)
+            )
+            name = capital & (~begins | opens)
+            out.append(_template(NAMES, hashes, number, unit & ~name, name, begins, place, owner))
         return words, out
 
 
-def _template(hashes, number, unit, name, begins, place) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@dataclass
+class Reading:
+    """Of each word with a letter or digit (a run of names is one) its hash, whether it is a slot, the numbers of its
+    first word and of the word after its last one, and the text it belongs to."""
+
+    kind: int
+    hashes: np.ndarray
+    slot: np.ndarray
+    place: np.ndarray
+    end: np.ndarray
+    owner: np.ndarray
+
+    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and hashes of the windows within one text that have a word which is no slot."""
+        if len(self.hashes) < width:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        found = mixed(_windows(self.hashes, width) + np.uint64(width if self.kind else width << 32))
+        inside = self.owner[width - 1 :] == self.owner[: len(found)]
+        if self.slot.any():
+            plain = np.cumsum(np.r_[0, ~self.slot])
+            inside &= plain[width:] > plain[:-width]
+        at = np.flatnonzero(inside)
+        return at, found[at]
+
+    def values(self, words: list[str], at: int, width: int) -> str:
+        """The values of a window's slots; words without letter or digit count for nothing."""
+        runs = [words[self.place[i] : self.end[i]] for i in range(at, at + width) if self.slot[i]]
+        return SEPARATOR.join(" ".join(v for v in map(_value, run) if v) for run in runs)
+
+
+def _template(kind, hashes, number, unit, name, begins, place, owner) -> Reading:
     slot = number | unit | name
     if not slot.any():
-        return hashes, slot, place
+        return Reading(kind, hashes, slot, place, place + 1, owner)
     made = hashes.copy()
     made[number], made[unit], made[name] = NUMBER, UNIT, NAME
-    more = name[1:] & name[:-1] & ~begins[1:]
+    more = name[1:] & name[:-1] & ~begins[1:] & (owner[1:] == owner[:-1])
     if more.any():
         first = np.r_[True, ~more]
-        return made[first], slot[first], place[np.r_[first, True]]
-    return made, slot, place
+        return Reading(kind, made[first], slot[first], place[first], place[np.r_[first[1:], True]] + 1, owner[first])
+    return Reading(kind, made, slot, place, place + 1, owner)
 
 
 def _value(word: str) -> str:
     return _EDGE.sub("", word).lower()
 
 
-def reading_windows(reading: int, hashes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the windows that have a word which is no slot."""
-    if len(hashes) < width:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    found = mixed(_windows(hashes, width) + np.uint64(width if reading else width << 32))
-    if not slot.any():
-        return np.arange(len(found)), found
-    plain = np.cumsum(np.r_[0, ~slot])
-    at = np.flatnonzero(plain[width:] > plain[:-width])
-    return at, found[at]
-
-
 def _windows(hashes: np.ndarray, width: int) -> np.ndarray:
     """``windows``; a power of two is doubled up to."""
     if width & (width - 1):
@@ -161,35 +203,41 @@ def _windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed(hashes)
 
 
-def slot_values(words: list[str], place: np.ndarray, slot: np.ndarray, at: int, width: int) -> str:
-    """The values of a window's slots; words without letter or digit count for nothing."""
-    runs = [words[place[i] : place[i + 1]] for i in range(at, at + width) if slot[i]]
-    return SEPARATOR.join(" ".join(v for v in map(_value, run) if v) for run in runs)
-
-
 def _window_rows(id_name: str, widths, bits: np.ndarray | None, whole_item: bool):
-    """A function that turns (id, text) batches into rows of windows that the bit table knows."""
+    """A function that turns (id, text) batches into rows of windows that the bit table knows. Items are read one by
+    one, in windows of their own width; documents some at a time, in windows of each given width."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
         table = bits.value if bits is not None else None
         for batch in small(batches):
             out: list[tuple] = []
-            for key, text in zip(batch.column(0).to_pylist(), texts(batch, "text")):
-                words, readings = templates.of(text)
-                for reading, hashes, slot, place in readings:
-                    for width in [min(WIDTH, len(hashes))] if whole_item else widths:
-                        if width < LEAST_WIDTH:
+            keys = batch.column(0).to_pylist()
+            first = 0
+            for part in slices(texts(batch, "text"), 0 if whole_item else READ_CHARS):
+                words, readings = templates.of(part)
+                for reading in readings:
+                    sizes = np.bincount(reading.owner, minlength=len(part))
+                    starts = np.cumsum(sizes) - sizes
+                    for width in [min(WIDTH, len(reading.hashes))] if whole_item else widths:
+                        if not width or width < LEAST_WIDTH and reading.kind:
                             continue
-                        at, found = reading_windows(reading, hashes, slot, width)
+                        at, found = reading.windows(width)
+                        if width < LEAST_WIDTH:  # nothing but the whole text tells anything
+                            whole = sizes[reading.owner[at]] == width
+                            at, found = at[whole], found[whole]
                         if table is not None and len(found):
                             cell = found & np.uint64(len(table) * 8 - 1)
                             hit = (table[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
                             at, found = at[hit], found[hit]
+                        of = reading.owner[at]
                         out.extend(
-                            (key, reading, width, i, h, slot_values(words, place, slot, i, width), len(hashes) - width + 1)
-                            for i, h in zip(at.tolist(), found.view(np.int64).tolist())
+                            (keys[first + k], reading.kind, width, i - start, h, reading.values(words, i, width), size - width + 1)
+                            for i, k, start, size, h in zip(
+                                at.tolist(), of.tolist(), starts[of].tolist(), sizes[of].tolist(), found.view(np.int64).tolist()
+                            )
                         )
+                first += len(part)
             columns = list(zip(*out)) or [[]] * 7
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64())
             names = (id_name, "reading", "width", "at", "window", "slots", "total")
