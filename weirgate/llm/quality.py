@@ -2,13 +2,17 @@
 
 Each rule looks at one measure of a text and votes good, bad, or abstains. No rule decides alone: expectation
 maximisation over how often each pattern of votes occurs in the whole corpus estimates what each vote is worth,
-without labels, and a text is kept when the probability that it is good, given its votes, is high enough.
+without labels, and a text is kept when the probability that it is good, given its votes, is high enough. Rules
+overlap on purpose: a flaw that only one rule sees cannot be told from an error of that rule.
 
 The measures are taken once per text within its row, so nothing is exploded or shuffled. What the fit sees is a
 table of vote patterns, of at most ``3 ** len(RULES)`` rows whatever the corpus. The fitted weights return as
 constants of one expression.
 
-Null, empty and blank texts have no words; they fail the base rules. Repeated rows are judged alike.
+Null, empty and blank texts have no words; they fail the base rules. Repeated rows are judged alike, each by itself
+and counted as often as they stand there; a null doc_id stays null. Very long texts are one row of arrays each. An empty
+table gives no rows. Only the text matters; other columns, whatever their names, are not read. Where good and bad weigh
+the same (a probability of just one half) the text is kept.
 """
 
 from __future__ import annotations
@@ -26,12 +30,12 @@ GOOD, BAD, ABSTAIN = 1, -1, 0
 KEEP_FROM = 0.5
 FEWEST_WORDS = 50
 REPEATED_PERCENT = 50
-ROUNDS, SETTLED = 200, 1e-9
-#: How often a vote is held to be right before any text is seen. Junk mostly trips one rule and passes the others, so a
-#: bad vote tells much and a good one little. The prior weighs this many times what the texts with that vote do.
-PRIOR_RIGHT = {BAD: 0.95, GOOD: 0.82}
-PRIOR_GOOD = 0.8
-PRIOR_WEIGHT = 3.0
+ROUNDS, SETTLED = 500, 1e-10
+#: Where the fit starts: the probability of each vote in (bad, good) texts. A bad vote tells much and a good one little.
+#: As a prior it weighs as much as so many texts of either class, whatever the size of the corpus.
+START = {GOOD: (0.30, 0.80), BAD: (0.50, 0.03), ABSTAIN: (0.20, 0.17)}
+START_GOOD = 0.8
+PRIOR_TEXTS = 10.0
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -53,6 +57,8 @@ class QualityRule:
 RULES = (
     QualityRule("length", "n_words < 50", "n_words >= 80"),
     QualityRule("symbols", "n_symbols > 0.10 * n_words", "n_symbols <= 0.02 * n_words"),
+    QualityRule("symbol_chars", "n_symbols > 0.05 * word_chars", "n_symbols <= 0.01 * word_chars"),
+    QualityRule("letters", "n_lettered < 0.80 * n_words", "n_lettered >= 0.95 * n_words"),
     QualityRule("repeats", "n_repeat_words > 0.40 * n_words", "n_repeat_words <= 0.20 * n_words"),
     QualityRule("lines", "n_dup_lines >= 3 AND n_dup_lines > 0.30 * n_lines", "n_dup_lines <= 0.10 * n_lines"),
     QualityRule("word_length", "word_chars < 3 * n_words OR word_chars > 12 * n_words", "word_chars BETWEEN 3.5 * n_words AND 9 * n_words"),
@@ -79,6 +85,7 @@ def measures(docs: DataFrame) -> DataFrame:
         F.size("words").cast("bigint").alias("n_words"),
         F.array_join("words", "").alias("joined"),
         F.size(F.array_distinct("words")).alias("n_kinds"),
+        F.size(F.filter("words", lambda w: w.rlike("\\p{L}"))).alias("n_lettered"),
         F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("lines") - F.size(F.array_distinct("lines")), F.lit(0)).cast("bigint").alias("n_dup_lines"),
         F.when(F.size("words") >= 3, F.expr(triple)).otherwise(F.array().cast("array<bigint>")).alias("triples"),
@@ -93,6 +100,7 @@ def measures(docs: DataFrame) -> DataFrame:
         _removed(F.col("joined"), _SYMBOLS).cast("bigint").alias("n_symbols"),
         _removed(F.col("joined"), _CAPITALS).cast("bigint").alias("n_capitals"),
         "n_kinds",
+        "n_lettered",
         "n_lines",
         "n_dup_lines",
         F.when(repeats, placed).alias("placed"),
@@ -107,42 +115,37 @@ def measures(docs: DataFrame) -> DataFrame:
 def fit(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[dict[int, tuple[float, float]]]]:
     """The share of good texts, and per rule the probability of each vote in (bad, good) texts.
 
-    ``patterns`` are votes with their number. Rules are independent given the class. The first round knows the prior
-    only; each later one adds what the texts' posterior classes say.
+    ``patterns`` are votes with their number. Rules are independent given the class. Each round gives every pattern its
+    probability of either class, and counts votes by it; ``START`` tells the classes apart in the first round and is
+    soon outweighed by the texts.
     """
     width = len(patterns[0][0]) if patterns else 0
     total = sum(n for _, n in patterns)
-    cast = [{v: sum(n for votes, n in patterns if votes[k] == v) for v in (GOOD, BAD, ABSTAIN)} for k in range(width)]
-    of_good = {GOOD: PRIOR_RIGHT[GOOD], BAD: 1 - PRIOR_RIGHT[BAD], ABSTAIN: PRIOR_GOOD}
-    share, table = PRIOR_GOOD, None
+    share, table = START_GOOD, [dict(START) for _ in range(width)]
     before = -math.inf
     for _ in range(ROUNDS):
-        sums = [{v: [0.0, 0.0] for v in (GOOD, BAD, ABSTAIN)} for _ in range(width)]
+        sums = [{v: [PRIOR_TEXTS * p for p in start] for v, start in START.items()} for _ in range(width)]
         good = likelihood = 0.0
-        for votes, n in patterns if table else ():
+        for votes, n in patterns:
             p = [math.log(1 - share), math.log(share)]
             for rule, v in zip(table, votes):
                 p = [p[0] + math.log(rule[v][0]), p[1] + math.log(rule[v][1])]
             top = max(p)
             mass = sum(math.exp(x - top) for x in p)
             likelihood += n * (top + math.log(mass))
-            posterior_ = math.exp(p[1] - top) / mass
-            good += n * posterior_
+            of_good = math.exp(p[1] - top) / mass
+            good += n * of_good
             for rule, v in zip(sums, votes):
-                rule[v][0] += n * (1 - posterior_)
-                rule[v][1] += n * posterior_
-        settled = table is not None and abs(likelihood - before) < SETTLED * total
-        before = likelihood
-        share = (good + PRIOR_WEIGHT * PRIOR_GOOD * total + 0.8) / ((PRIOR_WEIGHT + bool(table)) * total + 1)
+                rule[v][0] += n * (1 - of_good)
+                rule[v][1] += n * of_good
+        share = (good + PRIOR_TEXTS * START_GOOD) / (total + PRIOR_TEXTS)
         table = []
-        for counts, n in zip(sums, cast):
-            believed = {v: PRIOR_WEIGHT * of_good[v] * n[v] + 0.5 for v in n}
-            doubted = {v: PRIOR_WEIGHT * (1 - of_good[v]) * n[v] + 0.5 for v in n}
-            held = {v: (c[0] + doubted[v], c[1] + believed[v]) for v, c in counts.items()}
+        for held in sums:
             whole = [sum(h[k] for h in held.values()) for k in (0, 1)]
             table.append({v: (h[0] / whole[0], h[1] / whole[1]) for v, h in held.items()})
-        if settled:
+        if abs(likelihood - before) <= SETTLED * total:
             break
+        before = likelihood
     return share, table
 
 
