@@ -116,3 +116,11 @@ def test_components(spark):
     linked = {x for a, b in links if a is not None and a != b for x in (a, b)}
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert found == {x: least[x] for x in linked}
+
+
+def test_no_text_of_an_id_with_several_is_lost(spark):
+    rng = random.Random(9)
+    a, b = prose(rng, 60), prose(rng, 60)
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (6, b), (7, a)], "doc_id bigint, text string")
+    rows = [(r.doc_id, r.text) for r in neardup.keep_first(docs).collect()]
+    assert sorted(rows) == sorted([(3, a), (5, a), (5, b)])

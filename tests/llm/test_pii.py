@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 
 import pytest
 from corpora import docs_frame, no_docs, odd_docs, prose
@@ -83,6 +84,49 @@ def test_gender_and_script():
         assert given in pii.NAMES[script, gender].split()
 
 
+def test_later_mentions_of_a_name(spark):
+    text = "Mr John Smith called. Smith left; John waved at Smith's dog, not at Smithers or JOHN. Then Mr. Smith-Lee came."
+    (out,) = (r.text for r in pii.replace(docs_frame(spark, [text]), SECRET, "n").collect())
+    words = out.split()
+    given, surname = words[1], words[2]
+    assert not re.search(r"\b(John|Smith|Lee)\b", out)
+    assert out.startswith(f"Mr {given} {surname} called. {surname} left; {given} waved at {surname}'s dog, not at Smithers or JOHN.")
+    assert given in pii.NAMES["latin", "m"].split()
+
+
+def test_gender_is_no_part_of_a_name(spark):
+    """One text names a person without gender, one with, one by the way; all are the same person."""
+    texts = ["Mrs Anna Berg and Dr Anna Berg met", "Dr Anna Berg spoke; Anna left", "Prof Anna Berg", "Frau Anna Berg", "Dr Kim Berg"]
+    out = [r.text for r in pii.replace(docs_frame(spark, texts), SECRET).orderBy("doc_id").collect()]
+    given = out[0].split()[1]
+    assert given in pii.NAMES["latin", "f"].split() and given != "Anna"
+    surname = out[0].split()[2]
+    assert out[:4] == [t.replace("Anna", given).replace("Berg", surname) for t in texts[:4]]
+    assert out[4].split()[1] != given and out[4].split()[2] == surname
+
+
+@pytest.mark.parametrize(
+    "text, script",
+    [
+        ("иван.петров@пример.рф", "CYRILLIC"),
+        ("Dr Ελένη Παπαδοπούλου", "GREEK"),
+        ("Госпожа Ольга Петрова", "CYRILLIC"),
+        ("password=σύνθημα99", "GREEK"),
+        ("token: סיסמהסודית", "HEBREW"),
+    ],
+)
+def test_letters_of_the_same_script(text, script):
+    spans = pii.find(text)
+    made = swapped(text)
+    assert spans and all(text[a:b] not in made for a, b, _ in spans)
+    letters = [c for a, b, _ in spans for c in text[a:b] if c.isalpha()]
+    assert all(unicodedata.name(c).startswith(script) for c in letters)
+    rest = made
+    for part in re.split("|".join(re.escape(text[a:b]) for a, b, _ in spans), text):
+        rest = rest.replace(part, " ", 1) if part else rest
+    assert all(unicodedata.name(c).startswith(script) for c in rest if c.isalpha())
+
+
 def test_same_entity_same_surrogate(spark):
     texts = ["JO@x.example.com wrote", "jo@x.example.com and 4111 1111 1111 1111", "4111-1111-1111-1111 or Mr. Smith, Mr. John Smith"]
     a, b, c = (r.text for r in pii.replace(docs_frame(spark, texts), SECRET).orderBy("doc_id").collect())
@@ -97,7 +141,7 @@ def test_collisions_are_resolved_everywhere(spark, monkeypatch):
     """A first attempt that gives all cards of a kind the same surrogate, or a real card."""
     rng = random.Random(2)
     cards = [f"4{rng.randrange(10**14):014d}{k}" for k in range(10)]
-    entities = spark.createDataFrame([("card", c) for c in cards], "kind string, entity string")
+    entities = spark.createDataFrame([("card", c, "") for c in cards], "kind string, entity string, gender string")
     plain = pii._surrogate
 
     def colliding(kind, key, draws, attempt):

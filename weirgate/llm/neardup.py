@@ -13,7 +13,9 @@ one of their first ``n - ceil(0.85 n) + 1`` in any fixed order), pairs within on
 bucket is capped and no link that could join two components is lost, save by the banding itself: at the
 threshold a pair misses all 25 bands with a probability below one in a million.
 
-Null and blank texts have no shingles and are linked with nothing. Repeated rows of one id are one document.
+Null and blank texts have no shingles and are linked with nothing. Repeated rows of one id are one document. An id
+with several texts has a row, and so a verdict, for each; ``keep_first`` keeps all its rows if one of them is kept, so
+that no text is lost. An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -231,5 +233,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that repeat one of a smaller id. Rows without doc_id stay."""
-    repeats = stage(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "repeats")
+    kept = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    repeats = stage(kept.where(~F.col("kept")).select("doc_id"), "repeats")
     return docs.join(repeats, "doc_id", "left_anti").select(docs.columns)

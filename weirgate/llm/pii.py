@@ -5,14 +5,19 @@ secrets (values named as such, access keys, long hexadecimal tokens) and names a
 Every entity is reduced to a key (lower case, or digits only; a name word by word), and the surrogate of a key
 depends on nothing but a secret, the type, the key and a number of attempts: the same entity gets the same
 surrogate in every document, however it is written. A surrogate has the type, lengths, separators, case and
-script of what it stands for, cards keep a valid check digit, given names keep the gender of the form of
-address.
+script of what it stands for, cards keep a valid check digit. Given names have the gender that most texts of the
+corpus which name them with a form of address give them, if any does; a text's own form of address does not make it
+another name.
+
+A name found after a form of address is replaced wherever the same text has it as a whole word again, with or without
+a form of address. Names that no form of address precedes anywhere in a text are not found.
 
 Two entities may not share a surrogate and no surrogate may be an entity of the corpus. Spark looks for such
 collisions over all distinct entities; the losers try again until none is left. Texts with an entity that
 needed another attempt get their attempts by a join on the text's hash; all others need no join at all.
 
-Null texts stay null. Text without entities is left as it is. A secret or an address without any letter or digit to
+Null texts stay null. Text without entities is left as it is. Repeated rows are replaced alike. An empty table gives
+no rows. Very long texts are read whole. Where genders tie, the key decides. A secret or an address without any letter or digit to
 replace, such as a masked one, is no entity.
 """
 
@@ -44,13 +49,20 @@ NAMES = {
     ("latin", "s"): "Abel Berg Castell Dorn Ebner Falk Garten Hold Imhof Janke Kern Lund Moser Nolte Orth Perl Rast Sommer Thal Wald",
     ("cyrillic", "f"): "Алла Вера Галина Дина Елена Жанна Зоя Инна Кира Лида Мария Нина Ольга Раиса Софья Тамара",
     ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис Егор Захар Иван Кирилл Лев Максим Никита Олег Павел Роман Степан",
+    ("greek", "f"): "Αγνή Δάφνη Ελένη Ζωή Ηλέκτρα Θάλεια Ιόλη Κλειώ Λυδία Μυρτώ Νίκη Ξένια Όλγα Ρέα Φαίδρα Χλόη",
+    ("greek", "m"): "Άρης Βίκτωρ Γιάννης Δήμος Ερμής Ζήνων Ηλίας Θωμάς Κίμων Λέων Μάριος Νίκος Ορέστης Πέτρος Σπύρος Φώτης",
+    ("greek", "s"): "Αγγελής Βλάχος Γαλάνης Δούκας Ζέρβας Θάνος Κάππας Λάσκαρης Μάρκου Νάκος Πάλλης Ράλλης Σάββας Τζίμας",
     ("cyrillic", "s"): "Агапов Белов Волков Громов Дроздов Ежов Жуков Зимин Исаев Котов Лапин Мохов Носов Орлов Попов Рогов",
 }
 SYLLABLES = {
     "latin": "ba be bi bo da de di do fa fe fi ga go ka ke ki ko la le li lo ma me mi mo na ne ni no ra re ri ro sa se si so ta te ti to va ve vi",
+    "greek": "βα βε γα γο δα δε ζα ζω θα θε κα κο λα λε μα με να νο πα πε ρα ρο σα σε τα το φα φε",
     "cyrillic": "ба бе би бо ва ве ви га го да де ди за зо ка ки ко ла ле ли ма ми мо на не ни ра ре ри са се си та те ти",
 }
 
+#: First and last small letter of alphabets whose letters are replaced by their own.
+ALPHABETS = {"greek": "αω", "cyrillic": "ая", "armenian": "աֆ", "georgian": "აჰ", "hebrew": "את", "arabic": "بي", "devanagari": "अह", "kana": "あん", "hangul": "가힣", "han": "一龥"}
+
 _TITLE = "|".join(sorted(FEMALE_TITLES + MALE_TITLES + OPEN_TITLES, key=len, reverse=True))
 _NAME = re.compile(rf"(?<!\w)({_TITLE})\.?[  ]((?:[^\W\d_a-z][\w'’-]+)(?:[  ][^\W\d_a-z][\w'’-]+){{0,2}})")
 _LOCAL = re.compile(r"[\w.+%-]{1,64}$")
@@ -112,12 +124,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
                         found.append((place, place + len(part), kind))
                     place += len(part) + 1
     if _any(text, FEMALE_TITLES + MALE_TITLES + OPEN_TITLES):
-        for m in _NAME.finditer(text):
-            words = list(_WORD.finditer(text, *m.span(2)))
-            gender = "f" if m.group(1) in FEMALE_TITLES else "m" if m.group(1) in MALE_TITLES else "x"
-            for k, w in enumerate(words):
-                kind = "surname" if k == len(words) - 1 else f"given_{gender}"
-                found.append((*w.span(), kind))
+        found += _names(text)
     out, end = [], 0
     order = {k: i for i, k in enumerate(("email", "secret", "iban", "ip", "ssn", "phone", "card"))}
     for span in sorted(found, key=lambda s: (s[0], order.get(s[2], 9), -s[1])):
@@ -127,6 +134,34 @@ def find(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _names(text: str) -> list[tuple[int, int, str]]:
+    """Names after a form of address, and their words wherever else they stand; one gender for each given name."""
+    first: list[tuple[int, int, str]] = []
+    genders: dict[str, str] = {}
+    for m in _NAME.finditer(text):
+        words = list(_WORD.finditer(text, *m.span(2)))
+        gender = "f" if m.group(1) in FEMALE_TITLES else "m" if m.group(1) in MALE_TITLES else "x"
+        for k, w in enumerate(words):
+            first.append((*w.span(), "surname" if k == len(words) - 1 else "given"))
+            if k < len(words) - 1 and genders.get(w.group().lower(), "x") == "x":
+                genders[w.group().lower()] = gender
+    kinds: dict[str, str] = {}
+    for a, b, kind in first:
+        if b - a > 1:
+            kinds.setdefault(text[a:b], kind)
+    taken = {a for a, _, _ in first}
+    if kinds:
+        again = (m for m in _WORD.finditer(text) if m.start() not in taken)
+        for m in again:
+            if m.group() in kinds:
+                first.append((*m.span(), kinds[m.group()]))
+            elif "-" in m.group() or "'" in m.group() or "’" in m.group():  # a possessive, or joined to another word
+                for part in re.finditer(r"\w+", m.group()):
+                    if part.group() in kinds:
+                        first.append((m.start() + part.start(), m.start() + part.end(), kinds[part.group()]))
+    return [(a, b, f"given_{genders.get(text[a:b].lower(), 'x')}" if kind == "given" else kind) for a, b, kind in first]
+
+
 def _any(text: str, parts: tuple[str, ...]) -> bool:
     return any(p in text for p in parts)
 
@@ -178,7 +213,10 @@ def _like(text: str, draws: Draws) -> str:
         elif c.isdigit():
             out.append("0123456789"[draws.below(10)])
         elif c.isalpha():
-            made = "abcdefghijklmnopqrstuvwxyz"[draws.below(26)]
+            low, high = ALPHABETS.get(_script(c), "az")
+            made = chr(ord(low) + draws.below(ord(high) - ord(low) + 1))
+            while not made.isalpha() or made == "ς":
+                made = chr(ord(low) + draws.below(ord(high) - ord(low) + 1))
             out.append(made.upper() if c.isupper() else made)
         else:
             out.append(c)
@@ -186,7 +224,31 @@ def _like(text: str, draws: Draws) -> str:
 
 
 def _script(word: str) -> str:
-    return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "latin"
+    """The script of the first letter that is of one of ``ALPHABETS``; else latin."""
+    if word.isascii():
+        return "latin"
+    for c in word:
+        for block, script in _BLOCKS:
+            if ord(c) < block:
+                break
+            if ord(c) <= block + script[1]:
+                return script[0]
+    return "latin"
+
+
+# First code point of a script's block, its name, and the length of the block.
+_BLOCKS = (
+    (0x0370, ("greek", 0x8F)),
+    (0x0400, ("cyrillic", 0x12F)),
+    (0x0530, ("armenian", 0x5F)),
+    (0x0590, ("hebrew", 0x6F)),
+    (0x0600, ("arabic", 0xFF)),
+    (0x0900, ("devanagari", 0x7F)),
+    (0x10D0, ("georgian", 0x2F)),
+    (0x3040, ("kana", 0xBF)),
+    (0x4E00, ("han", 0x51FF)),
+    (0xAC00, ("hangul", 0x2BAF)),
+)
 
 
 def surrogate(kind: str, key: str, attempt: int, secret: bytes) -> str:
@@ -223,6 +285,8 @@ def _surrogate(kind: str, key: str, draws: Draws, attempt: int) -> str:
         start = _kept(key)
         return key[:start] + _like(key[start:], draws)
     script = _script(key)
+    if script not in SYLLABLES:
+        return _like(key, draws)
     names = NAMES[script, "s" if kind == "surname" else {"f": "f", "m": "m", "x": "fm"[draws.below(2)]}[kind[-1]]].split()
     made = names[draws.below(len(names))].lower()
     syllables = SYLLABLES[script].split()
@@ -256,22 +320,36 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(0).to_pylist():
             if text and (spans := find(text)):
                 key = _text_hash(text)
-                rows.update((key, kind, key_of(kind, text[a:b])) for a, b, kind in spans)
-        columns = list(zip(*rows)) or [[]] * 3
-        kinds = (pa.int64(), pa.string(), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["text_hash", "kind", "entity"])
+                for a, b, kind in spans:
+                    base, _, gender = kind.partition("_")
+                    rows.add((key, base, key_of(kind, text[a:b]), gender))
+        columns = list(zip(*rows)) or [[]] * 4
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.string())
+        names = ["text_hash", "kind", "entity", "gender"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+
+
+def gendered(mentions: DataFrame) -> DataFrame:
+    """kind, entity, gender of each distinct entity: that of most mentions, ``x`` where they tie, empty for no name."""
+    side = F.sum(F.when(F.col("gender") == "f", 1).when(F.col("gender") == "m", -1).otherwise(0))
+    gender = F.when(F.max("gender") == "", "").when(side > 0, "f").when(side < 0, "m").otherwise("x")
+    return mentions.groupBy("kind", "entity").agg(gender.alias("gender"))
 
 
 def assign(entities: DataFrame, secret: bytes) -> DataFrame:
-    """kind, entity, attempt, made: a surrogate for each distinct (kind, entity), all different and no entity."""
+    """kind, entity, gender, attempt, made: a surrogate for each (kind, entity), all different and no entity.
+
+    ``entities`` (kind, entity, gender) are distinct in kind and entity."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            kind, entity, attempt = (c.to_pylist() for c in batch.columns)
-            made = [surrogate(*x, secret) for x in zip(kind, entity, attempt)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["kind", "entity", "attempt", "made"])
+            kind, entity, gender, attempt = (c.to_pylist() for c in batch.columns)
+            made = [surrogate(f"{k}_{g}" if g else k, e, n, secret) for k, e, g, n in zip(kind, entity, gender, attempt)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(made, pa.string())], ["kind", "entity", "gender", "attempt", "made"]
+            )
 
-    schema = "kind string, entity string, attempt int, made string"
+    schema = "kind string, entity string, gender string, attempt int, made string"
     known = stage(entities.withColumn("attempt", F.lit(0)).mapInArrow(make, schema), "surrogates")
     real = known.select("kind", F.col("entity").alias("made"))
     for _ in range(MOST_ATTEMPTS):
@@ -286,7 +364,9 @@ def assign(entities: DataFrame, secret: bytes) -> DataFrame:
         if again.isEmpty():
             return known
         kept = known.join(again, ["kind", "entity"], "left_anti")
-        retried = known.join(again, ["kind", "entity"], "left_semi").select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
+        retried = known.join(again, ["kind", "entity"], "left_semi").select(
+            "kind", "entity", "gender", (F.col("attempt") + 1).alias("attempt")
+        )
         known = stage(kept.union(retried.mapInArrow(make, schema)), "surrogates")
     raise RuntimeError(f"surrogates still collide after {MOST_ATTEMPTS} attempts")
 
@@ -298,15 +378,17 @@ def replace(docs: DataFrame, secret: bytes, count_column: str | None = None) ->
     """
     if count_column:
         docs = docs.drop(count_column)
-    mentions = stage(docs.select(F.col("text").cast("string")).mapInArrow(_mentions, "text_hash bigint, kind string, entity string"), "mentions")
-    surrogates = assign(mentions.select("kind", "entity").distinct(), secret)
-    later = surrogates.where("attempt > 0")
+    mentions = stage(docs.select(F.col("text").cast("string")).mapInArrow(_mentions, "text_hash bigint, kind string, entity string, gender string"), "mentions")
+    surrogates = assign(gendered(mentions), secret)
+    # Mentions for which the text itself does not tell the surrogate.
+    whole = surrogates.select("kind", "entity", F.col("gender").alias("agreed"), "attempt", "made")
+    later = stage(mentions.join(whole, ["kind", "entity"]).where("attempt > 0 or gender <> agreed"), "later")
     apart = free_name(docs, "later")
     if later.isEmpty():
         joined = docs.withColumn(apart, F.lit(None).cast("array<struct<kind:string,entity:string,made:string>>"))
     else:
         hashed = free_name(docs, "text_hash")
-        by_text = mentions.join(later, ["kind", "entity"]).groupBy(F.col("text_hash").alias(hashed)).agg(
+        by_text = later.groupBy(F.col("text_hash").alias(hashed)).agg(
             F.collect_set(F.struct("kind", "entity", "made")).alias(apart)
         )
         joined = docs.withColumn(hashed, _hash_column("text")).join(by_text, hashed, "left").select(*docs.columns, apart)
@@ -323,7 +405,7 @@ def replace(docs: DataFrame, secret: bytes, count_column: str | None = None) ->
                     parts, end = [], 0
                     for a, b, kind in spans:
                         key = key_of(kind, text[a:b])
-                        made = special.get((kind, key)) or surrogate(kind, key, 0, secret)
+                        made = special.get((kind.partition("_")[0], key)) or surrogate(kind, key, 0, secret)
                         parts += [text[end:a], render(kind, text[a:b], made)]
                         end = b
                     text = "".join([*parts, text[end:]])
