@@ -4,14 +4,16 @@ A list is a log: at a time an entry (list, pattern) is added or removed. Entries
 addition to the next change of the same entry. A capture is matched by its host and every parent domain, by
 every directory of its path, and by its whole address; it is judged by the entries active when it was fetched.
 
-The as-of join splits time into slices. Within (list, pattern, slice) captures and interval starts lie in one
-window, where the last start before a capture is its candidate. What is active when a slice begins is carried over
-from earlier slices, and that table has at most one row per entry and slice, whatever the number of captures or
-changes. So a host with a third of all captures is spread over as many tasks as there are slices. Patterns that
-no list holds are dropped before anything else.
+The as-of join splits time into slices. The intervals that a slice sees are those that begin in it, and for each
+entry the one that is carried over from earlier slices, of which there is at most one per entry and slice. Captures
+join them by pattern and slice, and times decide. No window holds captures: a host with a third of them, all fetched
+within one slice, is one key of a join, which adaptive execution splits, and the other side of that key is as small as
+the changes of its entries in one slice. Patterns that no list holds are dropped before anything else.
 
 Of changes to one entry at the same time the last by ``number`` counts. Entries without list, pattern, time or with
-an unknown action, and captures without time or address, match nothing; captures stay as ``unlisted``.
+an unknown action, and captures without time or address, match nothing; captures stay as ``unlisted``. Rows that repeat
+an id share a verdict; repeated changes count once. Empty tables on either side are allowed, and other columns,
+whatever their names, are not read. Long addresses are matched whole.
 """
 
 from __future__ import annotations
@@ -77,24 +79,24 @@ def validity_intervals(entries: DataFrame, slice_seconds: int = SLICE_SECONDS) -
 def active_entries(captures: DataFrame, intervals: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """id, list, pattern, valid_from of each entry active at a capture (id, url, time)."""
     keys = captures.where("time is not null").select("id", "time", F.explode(patterns_of(F.col("url"))).alias("pattern"))
-    asked = keys.join(intervals.select(*ENTRY).distinct(), "pattern").withColumn("slice", _slice(F.col("time"), slice_seconds))
+    entries = intervals.select(*ENTRY).distinct()
+    listed = keys.join(entries.select("pattern").distinct(), "pattern", "left_semi")
+    asked = listed.withColumn("slice", _slice(F.col("time"), slice_seconds))
     starts = intervals.withColumn("slice", _slice(F.col("valid_from"), slice_seconds))
 
     # One row per entry and slice that has captures or starts; what the slice begins with comes from those before.
     interval = F.struct("valid_from", "valid_to")
     ends = starts.groupBy(*ENTRY, "slice").agg(F.max(interval).alias("last"))
-    touched = asked.select(*ENTRY, "slice").distinct().join(ends, [*ENTRY, "slice"], "full")
+    visited = asked.select("pattern", "slice").distinct().join(entries, "pattern").select(*ENTRY, "slice")
+    touched = visited.join(ends, [*ENTRY, "slice"], "full")
     before = Window.partitionBy(*ENTRY).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = touched.select(*ENTRY, "slice", F.last("last", ignorenulls=True).over(before).alias("carried"))
-
-    no_id = F.lit(None).cast(captures.schema["id"].dataType)
-    rows = asked.select(*ENTRY, "slice", "time", F.lit(1).alias("late"), "id", F.lit(None).cast("struct<valid_from:bigint,valid_to:bigint>").alias("it"))
-    events = starts.select(*ENTRY, "slice", F.col("valid_from").alias("time"), F.lit(0).alias("late"), no_id.alias("id"), interval.alias("it"))
-    within = Window.partitionBy(*ENTRY, "slice").orderBy("time", "late").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = rows.union(events).withColumn("it", F.last("it", ignorenulls=True).over(within)).where("late = 1")
-    met = seen.join(carried, [*ENTRY, "slice"], "left").withColumn("it", F.coalesce("it", "carried"))
-    active = met.where("it is not null and (it.valid_to is null or time < it.valid_to)")
-    return active.select("id", *ENTRY, F.col("it.valid_from").alias("valid_from"))
+    carried = touched.select(*ENTRY, "slice", F.last("last", ignorenulls=True).over(before).alias("it")).where("it is not null")
+    live = starts.select(*ENTRY, "slice", "valid_from", "valid_to").union(
+        carried.select(*ENTRY, "slice", "it.valid_from", "it.valid_to")
+    )
+    met = asked.join(live, ["pattern", "slice"])
+    active = met.where("time >= valid_from and (valid_to is null or time < valid_to)")
+    return active.select("id", *ENTRY, "valid_from")
 
 
 def judge(captures: DataFrame, entries: DataFrame, allow_lists: tuple[str, ...] = ("allow",)) -> DataFrame:
