@@ -76,3 +76,15 @@ def test_output_is_in_reply_order(spark):
     rows = [(f"m{i}", "l", i, (f"> text {i - 2}\n" if i > 1 else "") + f"text {i}") for i in range(30)]
     out = quotes.conversations(spark.createDataFrame(rows, MESSAGES)).select("conversation_id", "depth").collect()
     assert out == sorted(out)
+
+
+def test_repeated_and_nameless_messages_and_extra_columns(spark):
+    schema = "id string, scope string, sent bigint, body string, level int, lines string, own string, root string, p int"
+    rows = [
+        ("a", "s", 2, "later text of a"), ("a", "s", 1, "first words here"), ("a", "s", 1, "zzz other words"),
+        ("b", "s", 3, "> first words here\n\nreply to a"), (None, "s", 0, "first words here"), (None, "s", 0, "first words here"),
+    ]
+    out = quotes.conversations(spark.createDataFrame([(*r, 1, "l", "o", "r", 2) for r in rows], schema)).collect()
+    said = sorted((r.id or "", r.conversation_id or "", r.depth, r.parent or "", r.text) for r in out)
+    nameless = ("", "", 0, "", "first words here")
+    assert said == [nameless, nameless, ("a", "a", 0, "", "first words here"), ("b", "a", 1, "a", "reply to a")]

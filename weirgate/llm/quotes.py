@@ -11,7 +11,10 @@ Roots and depths come from pointer jumping, whose rounds grow with the logarithm
 to the shared folder. Output is ordered by conversation, depth and time, over many partitions.
 
 Messages without text have no passages and stay single; so do those whose time is null, as nothing is known to
-be earlier. Rows that repeat an id are taken once. Quotes that match nothing link nothing, and are still removed.
+be earlier. Of rows that repeat an id the one least by time, scope and body is taken (nulls first). Messages without
+id are kept one by one, each a conversation of its own without id, and are nobody's origin. Quotes that match nothing
+link nothing, and are still removed. Of equal times and ids nothing is earlier. Empty tables give no rows; other columns,
+whatever their names, are not read, and very long messages are parsed whole.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from weirgate.llm.common import stage
 
 MOST_ROUNDS = 60
-_MARKS = "^((?:[ \\t]{0,3}>)*)[ \\t]?(.*)$"
+_MARKS = "^(?:[ \\t]{0,3}>)+"
 
 
 def _normal(text: Column) -> Column:
@@ -33,31 +36,36 @@ def _normal(text: Column) -> Column:
 
 def parse(messages: DataFrame) -> DataFrame:
     """id, scope, sent, own (text without quotes) and passages: level, hash and size of each normalised run and line."""
-    lines = F.transform(
-        F.split(F.replace(F.coalesce("body", F.lit("")), F.lit("\r"), F.lit("")), "\n"),
-        lambda x: F.struct(
-            F.length(F.regexp_replace(F.regexp_extract(x, _MARKS, 1), "[^>]", "")).alias("level"),
-            F.regexp_extract(x, _MARKS, 2).alias("text"),
-        ),
+    unmarked = F.split(F.replace(F.coalesce("body", F.lit("")), F.lit("\r"), F.lit("")), "\n")
+    marked = F.transform(
+        unmarked,
+        lambda x: F.struct(F.when(F.contains(x, F.lit(">")), F.regexp_extract(x, _MARKS, 0)).otherwise("").alias("marks"), x.alias("line")),
     )
+    # One blank after the marks belongs to them.
+    lines = """transform(marked, x -> struct(
+        length(x.marks) - length(replace(x.marks, '>', '')) AS level,
+        substring(x.line, length(x.marks) + if(substring(x.line, length(x.marks) + 1, 1) IN (' ', '\t'), 2, 1)) AS text))"""
+    # A run's normal form is that of its lines, those without any letter or digit left out.
+    normal = F.transform("lines", lambda x: F.struct(x["level"].alias("level"), _normal(x["text"]).alias("text")))
     begun = "filter(sequence(0, size(lines) - 1), i -> i = 0 OR get(lines, i).level <> get(lines, i - 1).level)"
-    runs = """transform(starts, (s, k) -> struct(get(lines, s).level AS level,
-        array_join(transform(slice(lines, s + 1, coalesce(get(starts, k + 1), size(lines)) - s), x -> x.text), '\n') AS text))"""
-    parsed = messages.withColumn("lines", lines).withColumn("starts", F.expr(begun)).withColumn("runs", F.expr(runs))
-    own = F.array_join(F.transform(F.filter("runs", lambda r: r["level"] == 0), lambda r: F.btrim(r["text"], F.lit(" \t\n"))), "\n")
-    both = F.concat("runs", "lines")
-    normal = F.transform(both, lambda p: F.struct(p["level"].alias("level"), _normal(p["text"]).alias("text")))
+    runs = """transform(starts, (s, k) -> struct(get(lines, s).level AS level, array_join(
+        filter(transform(slice(normal, s + 1, coalesce(get(starts, k + 1), size(lines)) - s), x -> x.text), t -> t <> ''), ' ') AS text))"""
+    own = """array_join(transform(filter(sequence(0, size(starts) - 1), k -> get(lines, get(starts, k)).level = 0),
+        k -> btrim(array_join(transform(slice(lines, get(starts, k) + 1, coalesce(get(starts, k + 1), size(lines)) - get(starts, k)),
+            x -> x.text), '\n'), ' \t\n')), '\n')"""
+    parsed = messages.withColumn("marked", marked).withColumn("lines", F.expr(lines)).withColumn("normal", normal)
+    parsed = parsed.withColumn("starts", F.expr(begun)).withColumn("runs", F.expr(runs)).withColumn("own", F.expr(own))
     hashed = F.transform(
-        F.filter(normal, lambda p: p["text"] != ""),
+        F.filter(F.concat("runs", "normal"), lambda p: p["text"] != ""),
         lambda p: F.struct(p["level"].alias("level"), F.md5(p["text"]).alias("hash"), F.length(p["text"]).alias("size")),
     )
     passages = F.array_distinct(hashed)
-    return parsed.select("id", "scope", "sent", F.btrim(own, F.lit(" \t\n")).alias("own"), passages.alias("passages"))
+    return parsed.select("id", "scope", "sent", F.btrim("own", F.lit(" \t\n")).alias("own"), passages.alias("passages"))
 
 
 def link(parsed: DataFrame) -> DataFrame:
     """id, parent of the messages with a known parent."""
-    passages = parsed.where("sent is not null").select("id", "scope", "sent", F.explode("passages").alias("p")).select(
+    passages = parsed.where("id is not null and sent is not null").select("id", "scope", "sent", F.explode("passages").alias("p")).select(
         "id", "scope", "sent", "p.level", "p.hash", "p.size"
     )
     origins = passages.where("level = 0").groupBy("scope", "hash").agg(F.min(F.struct("sent", "id")).alias("origin"))
@@ -103,8 +111,10 @@ def conversations(messages: DataFrame) -> DataFrame:
 
     ``scope`` limits where quotes are looked up, a list or a mailbox; null is a scope of its own.
     """
-    once = messages.where("id is not null").dropDuplicates(["id"]).select("id", "scope", "sent", "body")
-    parsed = stage(parse(once), "parsed")
+    wanted = messages.select("id", "scope", "sent", "body")
+    first = F.min(F.struct("sent", "scope", "body")).alias("first")
+    once = wanted.where("id is not null").groupBy("id").agg(first).select("id", "first.scope", "first.sent", "first.body")
+    parsed = stage(parse(once.unionByName(wanted.where("id is null"))), "parsed")
     links = stage(link(parsed), "links")
     placed = parsed.select("id", "sent", F.col("own").alias("text")).join(links, "id", "left").join(roots(links), "id", "left")
     out = placed.select(
@@ -123,11 +133,11 @@ def quoting_replies(conversations_: DataFrame) -> DataFrame:
     """The turns of a conversation table as messages in which every turn quotes the one before, and the one before that.
 
     A turn whose predecessor is missing quotes nothing. Turns meet by equality joins, so a long conversation is
-    not gathered anywhere.
+    not gathered anywhere. Turns without conversation or number have no place and are left out; of several texts
+    of one turn the least is taken, null as empty.
     """
-    turns = conversations_.where("conv_id is not null and turn is not null").dropDuplicates(["conv_id", "turn"]).select(
-        "conv_id", "turn", F.coalesce("text", F.lit("")).alias("text")
-    )
+    placed = conversations_.where("conv_id is not null and turn is not null")
+    turns = placed.groupBy("conv_id", "turn").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
     def before(k: int) -> DataFrame:
         return turns.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("text").alias(f"text_{k}"))
