@@ -49,7 +49,7 @@ def test_never_later_and_odd_rows(spark):
         ("h", None, 10, "> later words\n" + "long text " * 30_000),
     ]
     found = linked(spark, rows)
-    assert {k: v[2] for k, v in found.items()} == {"a": None, "b": None, "c": None, "d": None, "e": None, "f": None, "g": "b", "h": "b"}
+    assert {k: v[2] for k, v in found.items()} == {"a": None, "b": None, "c": None, "d": None, "e": None, "f": None, "g": "b", "h": "b", None: None}
     assert found["c"][3] == "no time" and found["d"][3] == "" and found["f"][3] == ""
     assert linked(spark, []) == {}
 
