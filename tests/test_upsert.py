@@ -217,3 +217,16 @@ def test_hot_key_is_split(spark, shuffled_joins, with_conf, tmp_path):
     fresh.collect()
     assert "SortMergeJoin(skew=true)" in fresh._jdf.queryExecution().executedPlan().toString()
     assert fresh.count() == 60_000 - sum(k % 3 != 0 for k in range(1000, 2000))
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_known_keys_that_repeat(spark, table, staging, distinct):
+    """Taking each known key once changes the plan, not the rows; a hot NULL key is the case for it."""
+    hot = [("2024-01-05", None, k) for k in range(200)]
+    insert_new(spark, batch(spark, JAN, *hot), table, staging, "b1", distinct_known=distinct)
+    rows = batch(spark, JAN, ("2024-01-05", None, 999), ("2024-01-05", 2, 5))
+    safe = insert_new(spark, rows, table, staging, "b2", null_safe_keys=True, distinct_known=distinct)
+    assert [tuple(r) for r in safe.staged.collect()] == [("2024-01-05", 2, 5)]
+    known = known_rows(spark, table, rows.schema, batch_months(with_month(rows, table), table), ["b3"])
+    plan = new_rows(with_month(rows, table), known, KEYS, True, distinct)._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Aggregate" in plan) == distinct

@@ -56,9 +56,15 @@ class Inserted:
     months: Sequence[date | None]
 
 
-def new_rows(batch: DataFrame, known: DataFrame, keys: Sequence[str], null_safe_keys: bool = False) -> DataFrame:
-    """Rows of the batch whose key is not in ``known``. A key with a NULL is always new unless ``null_safe_keys``."""
-    return anti_join_dimension(batch, keys, known, keys, null_safe_keys)
+def new_rows(
+    batch: DataFrame, known: DataFrame, keys: Sequence[str], null_safe_keys: bool = False, distinct_known: bool = False
+) -> DataFrame:
+    """Rows of the batch whose key is not in ``known``. A key with a NULL is always new unless ``null_safe_keys``.
+
+    ``distinct_known`` takes each known key once, at the price of another shuffle: for tables where one key, such as
+    that of NULLs, is repeated so often that its copies fill a partition. The result is the same.
+    """
+    return anti_join_dimension(batch, keys, known, keys, null_safe_keys, distinct_known)
 
 
 def check_batch_id(batch_id: str) -> str:
@@ -125,9 +131,9 @@ def known_rows(
     return known.where(found | F.col(PART_MONTH).isNull() if None in months else found)
 
 
-def _unseen(placed: DataFrame, known: DataFrame, keys: Sequence[str], null_safe_keys: bool) -> DataFrame:
+def _unseen(placed: DataFrame, known: DataFrame, keys: Sequence[str], null_safe_keys: bool, distinct_known: bool) -> DataFrame:
     """No join, and so no shuffle of the batch, where the table has nothing in its months yet."""
-    return placed if known.isEmpty() else new_rows(placed, known, keys, null_safe_keys)
+    return placed if known.isEmpty() else new_rows(placed, known, keys, null_safe_keys, distinct_known)
 
 
 def _clustered(df: DataFrame, table: KeyedTable) -> DataFrame:
@@ -154,11 +160,13 @@ def stage_new(
     *,
     null_safe_keys: bool = False,
     key_order: Sequence[Column] | None = None,
+    distinct_known: bool = False,
 ) -> Inserted:
     """Write the batch's unseen rows to its staging folder and read them back.
 
     Only the key columns of the batch's own months are read from the table. ``key_order`` keeps one row
-    per key within the batch; without it, rows that share a new key are all new. The batch is read twice, for
+    per key within the batch; without it, rows that share a new key are all new. ``distinct_known`` is that of
+    :func:`new_rows`. The batch is read twice, for
     its months and for the write, so hand in a stored one.
     """
     check_batch_id(batch_id)
@@ -171,7 +179,7 @@ def stage_new(
     known = known_rows(spark, table, batch.schema, months, [batch_id])
     if key_order is not None:
         placed = one_per_key(placed, table.keys, key_order, null_safe_keys)
-    fresh = _unseen(placed, known, table.keys, null_safe_keys)
+    fresh = _unseen(placed, known, table.keys, null_safe_keys, distinct_known)
     n_new = write_batch(_clustered(fresh, table), staging_path, batch_id, table.fmt)
     return Inserted(read_batch(spark, staging_path, batch_id, placed.schema, n_new, table.fmt), n_new, months)
 
@@ -191,13 +199,14 @@ def insert_new(
     *,
     null_safe_keys: bool = False,
     key_order: Sequence[Column] | None = None,
+    distinct_known: bool = False,
 ) -> Inserted:
     """Insert the batch's unseen keys: staging first, then the table from staging.
 
     A table that does not exist yet takes the whole batch. Rows already there are never changed.
     """
     new = stage_new(
-        spark, batch, table, staging_path, batch_id, null_safe_keys=null_safe_keys, key_order=key_order
+        spark, batch, table, staging_path, batch_id, null_safe_keys=null_safe_keys, key_order=key_order, distinct_known=distinct_known
     )
     if new.n_new:
         append_staged(new.staged, table, batch_id)
@@ -210,6 +219,7 @@ def merge_batches(
     table: KeyedTable,
     batch_ids: Sequence[str] | DataFrame,
     null_safe_keys: bool = False,
+    distinct_known: bool = False,
 ) -> int:
     """Insert the unseen keys of several staged batches at once; ``staged`` carries their batch ids.
 
@@ -220,5 +230,5 @@ def merge_batches(
     create_keyed_table(spark, table, schema)
     months = batch_months(placed, table)
     known = known_rows(spark, table, schema, months, batch_ids)
-    fresh = _unseen(placed, known, table.keys, null_safe_keys)
+    fresh = _unseen(placed, known, table.keys, null_safe_keys, distinct_known)
     return write_parts(_clustered(fresh, table), table.path, table.partitions, table.fmt)

@@ -87,6 +87,7 @@ def load_batch(
     on_reject: Literal["raise", "record"] = "raise",
     null_safe_keys: bool = False,
     key_order: Sequence[Column] | None = None,
+    distinct_known: bool = False,
     progress: Callable[[str], None] = lambda step: None,
 ) -> BatchOutcome:
     """One batch through gate, then quarantine or insert.
@@ -120,7 +121,10 @@ def load_batch(
             raise BatchRejected(outcome)
         return outcome
     rows, table = batch.drop(CHECKS), places.silver_table(feed)
-    new = stage_new(spark, rows, table, places.staging, batch_id, null_safe_keys=null_safe_keys, key_order=key_order)
+    new = stage_new(
+        spark, rows, table, places.staging, batch_id,
+        null_safe_keys=null_safe_keys, key_order=key_order, distinct_known=distinct_known,
+    )
     months = [datetime(m.year, m.month, 1) if m else None for m in new.months]
     record(spark, places.status, "silver", batch_id, STAGED, new.n_new, months, begun)
     progress("staged")

@@ -41,7 +41,13 @@ def waiting_rows(spark: SparkSession, feed: Feed, places: Places, batch_ids: Seq
 
 
 def merge_warehouse(
-    spark: SparkSession, feed: Feed, places: Places, null_safe_keys: bool = False, wave: int = WAVE, retire: bool = False
+    spark: SparkSession,
+    feed: Feed,
+    places: Places,
+    null_safe_keys: bool = False,
+    wave: int = WAVE,
+    retire: bool = False,
+    distinct_known: bool = False,
 ) -> int:
     """Merge every unmerged batch; gives the number of rows inserted.
 
@@ -58,7 +64,7 @@ def merge_warehouse(
         filled = [row[BATCH_ID] for row in waiting if row["n_rows"]]
         if filled:
             projected = warehouse_projection(waiting_rows(spark, feed, places, filled), feed.time_column, types)
-            inserted += merge_batches(spark, projected, table, filled, null_safe_keys)
+            inserted += merge_batches(spark, projected, table, filled, null_safe_keys, distinct_known)
         at = now()
         merged = [
             {"month": None, "state": "merged", "n_rows": row["n_rows"], "at": at, "stage": "warehouse", BATCH_ID: row[BATCH_ID]}
