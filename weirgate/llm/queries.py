@@ -18,7 +18,7 @@ SURROGATE_KEY = b"weirgate public test key"
 
 
 def op1_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Models from remainders 0 and 1, calibrated on remainder 3; remainder 2 is held out."""
+    """Calibrated on some texts of remainder 3, taught by all others; remainder 2 is held out."""
     docs = table(spark, sf_dir, "documents")
     remainder = fold(F.col("doc_id"))
     models = langid.train(docs.where(remainder != HELD_OUT), remainder < HELD_OUT)
