@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -95,6 +96,27 @@ def test_table_equals_the_kernel_expansion():
     assert np.allclose(toxicity.Pieces.of(words[:4]).self_kernel(), kernel.diagonal())
 
 
+def plain_kernel(one, other):
+    """Gapped subsequences of three of the bordered words: products of their decays where the letters agree."""
+
+    def triples(word):
+        bordered = f"^{word}^"
+        for p, q, r in itertools.combinations(range(len(bordered)), 3):
+            if r - p < toxicity.SPAN:
+                yield bordered[p] + bordered[q] + bordered[r], toxicity.DECAY ** (r - p + 1)
+
+    norm = [sum(w**2 for _, w in triples(word)) for word in (one, other)]
+    agreed = sum(v * w for s, v in triples(one) for t, w in triples(other) if s == t)
+    return agreed / np.sqrt(norm[0] * norm[1])
+
+
+def test_kernel_against_plain_subsequences():
+    words = ["stupid", "stuxpid", "moron", "aa", "banana", "tolerance"]
+    for one in words:
+        found = toxicity.Pieces.of(words).scores(toxicity.triple_table(one))
+        assert np.allclose(found, [plain_kernel(one, other) for other in words])
+
+
 def test_long_words_keep_all_triples():
     word_ = "ab" * 60 + "stupid" + "cd" * 60
     assert toxicity.Pieces.of([word_]).scores(toxicity.triple_table("stupid"))[0] > 0
