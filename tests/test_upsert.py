@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from weirgate.operators.dedup import dedup_keys
 from weirgate.operators.upsert import (
     KeyedTable,
+    _unseen,
     append_staged,
     batch_months,
     insert_new,
@@ -230,3 +231,38 @@ def test_known_keys_that_repeat(spark, table, staging, distinct):
     known = known_rows(spark, table, rows.schema, batch_months(with_month(rows, table), table), ["b3"])
     plan = new_rows(with_month(rows, table), known, KEYS, True, distinct)._jdf.queryExecution().optimizedPlan().toString()
     assert ("Aggregate" in plan) == distinct
+
+
+def test_known_batch_shuffles_its_keys_only(spark, table, staging, shuffled_joins):
+    """Of a batch that the table holds already no row meets a join; of one with few new rows, the keys come first."""
+    rows = batch(spark, *(("2024-01-05", k, k) for k in range(50)))
+    insert_new(spark, rows, table, staging, "b1")
+
+    def fresh(rows):
+        placed = with_month(rows, table)
+        known = known_rows(spark, table, rows.schema, batch_months(placed, table), ["b2"])
+        return _unseen(placed, known, table.keys, False, False)
+
+    again = fresh(rows)
+    assert "Join" not in again._jdf.queryExecution().optimizedPlan().toString()
+    assert (again.count(), again.schema) == (0, with_month(rows, table).schema)
+    more = fresh(rows.unionAll(batch(spark, ("2024-01-05", 99, 1), ("2024-01-05", 99, 2))))
+    plan = more._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "LeftAnti" not in plan
+    assert sorted((r["id"], r["amount"]) for r in more.collect()) == [(99, 1), (99, 2)]
+    mostly_new = fresh(batch(spark, *(("2024-01-05", k, k) for k in range(49, 200))))
+    assert "LeftAnti" in mostly_new._jdf.queryExecution().optimizedPlan().toString()
+    assert mostly_new.count() == 150
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_keys_first_gives_the_rows_of_the_join(spark, shuffled_joins, null_safe):
+    """NULLs in either key, keys that repeat on both sides, and a hot NULL key."""
+    made = spark.range(600).selectExpr("if(id % 7 = 0, NULL, id % 40) AS a", "if(id % 5 = 0, NULL, id % 3) AS b", "id AS v")
+    rows = made.unionAll(spark.range(300).selectExpr("CAST(NULL AS BIGINT)", "CAST(NULL AS BIGINT)", "id"))
+    known = made.where("v % 4 <> 1 AND (a < 33 OR a IS NULL)").unionAll(made.where("b = 2"))
+    wanted = new_rows(rows, known, ["a", "b"], null_safe)
+    found = _unseen(rows, known, ["a", "b"], null_safe, False)
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+    assert 0 < wanted.count() < rows.count()

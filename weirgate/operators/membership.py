@@ -53,10 +53,11 @@ def semi_join_dimension(
     dimension: DataFrame,
     dimension_columns: Sequence[str],
     distinct: bool = False,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Rows whose values are in the dimension."""
+    """Rows whose values are in the dimension. A row with a NULL among them has no match unless ``null_safe``."""
     members, names = _members(dimension, dimension_columns, "member", distinct)
-    return df.join(members, _all_equal(list(zip(columns, names))), "left_semi")
+    return df.join(members, _all_equal(list(zip(columns, names)), null_safe), "left_semi")
 
 
 def anti_join_dimension(

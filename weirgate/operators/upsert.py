@@ -21,9 +21,10 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from weirgate.functions import month_date
 from weirgate.operators.dedup import dedup_keys
-from weirgate.operators.membership import anti_join_dimension
+from weirgate.operators.membership import anti_join_dimension, semi_join_dimension
 from weirgate.operators.split import read_batch, write_batch, write_parts
-from weirgate.sources.files import create_table, open_table
+from weirgate.session import scratch_path
+from weirgate.sources.files import create_table, no_rows, open_table
 
 PART_MONTH = "part_month"
 BATCH_ID = "batch_id"
@@ -131,9 +132,27 @@ def known_rows(
     return known.where(found | F.col(PART_MONTH).isNull() if None in months else found)
 
 
-def _unseen(placed: DataFrame, known: DataFrame, keys: Sequence[str], null_safe_keys: bool, distinct_known: bool) -> DataFrame:
-    """No join, and so no shuffle of the batch, where the table has nothing in its months yet."""
-    return placed if known.isEmpty() else new_rows(placed, known, keys, null_safe_keys, distinct_known)
+def _unseen(
+    placed: DataFrame, known: DataFrame, keys: Sequence[str], null_safe_keys: bool, distinct_known: bool, stored: bool = True
+) -> DataFrame:
+    """The new rows of a batch, of which no more than needed is shuffled.
+
+    No join where the table has nothing in the batch's months yet. Where it holds at least half as many rows as the
+    batch, much of the batch may be known: the keys alone look for it, and the rows of those that are unseen follow,
+    without a shuffle if these are few or none. A batch that is not ``stored`` would be run again for that.
+    """
+    n_known = known.count()
+    if not n_known:
+        return placed
+    if not stored or 2 * n_known < placed.count():
+        return new_rows(placed, known, keys, null_safe_keys, distinct_known)
+    spark, path = placed.sparkSession, scratch_path(placed.sparkSession, "unseen")
+    unseen = new_rows(placed.select(*keys), known, keys, null_safe_keys, distinct_known)
+    if not write_batch(unseen, path, "unseen"):
+        return no_rows(spark, placed.schema)
+    unseen = spark.read.schema(unseen.schema).parquet(f"{path}/{BATCH_ID}=unseen")
+    # What is unseen is settled, so here a NULL meets its like; copies of a hot key are taken once.
+    return semi_join_dimension(placed, keys, unseen, keys, distinct=True, null_safe=True)
 
 
 def _clustered(df: DataFrame, table: KeyedTable) -> DataFrame:
@@ -166,8 +185,8 @@ def stage_new(
 
     Only the key columns of the batch's own months are read from the table. ``key_order`` keeps one row
     per key within the batch; without it, rows that share a new key are all new. ``distinct_known`` is that of
-    :func:`new_rows`. The batch is read twice, for
-    its months and for the write, so hand in a stored one.
+    :func:`new_rows`. The batch is read up to four times, for
+    its months, size, unseen keys and the write, so hand in a stored one.
     """
     check_batch_id(batch_id)
     taken = {PART_MONTH, BATCH_ID} & set(batch.columns)
@@ -179,7 +198,7 @@ def stage_new(
     known = known_rows(spark, table, batch.schema, months, [batch_id])
     if key_order is not None:
         placed = one_per_key(placed, table.keys, key_order, null_safe_keys)
-    fresh = _unseen(placed, known, table.keys, null_safe_keys, distinct_known)
+    fresh = _unseen(placed, known, table.keys, null_safe_keys, distinct_known, stored=key_order is None)
     n_new = write_batch(_clustered(fresh, table), staging_path, batch_id, table.fmt)
     return Inserted(read_batch(spark, staging_path, batch_id, placed.schema, n_new, table.fmt), n_new, months)
 
