@@ -169,3 +169,39 @@ def test_fit_in_a_child_process_is_the_same_fit(spark):
     assert 0 < nothing.probability(np.zeros(1))[0] < 1
     with pytest.raises(Exception, match="child process failed"):
         toxicity.fit(spark.createDataFrame([(1, None, None), (2, None, None)], "doc_id bigint, text string, kind int"))
+
+
+def test_sample_needs_no_python_workers(spark):
+    """Rows of Python would run in Python workers of their own, beside those that score."""
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('bari tolen ', id) AS text")
+    labels = spark.range(40).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    rows = toxicity.training_rows(docs, labels)
+    assert "ExistingRDD" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert {(r["doc_id"], r["text"], r["kind"]) for r in rows.collect()} == {(k, f"bari tolen {k}", k % 2) for k in range(40)}
+    assert rows.schema.simpleString() == "struct<doc_id:bigint,text:string,kind:int>"
+    assert toxicity.training_rows(docs, labels.where("doc_id < 0")).collect() == []
+
+
+def test_scoring_holds_few_words(model):
+    """Words are scored some thousands at a time, and no more than ``HELD_SCORES`` and a part's are kept."""
+    calls = []
+
+    class Recorder:
+        def word_scores(self, words):
+            calls.append(set(words))
+            return np.array([float(len(w)) for w in words])
+
+    worst_of = toxicity._worst_words(Recorder())
+    many = [" ".join(f"w{k}x{i}" for i in range(1000)) for k in range(200)]
+    assert worst_of(["first", *many, "first"]).tolist() == [5.0, *(max(map(len, t.split())) for t in many), 5.0]
+    assert max(map(len, calls)) <= toxicity.HELD_WORDS
+    assert sum("first" in c for c in calls) == 2
+
+
+def test_scores_do_not_depend_on_what_is_held(model, monkeypatch):
+    rng = random.Random(9)
+    batch = [t for t, _ in labelled(rng, 60)] + ["", " ", "stupid"]
+    wanted = toxicity._worst_words(model)(batch).tolist()
+    for name, value in (("HELD_CHARS", 50), ("HELD_WORDS", 3), ("HELD_SCORES", 10)):
+        monkeypatch.setattr(toxicity, name, value)
+    assert toxicity._worst_words(model)(batch).tolist() == wanted

@@ -49,6 +49,8 @@ MOST_WHOLE = 16
 WINDOW, STEP = 12, 4
 #: Pieces that are scored at a time.
 SCORED_PIECES = 20_000
+#: What a scoring task holds at a time: texts, characters of texts, words to be scored, scores of words seen before.
+HELD_TEXTS, HELD_CHARS, HELD_WORDS, HELD_SCORES = 200, 500_000, 8_000, 120_000
 #: Words of each kind that one fit takes: insults, frequent (and spread-out) clean words, high-scoring clean words a round.
 MOST_BAD = 800
 STRETCHED = 150
@@ -344,8 +346,9 @@ def training_rows(
         if row["size"] <= room[row["toxic"]]:
             ids.append((row["doc_id"], row["toxic"]))
             room[row["toxic"]] -= row["size"]
-    spark = docs.sparkSession
-    picked = F.broadcast(spark.createDataFrame(ids, "doc_id bigint, kind int"))  # sum(most) rows at most
+    # An Arrow table: rows of Python would start a second set of Python workers on the executors.
+    kinds = pa.table({"doc_id": pa.array([i for i, _ in ids], pa.int64()), "kind": pa.array([k for _, k in ids], pa.int32())})
+    picked = F.broadcast(docs.sparkSession.createDataFrame(kinds))  # sum(most) rows at most
     longest = F.max_by("text", F.struct(F.length("text"), "text")).alias("text")
     return docs.join(picked, "doc_id").groupBy("doc_id", "kind").agg(longest).select("doc_id", "text", "kind")
 
@@ -380,15 +383,15 @@ def _worst_words(model: ToxicityModel):
 
     def worst_of(part: list[str]) -> list[float]:
         found = [words_of(t) for t in part]
-        if len(known) > 300_000:
+        if len(known) > HELD_SCORES:
             known.clear()
         new = list({w for words in found for w in words if w not in known})
-        for i in range(0, len(new), SCORED_PIECES):
-            known.update(zip(new[i : i + SCORED_PIECES], model.word_scores(new[i : i + SCORED_PIECES]).tolist()))
+        for i in range(0, len(new), HELD_WORDS):
+            known.update(zip(new[i : i + HELD_WORDS], model.word_scores(new[i : i + HELD_WORDS]).tolist()))
         return [max(map(known.__getitem__, words), default=NO_WORDS) for words in found]
 
     def worst(batch: list[str]) -> np.ndarray:
-        return np.array([score for part in slices(batch) for score in worst_of(part)])
+        return np.array([score for part in slices(batch, HELD_CHARS) for score in worst_of(part)])
 
     return worst
 
@@ -400,7 +403,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent()
         worst_of = _worst_words(model)
-        for batch in small(batches):
+        for batch in small(batches, HELD_TEXTS):
             p = model.probability(worst_of(texts(batch, "text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32))],
@@ -420,7 +423,7 @@ def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent()
         worst_of = _worst_words(model)
-        for batch in small(batches):
+        for batch in small(batches, HELD_TEXTS):
             p = model.probability(worst_of(["" if t is None else t for t in batch.column(place).to_pylist()]))
             yield batch.filter(pa.array(p < THRESHOLD))
 
