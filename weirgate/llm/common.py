@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from weirgate.session import scratch_path
 
 HELD_OUT = 2
+#: Bytes of rows in an Arrow batch for a Python worker, and the session option that says so.
+BATCH_BYTES, BATCH_OPTION = "1m", "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Words whose hashes a task keeps.
+HELD_WORDS = 120_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +72,18 @@ def apart(function: Callable[[], Any]) -> Any:
     return cloudpickle.loads(result)
 
 
+def in_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: Any) -> DataFrame:
+    """``mapInArrow`` whose batches have about ``BATCH_BYTES``, so that neither the executor's JVM nor its Python worker
+    holds thousands of whole texts outside the heap. Texts stay whole: the one that reaches the limit ends its batch.
+
+    Spark reads the option when the rows are asked for, so it stays set in the session; a value of the session's own stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_OPTION, None) is None:
+        conf.set(BATCH_OPTION, BATCH_BYTES)
+    return df.mapInArrow(function, schema)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that the table does not have yet."""
     taken = {c.lower() for c in df.columns}
@@ -118,7 +134,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, kept for words seen before; emptied when it has grown large."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = HELD_WORDS):
         super().__init__()
         self.most = most
 

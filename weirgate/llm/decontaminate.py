@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import mixed, slices, small, stage, texts, windows
+from weirgate.llm.common import HELD_WORDS, in_arrow, mixed, slices, small, stage, texts, windows
 
 WIDTH = 8
 LEAST_WIDTH = 3
@@ -67,7 +67,7 @@ _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?$")
 class Templates(dict):
     """Number of every blank-separated word, with its hash and kind, kept for words seen before."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = HELD_WORDS):
         super().__init__()
         self.most = most
         self.hashes, self.flags = array("Q"), array("B")
@@ -250,7 +250,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, reading, width, at, window, slots, total (windows of the item)."""
     rows, schema = _window_rows("item_id", None, None, True)
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
-    return items.distinct().mapInArrow(rows, schema)
+    return in_arrow(items.distinct(), rows, schema)
 
 
 def bit_table(hashes: DataFrame) -> np.ndarray:
@@ -275,7 +275,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     bits = docs.sparkSession.sparkContext.broadcast(bit_table(items))
     rows, schema = _window_rows("doc_id", widths, bits, False)
     named = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    hits = named.mapInArrow(rows, schema).select(
+    hits = in_arrow(named, rows, schema).select(
         "doc_id", F.col("reading").alias("doc_reading"), "at", "window", F.col("slots").alias("values")
     )
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weirgate.llm.common import WordHashes, encoded, mixed, small, stage, windows
+from weirgate.llm.common import WordHashes, encoded, in_arrow, mixed, small, stage, windows
 from weirgate.llm.components import components
 
 WIDTH = 5
@@ -101,9 +101,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_id (128-bit hash of the set), sketch (registers)."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        _sketch, "doc_id bigint, n_shingles bigint, set_id binary, sketch array<int>"
-    )
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return in_arrow(texts, _sketch, "doc_id bigint, n_shingles bigint, set_id binary, sketch array<int>")
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +210,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = stage(wanted.distinct(), "wanted")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string"))
     chosen = texts.join(wanted, "id", "left_semi")
-    sets = chosen.mapInArrow(_sets, "id bigint, items array<bigint>")
+    sets = in_arrow(chosen, _sets, "id bigint, items array<bigint>")
     sets = stage(sets, "sets")
     links = stage(_verified(likely, sets), "links")
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weirgate.llm.common import small, stage, texts
+from weirgate.llm.common import in_arrow, small, stage, texts
 
 CAPACITY = 1024
 END_ID = 2
@@ -90,7 +90,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "task", "place")
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(cut_all, PIECES)
+    return in_arrow(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), cut_all, PIECES)
 
 
 def _reachable(counts: np.ndarray, room: int) -> int:
@@ -230,6 +230,5 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*found.schema.names, "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(
-        place, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    )
+    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
+    return in_arrow(ranked, place, schema)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import free_name, small, stage
+from weirgate.llm.common import free_name, in_arrow, small, stage
 
 MOST_ATTEMPTS = 40
 #: Draws for one surrogate before it is an error; a draw is the key itself once in ten times at most.
@@ -350,7 +350,7 @@ def assign(entities: DataFrame, secret: bytes) -> DataFrame:
             )
 
     schema = "kind string, entity string, gender string, attempt int, made string"
-    known = stage(entities.withColumn("attempt", F.lit(0)).mapInArrow(make, schema), "surrogates")
+    known = stage(in_arrow(entities.withColumn("attempt", F.lit(0)), make, schema), "surrogates")
     real = known.select("kind", F.col("entity").alias("made"))
     for _ in range(MOST_ATTEMPTS):
         # Of those that made the same, one that has kept it for the most attempts goes on with it.
@@ -367,7 +367,7 @@ def assign(entities: DataFrame, secret: bytes) -> DataFrame:
         retried = known.join(again, ["kind", "entity"], "left_semi").select(
             "kind", "entity", "gender", (F.col("attempt") + 1).alias("attempt")
         )
-        known = stage(kept.union(retried.mapInArrow(make, schema)), "surrogates")
+        known = stage(kept.union(in_arrow(retried, make, schema)), "surrogates")
     raise RuntimeError(f"surrogates still collide after {MOST_ATTEMPTS} attempts")
 
 
@@ -378,7 +378,8 @@ def replace(docs: DataFrame, secret: bytes, count_column: str | None = None) ->
     """
     if count_column:
         docs = docs.drop(count_column)
-    mentions = stage(docs.select(F.col("text").cast("string")).mapInArrow(_mentions, "text_hash bigint, kind string, entity string, gender string"), "mentions")
+    texts = docs.select(F.col("text").cast("string"))
+    mentions = stage(in_arrow(texts, _mentions, "text_hash bigint, kind string, entity string, gender string"), "mentions")
     surrogates = assign(gendered(mentions), secret)
     # Mentions for which the text itself does not tell the surrogate.
     whole = surrogates.select("kind", "entity", F.col("gender").alias("agreed"), "attempt", "made")
@@ -419,7 +420,7 @@ def replace(docs: DataFrame, secret: bytes, count_column: str | None = None) ->
     names = [*docs.columns, *([count_column] if count_column else [])]
     fields = [f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema.fields]
     schema = ", ".join([*fields, *([f"{count_column} int"] if count_column else [])])
-    done = joined.withColumn("text", F.col("text").cast("string")).mapInArrow(rewrite, schema)
+    done = in_arrow(joined.withColumn("text", F.col("text").cast("string")), rewrite, schema)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return done

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import apart, shared, slices, small, texts
+from weirgate.llm.common import apart, in_arrow, shared, slices, small, texts
 
 #: Documents and characters at most, by label: clean and toxic.
 TRAIN_DOCS = (4000, 1500)
@@ -410,9 +410,8 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 ["doc_id", "score", "predicted"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        scored, "doc_id bigint, score double, predicted int"
-    )
+    read = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return in_arrow(read, scored, "doc_id bigint, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -427,4 +426,4 @@ def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             p = model.probability(worst_of(["" if t is None else t for t in batch.column(place).to_pylist()]))
             yield batch.filter(pa.array(p < THRESHOLD))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return in_arrow(docs, clean, docs.schema)
